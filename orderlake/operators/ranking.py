@@ -92,3 +92,27 @@ def rank_over(df: DataFrame, order_col: str, *, partition_by: Sequence[str] = ()
 
     result = pos.withColumn(out, (first - start + 1).cast("bigint"))
     return result.drop(_POS, "_rk_vstart", "_rk_kstart")
+
+
+def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), out: str | None = None) -> DataFrame:
+    """Exact median of ``value_col`` per group (mean of the two middle values when even).
+
+    Built on the distributed row numbering, so no group's values are buffered
+    in one task (``percentile``/``median`` aggregates would). NULL values are
+    skipped; groups are compared null-safely. Returns (groups..., out) as DOUBLE.
+    """
+    out = out or f"{value_col}_med"
+    groups = list(group_cols)
+    vals = df.select(*groups, value_col).filter(F.col(value_col).isNotNull())
+    rn = rank_over(vals, value_col, partition_by=groups, descending=False,
+                   method="row_number", out="_md_rn")
+    counts = vals.groupBy(*groups).agg(F.count(F.lit(1)).alias("_md_n"))
+    alias = {c: f"_md_k{i}" for i, c in enumerate(groups)}
+    counts = counts.select(*[F.col(c).alias(a) for c, a in alias.items()], "_md_n")
+    cond = F.lit(True)
+    for c, a in alias.items():
+        cond = cond & F.col(c).eqNullSafe(F.col(a))
+    j = rn.join(F.broadcast(counts) if not groups else counts, cond).drop(*alias.values())
+    n, r = F.col("_md_n"), F.col("_md_rn")
+    middle = j.filter((r == F.floor((n + 1) / 2)) | (r == F.floor(n / 2) + 1))
+    return middle.groupBy(*groups).agg(F.avg(F.col(value_col).cast("double")).alias(out))
