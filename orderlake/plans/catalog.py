@@ -684,3 +684,148 @@ def _d16(spark, d):
         ORDER BY total_revenue DESC NULLS FIRST, seller_id ASC LIMIT {D17_TOP}""", sp=A7_SQL))
 def _d17(spark, d):
     return RP.top_sellers(_sp(spark, d), D17_TOP)
+
+
+# ------------------------------------------------------------------ segmentation
+
+from orderlake.operators import segments as M  # noqa: E402
+from orderlake.functions.numeric import round_double  # noqa: E402
+
+M11_SAMPLE = 500          # warehouse default 5000 (testdata has ~1.4k people at sf0.01)
+_FITS: dict[tuple[str, str], M.SegmentationFit] = {}
+
+
+def _rfm(spark, d) -> DataFrame:
+    r = raw(spark, d)
+    return M.rfm_features(r["raw_customers"], r["raw_orders"], r["raw_order_payments"])
+
+
+def _fit(spark, d) -> M.SegmentationFit:
+    """K-Means fit for one session and scale factor, fitted once and reused by the reports."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITS:
+        _FITS[key] = M.fit_kmeans(_rfm(spark, d))
+    return _FITS[key]
+
+
+_SEGMENTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _segments(spark, d) -> DataFrame:
+    """The customer_segments table (M9), written once per session and scale factor."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SEGMENTS:
+        fit = _fit(spark, d)
+        _SEGMENTS[key] = M.assign_segments(fit.assigned, M.label_clusters(fit.assigned)).checkpoint(eager=True)
+    return _SEGMENTS[key]
+
+
+_M1_SQL = """
+        SELECT customer_unique_id,
+               CAST(date_diff('day', CAST(last_ts AS DATE), CAST((SELECT max(ts) FROM rfm_j) AS DATE)) AS INTEGER)
+                   AS recency,
+               frequency, CAST(monetary AS DOUBLE) AS monetary
+        FROM (SELECT customer_unique_id, max(ts) AS last_ts, count(DISTINCT order_id) AS frequency,
+                     sum(total_payment) AS monetary
+              FROM rfm_j GROUP BY customer_unique_id)
+        WHERE customer_unique_id IS NOT NULL AND last_ts IS NOT NULL AND monetary IS NOT NULL"""
+_RFM_J = """
+        SELECT c.customer_unique_id, o.order_id, o.order_purchase_timestamp AS ts, p.total_payment
+        FROM raw_customers c JOIN raw_orders o ON c.customer_id = o.customer_id
+        JOIN (SELECT order_id, sum(payment_value) AS total_payment FROM raw_order_payments GROUP BY order_id) p
+          ON o.order_id = p.order_id
+        WHERE o.order_status = 'delivered'"""
+
+
+@register("m1_rfm_features", with_layers(_M1_SQL, rfm_j=_RFM_J))
+def _m1(spark, d):
+    return _rfm(spark, d)
+
+
+def _z(c: str) -> str:
+    return R(f"CASE WHEN (SELECT stddev_pop({c}) FROM rfm) = 0 THEN 0 ELSE ({c} - (SELECT avg({c}) FROM rfm))"
+             f" / (SELECT stddev_pop({c}) FROM rfm) END", 6)
+
+
+@register("m2_standardize", with_layers(f"""
+        SELECT customer_unique_id, recency, frequency, monetary,
+               {_z('recency')} AS recency_z, {_z('frequency')} AS frequency_z, {_z('monetary')} AS monetary_z
+        FROM rfm""", rfm_j=_RFM_J, rfm=_M1_SQL))
+def _m2(spark, d):
+    z = M.standardize(_rfm(spark, d))
+    return z.select("customer_unique_id", "recency", "frequency", "monetary",
+                    *[round_double(f"{c}_z", 6).alias(f"{c}_z") for c in M.FEATURES])
+
+
+@register("m3_kmeans_clusters")
+def _m3(spark, d):
+    return _fit(spark, d).assigned.select("customer_unique_id", *M.FEATURES, "cluster")
+
+
+@register("m4_silhouette")
+def _m4(spark, d):
+    fit = _fit(spark, d)
+    return spark.range(1).select(F.lit(M.silhouette(fit.assigned)).alias("silhouette_squared_euclidean"))
+
+
+@register("m5_inertia")
+def _m5(spark, d):
+    fit = _fit(spark, d)
+    return spark.range(1).select(F.lit(M.inertia(fit)).alias("inertia"), F.lit(fit.seed).alias("best_seed"))
+
+
+@register("m6_cluster_labels")
+def _m6(spark, d):
+    return M.label_clusters(_fit(spark, d).assigned)
+
+
+@register("m7_segment_sizes")
+def _m7(spark, d):
+    return M.segment_sizes(_segments(spark, d))
+
+
+@register("m8_run_metrics")
+def _m8(spark, d):
+    fit = _fit(spark, d)
+    return M.run_metrics(fit, _segments(spark, d), M.silhouette(fit.assigned))
+
+
+@register("m9_customer_segments")
+def _m9(spark, d):
+    return _segments(spark, d)
+
+
+@register("m10_segment_profile")
+def _m10(spark, d):
+    return M.segment_profile(_segments(spark, d))
+
+
+@register("d5_segment_bars")
+def _d5(spark, d):
+    return RP.segment_bars(M.segment_profile(_segments(spark, d)))
+
+
+_M11_SQL = f"""
+        SELECT * FROM rfm ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT {M11_SAMPLE}"""
+
+
+@register("m11_sample_customers", with_layers(_M11_SQL, rfm_j=_RFM_J, rfm=_M1_SQL))
+def _m11(spark, d):
+    return M.sample_customers(_rfm(spark, d), M11_SAMPLE, 42)
+
+
+def _cap(c: str) -> str:
+    return f"least(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.99) FROM smp)) AS {c}"
+
+
+@register("m12_cap_outliers", with_layers(f"""
+        SELECT customer_unique_id, {_cap('recency')}, {_cap('frequency')}, {_cap('monetary')} FROM smp""",
+    rfm_j=_RFM_J, rfm=_M1_SQL, smp=_M11_SQL))
+def _m12(spark, d):
+    return M.cap_outliers(M.sample_customers(_rfm(spark, d), M11_SAMPLE, 42))
+
+
+@register("m13_pca_projection")
+def _m13(spark, d):
+    segs = _segments(spark, d)
+    return M.pca_projection(M.cap_outliers(M.sample_customers(segs, M11_SAMPLE, 42)))
