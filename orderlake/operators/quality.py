@@ -73,7 +73,10 @@ def validate_orders(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     fields are dropped by reading with the declared document schema.
     """
     items = F.coalesce(F.col("items"), F.array())
-    flags = {c: F.exists(items, lambda it, c=c: it[c].isNull()) for c in ITEM_REQUIRED_FIELDS}
+    def missing(field: str):
+        return lambda it: it[field].isNull()
+
+    flags = {c: F.exists(items, missing(c)) for c in ITEM_REQUIRED_FIELDS}
     flags["price_not_positive"] = F.exists(items, lambda it: it["price"] <= 0)
     flags["freight_negative"] = F.exists(items, lambda it: it["freight_value"] < 0)
     checked = docs.withColumn("items_missing", F.col("items").isNull()) \
