@@ -128,14 +128,18 @@ def clean_sellers(raw_sellers: DataFrame) -> DataFrame:
 
 
 def clean_layer(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven clean tables from a dict of raw tables (lazy)."""
-    tr = raw["raw_product_category_translation"]
-    return {
-        "orders": clean_orders(raw["raw_orders"]),
-        "order_items": clean_order_items(raw["raw_order_items"], raw["raw_products"], tr),
-        "customers": clean_customers(raw["raw_customers"]),
-        "payments": clean_payments(raw["raw_order_payments"]),
-        "reviews": clean_reviews(raw["raw_order_reviews"]),
-        "products": clean_products(raw["raw_products"], tr),
-        "sellers": clean_sellers(raw["raw_sellers"]),
-    }
+    """All seven clean tables from a dict of raw tables, each built on first use."""
+    from orderlake.sources.testdata import LazyTables
+
+    def tr():
+        return raw["raw_product_category_translation"]
+
+    return LazyTables({
+        "orders": lambda: clean_orders(raw["raw_orders"]),
+        "order_items": lambda: clean_order_items(raw["raw_order_items"], raw["raw_products"], tr()),
+        "customers": lambda: clean_customers(raw["raw_customers"]),
+        "payments": lambda: clean_payments(raw["raw_order_payments"]),
+        "reviews": lambda: clean_reviews(raw["raw_order_reviews"]),
+        "products": lambda: clean_products(raw["raw_products"], tr()),
+        "sellers": lambda: clean_sellers(raw["raw_sellers"]),
+    })

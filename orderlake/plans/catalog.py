@@ -59,7 +59,9 @@ def _c1(spark, d):
     return clean(spark, d)["orders"]
 
 
-@register("c2_clean_order_items", with_layers("SELECT * FROM clean_order_items"))
+@register("c2_clean_order_items", with_layers(
+    "SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,"
+    " CAST(total_item_value AS DOUBLE) AS total_item_value) FROM clean_order_items"))
 def _c2(spark, d):
     return clean(spark, d)["order_items"]
 
@@ -69,7 +71,8 @@ def _c3(spark, d):
     return clean(spark, d)["customers"]
 
 
-@register("c4_clean_payments", with_layers("SELECT * FROM clean_payments"))
+@register("c4_clean_payments", with_layers(
+    "SELECT * REPLACE (CAST(total_payment AS DOUBLE) AS total_payment) FROM clean_payments"))
 def _c4(spark, d):
     return clean(spark, d)["payments"]
 
@@ -345,7 +348,9 @@ def _e2(spark, d):
     return E.dedup_customers(dirty(spark, d)["raw_customers"])
 
 
-@register("e3_positive_payments", with_layers("SELECT * FROM raw_order_payments WHERE payment_value > 0"))
+@register("e3_positive_payments", with_layers(
+    "SELECT * REPLACE (CAST(payment_value AS DOUBLE) AS payment_value) FROM raw_order_payments"
+    " WHERE payment_value > 0"))
 def _e3(spark, d):
     return E.positive_payments(raw(spark, d)["raw_order_payments"])
 

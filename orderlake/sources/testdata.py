@@ -14,8 +14,48 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one testdata table (the file listing and footer read happen once per session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
+
+
+class LazyTables(dict):
+    """A dict whose values are built on first access (building a DataFrame analyses its plan)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = dict(builders)
+
+    def __missing__(self, key):
+        if key not in self._builders:
+            raise KeyError(key)
+        value = self[key] = self._builders[key]()
+        return value
+
+    def keys(self):
+        return self._builders.keys()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+    def __contains__(self, key):
+        return key in self._builders
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def values(self):
+        return [self[k] for k in self._builders]
 
 
 def _hours(n: Column) -> Column:
@@ -189,23 +229,27 @@ def raw_product_category_translation(part: DataFrame, n_translated: int = 4) ->
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All eight raw tables (lazy) for one testdata scale factor."""
-    t = {name: load(spark, sf_dir, name) for name in TABLES}
-    return {
-        "raw_orders": raw_orders(t["orders"]),
-        "raw_order_items": raw_order_items(t["lineitem"]),
-        "raw_order_payments": raw_order_payments(t["orders"]),
-        "raw_order_reviews": raw_order_reviews(t["events"]),
-        "raw_customers": raw_customers(t["orders"], t["customer"], t["nation"]),
-        "raw_products": raw_products(t["part"]),
-        "raw_sellers": raw_sellers(t["supplier"], t["nation"]),
-        "raw_product_category_translation": raw_product_category_translation(t["part"]),
-    }
+    def t(name: str) -> DataFrame:
+        return load(spark, sf_dir, name)
+
+    return LazyTables({
+        "raw_orders": lambda: raw_orders(t("orders")),
+        "raw_order_items": lambda: raw_order_items(t("lineitem")),
+        "raw_order_payments": lambda: raw_order_payments(t("orders")),
+        "raw_order_reviews": lambda: raw_order_reviews(t("events")),
+        "raw_customers": lambda: raw_customers(t("orders"), t("customer"), t("nation")),
+        "raw_products": lambda: raw_products(t("part")),
+        "raw_sellers": lambda: raw_sellers(t("supplier"), t("nation")),
+        "raw_product_category_translation": lambda: raw_product_category_translation(t("part")),
+    })
 
 
 def dirty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw tables with injected NULL keys and duplicates (dedup / quality checks)."""
-    t = {name: load(spark, sf_dir, name) for name in ("orders", "customer", "nation")}
-    return {
-        "raw_orders": raw_orders_dirty(t["orders"]),
-        "raw_customers": raw_customers_dirty(t["orders"], t["customer"], t["nation"]),
-    }
+    def t(name: str) -> DataFrame:
+        return load(spark, sf_dir, name)
+
+    return LazyTables({
+        "raw_orders": lambda: raw_orders_dirty(t("orders")),
+        "raw_customers": lambda: raw_customers_dirty(t("orders"), t("customer"), t("nation")),
+    })
