@@ -12,7 +12,7 @@ T = dt.datetime
 def test_delivery_days_and_on_time(spark):
     df = spark.createDataFrame([
         ("o1", "c1", "delivered", T(2020, 1, 1, 2), None, None, T(2020, 1, 3, 1), T(2020, 1, 3, 1)),
-        ("o2", "c2", "delivered", T(2020, 1, 3, 2), None, None, T(2020, 1, 1, 1), T(2020, 1, 10)),
+        ("o2", "c2", "delivered", T(2020, 1, 3, 1), None, None, T(2020, 1, 1, 2), T(2020, 1, 10)),
         # delivered on the estimated day, one second late
         ("o3", "c3", "delivered", T(2020, 1, 1), None, None, T(2020, 1, 20, 0, 0, 1), T(2020, 1, 20)),
         ("o4", "c4", "processing", T(2020, 1, 1), None, None, None, T(2020, 1, 20)),
