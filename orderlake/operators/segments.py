@@ -123,9 +123,16 @@ def inertia(fit: SegmentationFit) -> float:
 # ---------------------------------------------------------------- M6 – M10
 
 def cluster_medians(assigned: DataFrame, group: str = "cluster") -> DataFrame:
+    """Exact medians of the three features per group.
+
+    The narrow (group, features) projection is checkpointed once, so the three
+    distributed medians read it instead of re-running the input lineage.
+    """
+    checkpoint_dir(assigned.sparkSession)
+    base = assigned.select(group, *FEATURES).checkpoint(eager=True)
     meds = None
     for c in FEATURES:
-        m = exact_median(assigned, c, [group], out=f"{c}_med")
+        m = exact_median(base, c, [group], out=f"{c}_med")
         meds = m if meds is None else meds.join(m, group, "full")
     return meds
 

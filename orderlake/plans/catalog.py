@@ -1016,3 +1016,49 @@ def _st5(spark, d):
     batch = c["orders"].filter(F.col("purchased_at") >= cut)
     ST.refresh_daily_revenue(c["orders"], c["payments"], ST.touched_months(batch, "purchased_at"), out)
     return spark.read.parquet(out).drop("month")
+
+
+# The label and profile logic (exact medians, average ranks on ties, score
+# order, label map) checked against SQL on a deterministic grouping of the RFM
+# features: the frequency tier (1, 2, 3, 4+ delivered orders) as the cluster id.
+
+def _tiers(spark, d) -> DataFrame:
+    return _rfm(spark, d).withColumn("cluster", (F.least(F.col("frequency"), F.lit(4)) - 1).cast("int"))
+
+
+_TIER_CTES = dict(rfm_j=_RFM_J, rfm=_M1_SQL, tiers="""
+        SELECT *, CAST(least(frequency, 4) - 1 AS INTEGER) AS cluster FROM rfm""", meds=f"""
+        SELECT cluster, median(recency) AS recency_med, median(frequency) AS frequency_med,
+               median(monetary) AS monetary_med FROM tiers GROUP BY cluster""", scored="""
+        SELECT *, - (rank() OVER (ORDER BY recency_med) + (count(*) OVER (PARTITION BY recency_med) - 1) / 2.0)
+                  + (rank() OVER (ORDER BY frequency_med) + (count(*) OVER (PARTITION BY frequency_med) - 1) / 2.0)
+                  + (rank() OVER (ORDER BY monetary_med) + (count(*) OVER (PARTITION BY monetary_med) - 1) / 2.0)
+                  AS score
+        FROM meds""", labelled="""
+        SELECT *, CAST(row_number() OVER (ORDER BY score DESC, cluster ASC) AS INTEGER) AS position FROM scored""",
+    segs="""
+        SELECT t.customer_unique_id, t.recency, t.frequency, t.monetary,
+               CASE l.position WHEN 1 THEN 'Champions' WHEN 2 THEN 'Clients fidèles' WHEN 3 THEN 'A risque'
+                               WHEN 4 THEN 'Inactifs' END AS segment
+        FROM tiers t JOIN labelled l ON t.cluster = l.cluster""")
+
+
+@register("m6_labels_on_frequency_tiers", with_layers(f"""
+        SELECT cluster, {R('recency_med', 6)} AS recency_med, {R('frequency_med', 6)} AS frequency_med,
+               {R('monetary_med', 6)} AS monetary_med, score, position,
+               CASE position WHEN 1 THEN 'Champions' WHEN 2 THEN 'Clients fidèles' WHEN 3 THEN 'A risque'
+                             WHEN 4 THEN 'Inactifs' END AS segment
+        FROM labelled""", **_TIER_CTES))
+def _m6_tiers(spark, d):
+    lab = M.label_clusters(_tiers(spark, d))
+    return lab.select("cluster", *[round_double(f"{c}_med", 6).alias(f"{c}_med") for c in M.FEATURES],
+                      "score", F.col("position").cast("int").alias("position"), "segment")
+
+
+@register("m10_profile_on_frequency_tiers", with_layers(f"""
+        SELECT segment, count(*) AS nb_clients, {R('median(recency)', 6)} AS recency_med,
+               {R('median(frequency)', 6)} AS frequency_med, {R('median(monetary)', 6)} AS monetary_med
+        FROM segs GROUP BY segment""", **_TIER_CTES))
+def _m10_tiers(spark, d):
+    tiers = _tiers(spark, d)
+    return M.segment_profile(M.assign_segments(tiers, M.label_clusters(tiers)))
