@@ -94,6 +94,22 @@ def rank_over(df: DataFrame, order_col: str, *, partition_by: Sequence[str] = ()
     return result.drop(_POS, "_rk_vstart", "_rk_kstart")
 
 
+def exact_medians(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact medians of several columns per group in one distributed numbering.
+
+    The columns are stacked into (groups, feature, value) rows, numbered once
+    with the feature as an extra partition key, and pivoted back to one row per
+    group with ``<col>_med`` columns (DOUBLE).
+    """
+    groups = list(group_cols)
+    stacked = df.select(*groups, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_md_f"), F.col(c).cast("double").alias("_md_v")) for c in value_cols
+    ])).alias("_md_s")).select(*groups, "_md_s._md_f", "_md_s._md_v")
+    med = exact_median(stacked, "_md_v", groups + ["_md_f"], out="_md_med")
+    return med.groupBy(*groups).agg(*[
+        F.max(F.when(F.col("_md_f") == c, F.col("_md_med"))).alias(f"{c}_med") for c in value_cols])
+
+
 def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), out: str | None = None) -> DataFrame:
     """Exact median of ``value_col`` per group (mean of the two middle values when even).
 

@@ -93,13 +93,18 @@ def growth_without_outliers(monthly: DataFrame, limit: float = 500.0) -> DataFra
 
 
 def top_categories_report(categories: DataFrame, min_orders: int = 100, top: int = 20) -> DataFrame:
-    """Categories with at least ``min_orders`` orders, the ``top`` by revenue, with shown/total counts."""
-    kept = categories.filter(F.col("total_orders") >= min_orders)
-    shown = kept.orderBy(F.col("total_revenue").desc_nulls_last(), F.col("category").asc_nulls_last()).limit(top)
-    n_kept = kept.agg(F.count(F.lit(1))).scalar()
-    n_all = categories.agg(F.count(F.lit(1))).scalar()
-    return shown.select("category", "total_orders", "total_revenue", "avg_price",
-                        n_kept.alias("n_shown"), n_all.alias("n_total"))
+    """Categories with at least ``min_orders`` orders, the ``top`` by revenue, with shown/total counts.
+
+    ``categories`` has one row per category (bounded by the category
+    vocabulary), so the whole-frame counts are plain windows over it.
+    """
+    everything = Window.partitionBy()
+    counted = categories.select(
+        "category", "total_orders", "total_revenue", "avg_price",
+        F.count_if(F.col("total_orders") >= min_orders).over(everything).alias("n_shown"),
+        F.count(F.lit(1)).over(everything).alias("n_total"))
+    return counted.filter(F.col("total_orders") >= min_orders) \
+        .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("category").asc_nulls_last()).limit(top)
 
 
 def top_categories_by_price(report: DataFrame, top: int = 10) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.numeric import round_double
-from orderlake.operators.ranking import exact_median
+from orderlake.operators.ranking import exact_medians
 from orderlake.session import checkpoint_dir
 
 FEATURES = ["recency", "frequency", "monetary"]
@@ -123,18 +123,10 @@ def inertia(fit: SegmentationFit) -> float:
 # ---------------------------------------------------------------- M6 – M10
 
 def cluster_medians(assigned: DataFrame, group: str = "cluster") -> DataFrame:
-    """Exact medians of the three features per group.
-
-    The narrow (group, features) projection is checkpointed once, so the three
-    distributed medians read it instead of re-running the input lineage.
-    """
+    """Exact medians of the three features per group (one distributed numbering)."""
     checkpoint_dir(assigned.sparkSession)
     base = assigned.select(group, *FEATURES).checkpoint(eager=True)
-    meds = None
-    for c in FEATURES:
-        m = exact_median(base, c, [group], out=f"{c}_med")
-        meds = m if meds is None else meds.join(m, group, "full")
-    return meds
+    return exact_medians(base, FEATURES, [group])
 
 
 def label_clusters(assigned: DataFrame, labels: dict[int, str] = SEGMENT_LABELS) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from orderlake.operators import clean as C
 from orderlake.operators import metrics as A
 from orderlake.operators import quality as Q
-from orderlake.sources.files import read_table, write_table
+from orderlake.sources.files import (ensure_database, publish_table, read_table, write_bucketed_table,
+                                     write_table)
 
 Builder = Callable[[dict[str, DataFrame]], DataFrame]
 
@@ -56,22 +57,48 @@ def run_layer(layer: dict[str, Builder], inputs: dict[str, DataFrame]) -> dict[s
     return {name: build(inputs) for name, build in layer.items()}
 
 
+# Clean tables written bucketed: the per-order tables share the order_id
+# bucketing, so the metrics joins on order_id read co-located buckets.
+CLEAN_BUCKETS = {"orders": "order_id", "order_items": "order_id", "payments": "order_id",
+                 "reviews": "order_id", "customers": "customer_id"}
+
+
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
-                 min_month_orders: int = 100) -> DataFrame:
+                 min_month_orders: int = 100, publish: bool = False, buckets: int | None = None,
+                 database_prefix: str = "") -> DataFrame:
     """Full refresh: clean → metrics → quality, each table written as a new version.
 
-    Returns (layer, table_name, n_rows) read back from the written versions.
+    The clean layer is written once (bucketed where joins need it, see
+    ``CLEAN_BUCKETS``; ``buckets`` defaults to the shuffle partition count) and
+    the metrics layer is built from those written tables. With ``publish``
+    every version also becomes ``<prefix><layer>.<table>`` in the catalog
+    (databases created when absent). Returns (layer, table_name, n_rows).
     """
+    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     written: list[tuple[str, str]] = []
-    for name, df in run_layer(CLEAN_LAYER, raw).items():
-        write_table(df, f"{warehouse}/clean", name)
-        written.append(("clean", name))
-    clean = {name: read_table(spark, f"{warehouse}/clean", name) for name in CLEAN_LAYER}
+
+    def db(layer: str) -> str:
+        name = f"{database_prefix}{layer}"
+        ensure_database(spark, name, f"{warehouse}/_catalog/{name}.db")
+        return name
+
+    def write(df: DataFrame, layer: str, name: str) -> DataFrame:
+        if layer == "clean" and name in CLEAN_BUCKETS:
+            ident = write_bucketed_table(df, f"{warehouse}/{layer}", db(layer), name, CLEAN_BUCKETS[name],
+                                         n_buckets)
+            source, out = ident, spark.table(ident)
+        else:
+            source = write_table(df, f"{warehouse}/{layer}", name)
+            out = spark.read.parquet(source)
+        if publish:
+            publish_table(spark, db(layer), name, source)
+        written.append((layer, name))
+        return out
+
+    clean = {name: write(df, "clean", name) for name, df in run_layer(CLEAN_LAYER, raw).items()}
     for name, df in run_layer(analytics_layer(min_month_orders), clean).items():
-        write_table(df, f"{warehouse}/analytics", name)
-        written.append(("analytics", name))
-    write_table(Q.data_quality(raw["raw_orders"], raw["raw_order_payments"]), f"{warehouse}/quality", "checks")
-    written.append(("quality", "checks"))
+        write(df, "analytics", name)
+    write(Q.data_quality(raw["raw_orders"], raw["raw_order_payments"]), "quality", "checks")
     counts = None
     for layer, name in written:
         c = read_table(spark, f"{warehouse}/{layer}", name).agg(F.count(F.lit(1)).alias("n_rows")) \

@@ -71,9 +71,10 @@ def write_csv_table(df: DataFrame, path: str) -> None:
 
 # ---------------------------------------------------------------- tables
 
-def ensure_database(spark: SparkSession, name: str) -> None:
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema (database) when absent."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
 def new_version() -> str:
@@ -90,6 +91,22 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
     return path
 
 
+def write_bucketed_table(df: DataFrame, root: str, database: str, name: str, key: str,
+                         buckets: int) -> str:
+    """Write a new version bucketed (and sorted) by ``key``; returns its catalog table name.
+
+    Tables bucketed on the same key into the same number of buckets join
+    without an exchange. The version lives at ``<root>/<name>/v=<version>``
+    (external table: dropping the catalog entry never deletes data).
+    """
+    version = new_version()
+    path = f"{root.rstrip('/')}/{name}/v={version}"
+    ident = f"`{database}`.`{name}__v{version}`"
+    (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(ident))
+    return ident
+
+
 def latest_version(spark: SparkSession, root: str, name: str) -> str | None:
     fs, p = _fs(spark, f"{root.rstrip('/')}/{name}")
     if not fs.exists(p):
@@ -103,6 +120,19 @@ def latest_version(spark: SparkSession, root: str, name: str) -> str | None:
     return max(done) if done else None
 
 
+def publish_table(spark: SparkSession, database: str, name: str, source: str) -> None:
+    """Make ``database.name`` read a written version.
+
+    ``source`` is a version path or a versioned catalog table. The name is a
+    view replaced in one catalog operation, so readers of ``spark.table`` see
+    either the previous complete version or the new one, never a partial
+    write; a bucketed version keeps its bucketing through the view.
+    """
+    ensure_database(spark, database)
+    target = source if source.startswith("`") else f"parquet.`{source}`"
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM {target}")
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The newest complete version of table ``name``."""
     path = latest_version(spark, root, name)
