@@ -102,8 +102,10 @@ def write_bucketed_table(df: DataFrame, root: str, database: str, name: str, key
     version = new_version()
     path = f"{root.rstrip('/')}/{name}/v={version}"
     ident = f"`{database}`.`{name}__v{version}`"
-    (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
-     .option("path", path).saveAsTable(ident))
+    # Hash partitioning into ``buckets`` uses the bucket hash, so every task
+    # writes exactly one bucket file (instead of one file per task and bucket).
+    (df.repartition(buckets, key).write.mode("errorifexists").format("parquet")
+     .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(ident))
     return ident
 
 
