@@ -7,6 +7,8 @@ recency uses calendar-date ``datediff``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,3 +31,8 @@ def month_index(d: Column | str) -> Column:
     """year * 12 + month, for month distances."""
     d = _c(d)
     return F.year(d) * 12 + F.month(d)
+
+
+def ntz_lit(value: dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal built from text (no session or process time zone involved)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.dates import ntz_lit
 from orderlake.functions.hashing import md5_uniform
 
 SHIP_AFTER_MINUTES = 15
@@ -27,10 +28,6 @@ def delivery_factor(order_id: Column | str) -> Column:
     return F.when(early, 0.65 + md5_uniform(order_id, 1) * 0.30).otherwise(1.01 + md5_uniform(order_id, 2) * 0.15)
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
 def advance_status(raw_orders: DataFrame, as_of: dt.datetime, floor: dt.datetime = DEFAULT_FLOOR,
                    factor: Column | None = None) -> DataFrame:
     """L1 then L2 on raw orders; adds flags ``shipped_now`` and ``delivered_now``.
@@ -39,11 +36,11 @@ def advance_status(raw_orders: DataFrame, as_of: dt.datetime, floor: dt.datetime
     ``as_of`` (and not before ``floor``); the carrier date becomes ``as_of``.
     L2 sees L1's result: shipped → delivered when purchased at least 45
     minutes before ``as_of``; delivered = purchased + (estimated - purchased)
-    × factor, to the microsecond.
+    × factor, rounded to the microsecond.
     """
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = ntz_lit(as_of)
     bought = F.col("order_purchase_timestamp")
-    in_scope = bought >= F.lit(floor).cast("timestamp_ntz")
+    in_scope = bought >= ntz_lit(floor)
     ship = (F.col("order_status") == "processing") & in_scope & \
         (bought <= now - F.expr(f"INTERVAL {SHIP_AFTER_MINUTES} MINUTES"))
     o = raw_orders.withColumn("shipped_now", F.coalesce(ship, F.lit(False)))
@@ -51,8 +48,9 @@ def advance_status(raw_orders: DataFrame, as_of: dt.datetime, floor: dt.datetime
         .withColumn("order_delivered_carrier_date",
                     F.when(F.col("shipped_now"), now).otherwise(F.col("order_delivered_carrier_date")))
     f = factor if factor is not None else delivery_factor("order_id")
-    lead = _micros(F.col("order_estimated_delivery_date")) - _micros(bought)
-    arrival = F.timestamp_micros(_micros(bought) + F.round(lead * f).cast("bigint")).cast("timestamp_ntz")
+    # Interval arithmetic on wall-clock (NTZ) times: rounded to the microsecond,
+    # independent of any time zone.
+    arrival = bought + (F.col("order_estimated_delivery_date") - bought) * f
     deliver = (F.col("order_status") == "shipped") & in_scope & \
         (bought <= now - F.expr(f"INTERVAL {DELIVER_AFTER_MINUTES} MINUTES"))
     o = o.withColumn("delivered_now", F.coalesce(deliver, F.lit(False)))

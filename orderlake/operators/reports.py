@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.functions.dates import ntz_lit
 from orderlake.functions.numeric import avg_round, ratio_round, round_double
 from orderlake.operators.metrics import delivered
 from orderlake.operators.ranking import rank_over
@@ -52,7 +53,7 @@ def recent_orders(raw_orders: DataFrame, n: int = 20) -> DataFrame:
 
 def status_counts(raw_orders: DataFrame, since: dt.datetime = dt.datetime(2026, 1, 1)) -> DataFrame:
     """Orders per status among those purchased since ``since``."""
-    return raw_orders.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast("timestamp_ntz")) \
+    return raw_orders.filter(F.col("order_purchase_timestamp") >= ntz_lit(since)) \
         .groupBy("order_status").agg(F.count(F.lit(1)).alias("nb_commandes"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from orderlake.operators import clean as C
 from orderlake.operators import metrics as A
+from orderlake.functions.dates import ntz_lit
 from orderlake.plans.oracle import D, MONTH, R, with_layers
 from orderlake.sources import testdata
 
@@ -1010,7 +1011,7 @@ ST5_BATCH_FROM = _dt.datetime(1998, 1, 1)   # orders from here on arrive as the
 def _st5(spark, d):
     c = clean(spark, d)
     out = f"{scratch(spark)}/daily_revenue"
-    cut = F.lit(ST5_BATCH_FROM).cast("timestamp_ntz")
+    cut = ntz_lit(ST5_BATCH_FROM)
     before = c["orders"].filter(F.col("purchased_at") < cut)
     ST.refresh_daily_revenue(before, c["payments"], ST.touched_months(before, "purchased_at"), out)
     batch = c["orders"].filter(F.col("purchased_at") >= cut)
