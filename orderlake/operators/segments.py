@@ -59,11 +59,17 @@ def rfm_features(raw_customers: DataFrame, raw_orders: DataFrame, raw_order_paym
 
 
 def standardize(df: DataFrame, cols: list[str] = FEATURES, suffix: str = "_z") -> DataFrame:
-    """M2: (x - mean) / population std per column; a constant column becomes 0."""
+    """M2: (x - mean) / population std per column; a constant column becomes 0.
+
+    All means and deviations come from one aggregate pass (a single
+    struct-valued scalar subquery), then one projection applies them.
+    """
+    stats = df.agg(F.struct(*[e for c in cols for e in (
+        F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
+        F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}"))])).scalar()
     out = [F.col(c) for c in df.columns]
     for c in cols:
-        mean = df.agg(F.avg(F.col(c).cast("double"))).scalar()
-        std = df.agg(F.stddev_pop(F.col(c).cast("double"))).scalar()
+        mean, std = stats[f"m_{c}"], stats[f"s_{c}"]
         z = F.when(std == 0, F.lit(0.0)).otherwise((F.col(c).cast("double") - mean) / std)
         out.append(z.alias(c + suffix))
     return df.select(*out)
@@ -219,16 +225,12 @@ def sample_customers(df: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
 def cap_outliers(sample: DataFrame, q: float = 0.99, cols: list[str] = FEATURES) -> DataFrame:
     """Cap each feature at its exact ``q`` quantile (linear interpolation) over the sample.
 
-    The sample is bounded (M11), so the exact percentile buffers at most n values.
+    The sample is bounded (M11), so the exact percentile buffers at most n
+    values; all caps come from one aggregate pass.
     """
-    out = []
-    for f in sample.schema.fields:
-        if f.name in cols:
-            cap = sample.agg(F.percentile(F.col(f.name).cast("double"), q)).scalar()
-            out.append(F.least(F.col(f.name).cast("double"), cap).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return sample.select(*out)
+    caps = sample.agg(F.struct(*[F.percentile(F.col(c).cast("double"), q).alias(c) for c in cols])).scalar()
+    return sample.select(*[F.least(F.col(f.name).cast("double"), caps[f.name]).alias(f.name) if f.name in cols
+                           else F.col(f.name) for f in sample.schema.fields])
 
 
 def pca_projection(capped: DataFrame, k: int = 2) -> DataFrame:
