@@ -53,9 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it from the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    is always used when present. Only a local-mode session without one gets a
-    private scratch folder (never on a cluster: a machine-local folder does not
-    survive the loss of an executor).
+    is always used when present. Without it, a cluster session uses a folder
+    under its (shared) ``spark.sql.warehouse.dir``, and only a local-mode
+    session gets a private scratch folder (a machine-local folder would not
+    survive the loss of an executor on a cluster).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,8 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="orderlake-ckpt-", dir="/tmp")
+        if sc.master.startswith("local"):
+            conf_dir = tempfile.mkdtemp(prefix="orderlake-ckpt-", dir="/tmp")
+        else:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            conf_dir = f"{warehouse.rstrip('/')}/_orderlake_checkpoints"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
