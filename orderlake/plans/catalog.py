@@ -442,21 +442,23 @@ _Q5_REASONS = ",\n".join(
        "CASE WHEN h.payment_value <= 0 THEN 'payment_value_not_positive' END"])
 
 
-@register("q5_validate_orders", with_layers(f"""
-        SELECT h.order_id, coalesce(h.order_status, 'processing') AS order_status,
-               concat_ws(',', {_Q5_REASONS}) AS reasons
-        FROM hdr h LEFT JOIN itm i ON h.order_id = i.order_id""",
-    hdr="""
+_Q5_HDR = """
         SELECT o.order_id, o.customer_id, c.customer_unique_id, c.customer_city, c.customer_state,
                o.order_status, o.order_purchase_timestamp AS purchased_at, p.payment_type,
                CAST(p.payment_value AS DOUBLE) AS payment_value
         FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
-        LEFT JOIN raw_order_payments p ON p.order_id = o.order_id AND p.payment_sequential = 1""",
-    itm="""
+        LEFT JOIN raw_order_payments p ON p.order_id = o.order_id AND p.payment_sequential = 1"""
+_Q5_ITM = """
         SELECT order_id, bool_or(product_id IS NULL) AS m_product_id, bool_or(seller_id IS NULL) AS m_seller_id,
                bool_or(price IS NULL) AS m_price, bool_or(freight_value IS NULL) AS m_freight_value,
                bool_or(price <= 0) AS price_bad, bool_or(freight_value < 0) AS freight_bad
-        FROM raw_order_items GROUP BY order_id"""))
+        FROM raw_order_items GROUP BY order_id"""
+
+
+@register("q5_validate_orders", with_layers(f"""
+        SELECT h.order_id, coalesce(h.order_status, 'processing') AS order_status,
+               concat_ws(',', {_Q5_REASONS}) AS reasons
+        FROM hdr h LEFT JOIN itm i ON h.order_id = i.order_id""", hdr=_Q5_HDR, itm=_Q5_ITM))
 def _q5(spark, d):
     r = raw(spark, d)
     items = r["raw_order_items"].select("order_id", "product_id", "seller_id",
@@ -921,10 +923,7 @@ def _s9(spark, d):
 
 # ------------------------------------------------------------------ streaming
 
-_VALID_CTES = dict(
-    hdr=ORACLES["q5_validate_orders"].split("hdr AS (", 1)[1].split("\n),\nitm AS (", 1)[0],
-    itm=ORACLES["q5_validate_orders"].split("\n),\nitm AS (", 1)[1].rsplit("\n)\n", 1)[0],
-)
+_VALID_CTES = dict(hdr=_Q5_HDR, itm=_Q5_ITM)
 _VALID_CTES["v"] = f"""
         SELECT h.order_id, concat_ws(',', {_Q5_REASONS}) AS reasons
         FROM hdr h LEFT JOIN itm i ON h.order_id = i.order_id"""
