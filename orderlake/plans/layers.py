@@ -1,7 +1,7 @@
-"""Layer runs (S7) and the full refresh pipeline.
+"""Layer runs (S7) and the full refresh of the warehouse.
 
 A layer is a dict of builder functions; ``run_layer`` builds every table of a
-layer from its inputs (lazy DataFrames). ``run_pipeline`` materialises the
+layer from its inputs (lazy DataFrames). ``run_full_refresh`` materialises the
 clean layer once, then builds the metrics layer from the written clean tables
 (so the analytics jobs read compact Parquet instead of re-running the raw
 lineage), and finishes with the data-quality report. Tables in a layer are
@@ -63,7 +63,7 @@ CLEAN_BUCKETS = {"orders": "order_id", "order_items": "order_id", "payments": "o
                  "reviews": "order_id", "customers": "customer_id"}
 
 
-def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
+def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
                  min_month_orders: int = 100, publish: bool = False, buckets: int | None = None,
                  database_prefix: str = "") -> DataFrame:
     """Full refresh: clean → metrics → quality, each table written as a new version.

@@ -50,7 +50,7 @@ def test_sample_prefilter_is_exact(spark):
     assert sorted(fast) == sorted(naive) and len(fast) == 50
 
 
-def test_kmeans_pipeline_smoke(spark):
+def test_kmeans_segmentation_smoke(spark):
     from orderlake.sources import testdata
     r = testdata.raw_tables(spark, "/root/testdata/sf0.001")
     rfm = M.rfm_features(r["raw_customers"], r["raw_orders"], r["raw_order_payments"])

@@ -45,15 +45,15 @@ def test_versioned_tables_and_catalog(spark):
     assert spark.table("orderlake_test.t").count() == 5
 
 
-def test_pipeline_buckets_and_publishes(spark):
+def test_full_refresh_buckets_and_publishes(spark):
     from orderlake.operators import metrics as A
-    from orderlake.plans.layers import run_pipeline
+    from orderlake.plans.layers import run_full_refresh
     from orderlake.sources import testdata
 
     root = _tmp(spark)
     raw = testdata.raw_tables(spark, "/root/testdata/sf0.001")
     counts = {(r["layer"], r["table_name"]): r["n_rows"]
-              for r in run_pipeline(spark, raw, root, min_month_orders=1, publish=True,
+              for r in run_full_refresh(spark, raw, root, min_month_orders=1, publish=True,
                                     database_prefix="t_").collect()}
     assert counts[("clean", "orders")] == 1500 and counts[("quality", "checks")] == 3
     assert spark.table("t_analytics.daily_revenue").count() == counts[("analytics", "daily_revenue")]
