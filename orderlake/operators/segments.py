@@ -208,10 +208,12 @@ def sample_customers(df: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
     survivors: the n smallest keys always have the n smallest prefixes, so when
     at least n rows pass (checked; otherwise nothing is filtered) the result is
     exactly the same while the final merge sees ~4n rows instead of n per
-    partition.
+    partition. The keyed input is checkpointed once (the counts and the take
+    read it instead of re-running its lineage), and so is the n-row sample.
     """
+    checkpoint_dir(df.sparkSession)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("customer_unique_id")))
-    keyed = df.withColumn("_key", key)
+    keyed = df.withColumn("_key", key).checkpoint(eager=True)
     total = keyed.count()
     if total > 8 * n:
         prefix = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
@@ -219,7 +221,7 @@ def sample_customers(df: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
         narrowed = keyed.filter(prefix < F.lit(cut))
         if narrowed.count() >= n:
             keyed = narrowed
-    return keyed.orderBy("_key", "customer_unique_id").limit(n).drop("_key")
+    return keyed.orderBy("_key", "customer_unique_id").limit(n).drop("_key").checkpoint(eager=True)
 
 
 def cap_outliers(sample: DataFrame, q: float = 0.99, cols: list[str] = FEATURES) -> DataFrame:
