@@ -45,6 +45,17 @@ def _join_first(pos: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     return pos.join(firsts, cond).drop(*alias.values())
 
 
+def range_stage(df: DataFrame, order: Sequence, n: int) -> DataFrame:
+    """Range-partition on the full ordering, sort each partition, tag global order ids.
+
+    The bounds are sampled over (keys, value, tie breaks), so one hot key is
+    split across as many partitions as its share of rows needs.
+    """
+    return (df.repartitionByRange(n, *order)
+            .sortWithinPartitions(*order)
+            .withColumn(_MID, F.monotonically_increasing_id()))
+
+
 def rank_over(df: DataFrame, order_col: str, *, partition_by: Sequence[str] = (),
               descending: bool = True, method: str = "rank", tie_break: Sequence[str] = (),
               out: str = "rank", num_partitions: int | None = None) -> DataFrame:
@@ -65,10 +76,7 @@ def rank_over(df: DataFrame, order_col: str, *, partition_by: Sequence[str] = ()
              + [F.col(t).asc_nulls_last() for t in tie_break])
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    staged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(_MID, F.monotonically_increasing_id()))
-    staged = staged.checkpoint(eager=True)
+    staged = range_stage(df, order, n).checkpoint(eager=True)
 
     pid = F.shiftright(F.col(_MID), 33)
     counts = staged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("_rk_n"))

@@ -40,3 +40,19 @@ def test_exact_median(spark):
     for k in ("a", "b", None):
         vals = [r["v"] for r in pdf if r["k"] == k and r["v"] is not None]
         assert got[k] == statistics.median(vals)
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    from orderlake.operators.ranking import range_stage
+    # one key holds a third of all rows
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                   .otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("k"),
+                                   (F.col("id") * 7919 % 10007).cast("double").alias("v"))
+    staged = range_stage(df, [F.col("k").asc_nulls_last(), F.col("v").desc_nulls_first()], 12)
+    parts = {r["p"] for r in staged.filter("k = 'hot'").select(F.shiftright("_rk_mid", 33).alias("p")).distinct()
+             .collect()}
+    assert len(parts) >= 3          # ~10k hot rows spread over several of the 12 range partitions
+    got = rank_over(df, "v", partition_by=["k"], out="r", num_partitions=12).filter("k = 'hot'")
+    exp = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_first()))) \
+        .filter("k = 'hot'")
+    assert sorted((r.v, r.r) for r in got.collect()) == sorted((r.v, r.r) for r in exp.collect())
