@@ -11,6 +11,7 @@ independent, so their order is free.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +66,16 @@ CLEAN_BUCKETS = {"orders": "order_id", "order_items": "order_id", "payments": "o
 
 def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
                  min_month_orders: int = 100, publish: bool = False, buckets: int | None = None,
-                 database_prefix: str = "") -> DataFrame:
+                 database_prefix: str = "", parallel_tables: int = 4) -> DataFrame:
     """Full refresh: clean → metrics → quality, each table written as a new version.
 
     The clean layer is written once (bucketed where joins need it, see
     ``CLEAN_BUCKETS``; ``buckets`` defaults to the shuffle partition count) and
     the metrics layer is built from those written tables. With ``publish``
     every version also becomes ``<prefix><layer>.<table>`` in the catalog
-    (databases created when absent). Returns (layer, table_name, n_rows).
+    (databases created when absent). The tables of one layer are independent,
+    so up to ``parallel_tables`` of them are written as concurrent Spark jobs.
+    Returns (layer, table_name, n_rows).
     """
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     written: list[tuple[str, str]] = []
@@ -95,10 +98,16 @@ def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse:
         written.append((layer, name))
         return out
 
-    clean = {name: write(df, "clean", name) for name, df in run_layer(CLEAN_LAYER, raw).items()}
-    for name, df in run_layer(analytics_layer(min_month_orders), clean).items():
-        write(df, "analytics", name)
+    def write_layer(tables: dict[str, DataFrame], layer: str) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
+            futures = {name: pool.submit(write, df, layer, name) for name, df in tables.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    db("clean"), db("analytics"), db("quality")      # create the databases before concurrent writes
+    clean = write_layer(run_layer(CLEAN_LAYER, raw), "clean")
+    write_layer(run_layer(analytics_layer(min_month_orders), clean), "analytics")
     write(Q.data_quality(raw["raw_orders"], raw["raw_order_payments"]), "quality", "checks")
+    written.sort(key=lambda t: (["clean", "analytics", "quality"].index(t[0]), t[1]))
     counts = None
     for layer, name in written:
         c = read_table(spark, f"{warehouse}/{layer}", name).agg(F.count(F.lit(1)).alias("n_rows")) \
