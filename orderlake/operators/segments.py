@@ -11,6 +11,7 @@ medians use the distributed row numbering (``exact_median``).
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -86,7 +87,8 @@ class SegmentationFit:
 
 
 def fit_kmeans(rfm: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4, rows_per_partition: int = 1_000_000) -> SegmentationFit:
+               max_iter: int = 300, tol: float = 1e-4, rows_per_partition: int = 1_000_000,
+               parallel_fits: int = 4) -> SegmentationFit:
     """M3: K-Means on standardised RFM; ``n_init`` seeded fits, lowest cost kept.
 
     The standardised features are checkpointed (a reliable copy: the fits and
@@ -101,12 +103,18 @@ def fit_kmeans(rfm: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
                        math.ceil(rows / rows_per_partition)))
     assembler = VectorAssembler(inputCols=[c + "_z" for c in FEATURES], outputCol="features")
     vec = assembler.transform(z).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = []
+
+    def fit_one(s: int) -> tuple[float, int, KMeansModel]:
+        m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
+                   predictionCol="cluster").fit(vec)
+        return m.summary.trainingCost, s, m
+
     try:
-        for s in range(seed, seed + n_init):
-            m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
-                       predictionCol="cluster").fit(vec)
-            fits.append((m.summary.trainingCost, s, m))
+        # The seeded restarts are independent jobs over the same persisted
+        # input; submitting a few at once lets the scheduler overlap them.
+        # Each fit depends only on its seed, so the choice below is unchanged.
+        with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
+            fits = list(pool.map(fit_one, range(seed, seed + n_init)))
     finally:
         vec.unpersist()
     best = min(fits, key=lambda t: (t[0], t[1]))
