@@ -1029,8 +1029,19 @@ def _st5(spark, d):
 # order, label map) checked against SQL on a deterministic grouping of the RFM
 # features: the frequency tier (1, 2, 3, 4+ delivered orders) as the cluster id.
 
-def _tiers(spark, d) -> DataFrame:
-    return _rfm(spark, d).withColumn("cluster", (F.least(F.col("frequency"), F.lit(4)) - 1).cast("int"))
+_TIER_TABLES: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def _tier_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tiers, labels, segments) on frequency tiers, computed once per session and scale factor."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TIER_TABLES:
+        checkpoint_dir(spark)
+        tiers = _rfm(spark, d).withColumn("cluster", (F.least(F.col("frequency"), F.lit(4)) - 1).cast("int")) \
+            .checkpoint(eager=True)
+        labels = M.label_clusters(tiers)
+        _TIER_TABLES[key] = (tiers, labels, M.assign_segments(tiers, labels).checkpoint(eager=True))
+    return _TIER_TABLES[key]
 
 
 _TIER_CTES = dict(rfm_j=_RFM_J, rfm=_M1_SQL, tiers="""
@@ -1057,7 +1068,7 @@ _TIER_CTES = dict(rfm_j=_RFM_J, rfm=_M1_SQL, tiers="""
                              WHEN 4 THEN 'Inactifs' END AS segment
         FROM labelled""", **_TIER_CTES))
 def _m6_tiers(spark, d):
-    lab = M.label_clusters(_tiers(spark, d))
+    lab = _tier_tables(spark, d)[1]
     return lab.select("cluster", *[round_double(f"{c}_med", 6).alias(f"{c}_med") for c in M.FEATURES],
                       "score", F.col("position").cast("int").alias("position"), "segment")
 
@@ -1067,8 +1078,7 @@ def _m6_tiers(spark, d):
                {R('median(frequency)', 6)} AS frequency_med, {R('median(monetary)', 6)} AS monetary_med
         FROM segs GROUP BY segment""", **_TIER_CTES))
 def _m10_tiers(spark, d):
-    tiers = _tiers(spark, d)
-    return M.segment_profile(M.assign_segments(tiers, M.label_clusters(tiers)))
+    return M.segment_profile(_tier_tables(spark, d)[2])
 
 
 # ------------------------------------------------------------------ S2 – S6 over the testdata
@@ -1137,5 +1147,4 @@ _M10_TIERS_SQL = ORACLES["m10_profile_on_frequency_tiers"]
                {R('median(frequency)', 6)} AS frequency_med, {R('median(monetary)', 6)} AS monetary_med
         FROM segs GROUP BY segment"""))
 def _d5_tiers(spark, d):
-    tiers = _tiers(spark, d)
-    return RP.segment_bars(M.segment_profile(M.assign_segments(tiers, M.label_clusters(tiers))))
+    return RP.segment_bars(M.segment_profile(_tier_tables(spark, d)[2]))
