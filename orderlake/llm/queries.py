@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlake.llm import bpe, packing, sharding, token_files
+from orderlake.llm import ann, bpe, jaccard, packing, pivots, sharding, token_files
 from orderlake.llm._io import new_folder
 from orderlake.llm.oracle import ORACLES
 
@@ -33,6 +34,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(coded, ranks))
 
 
+@_register
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @_register
 def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "source"), SHARDS)
@@ -45,8 +51,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_register
+def op5_linked_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1).drop("ids")
 
 
+@_register
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
