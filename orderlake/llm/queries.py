@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import ann, bpe, jaccard, packing, pivots, sharding, token_files
-from orderlake.llm._io import new_folder
+from orderlake.llm import ann, bpe, jaccard, language, packing, pii, pivots, sharding, token_files, toxicity
+from orderlake.llm._io import crc32_of, new_folder
 from orderlake.llm.oracle import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,28 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc32_of(F.col("doc_id")) % 4 == 2
+    sample = language.train(docs, ~held_out)
+    return language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), sample).select("doc_id", "held_out", "lang_pred", "score", "phrase_rate")
+
+
+@_register
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+@_register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc32_of(F.col("doc_id")) % 3 == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
