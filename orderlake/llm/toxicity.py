@@ -24,9 +24,9 @@ from orderlake.llm._text import PieceCache
 #: Feature hashes are taken modulo this.
 SIZE = 1 << 22
 #: Labelled documents of either label that are trained on at most.
-SAMPLE = {1: 3000, 0: 6000}
-#: FTRL-proximal: learning rate, its softener, L1 and L2; passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 1.5, 1.0, 3
+SAMPLE = {1: 4000, 0: 6000}
+#: FTRL-proximal: learning rate, its softener, L1 and L2; passes over the sample; how often a pass repeats the rarer label 1 at most.
+ALPHA, BETA, L1, L2, PASSES, REPEATS = 3.0, 1.0, 12.0, 0.01, 5, 8
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 
@@ -66,10 +66,15 @@ class Model:
 
 
 def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
-    """FTRL-proximal over (label, features) rows in the order given; without both labels, the bias alone tells their share."""
+    """FTRL-proximal over (label, features) rows in the order given; without both labels, the bias alone tells their share.
+
+    Where label 1 is the rarer, each of its rows counts as several, so that both weigh about the same.
+    """
     positive = sum(y for y, _ in rows)
     if not 0 < positive < len(rows):
         return Model(np.zeros(0, np.int64), np.zeros(0), math.log((positive + 0.5) / (len(rows) - positive + 0.5)))
+    again = min(REPEATS, max(1, round((len(rows) - positive) / positive)))
+    rows = [row for row in rows for _ in range(again if row[0] else 1)]
     z, n = np.zeros(SIZE + 1), np.zeros(SIZE + 1)
 
     def weights(at):
