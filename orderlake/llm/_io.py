@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,24 @@ from orderlake.session import checkpoint_dir
 ARROW_ROWS = 500
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> None:
-    """Lower the rows of an Arrow batch where the session still has Spark's own default."""
+    """Make a session ready for the package's Arrow functions.
+
+    Workers get the package through Spark's own file distribution (they need
+    not have it on their path), and an Arrow batch gets fewer rows where the
+    session still has Spark's own default.
+    """
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="orderlake-code-")) / f"{package.name}.zip"  # on the driver; Spark serves it
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(ARROW_ROWS))
