@@ -34,10 +34,8 @@ def clean_orders(raw_orders: DataFrame) -> DataFrame:
 
 
 def _products_with_category(raw_products: DataFrame, translation: DataFrame) -> DataFrame:
-    # The translation table has one row per category name: its size is bounded
-    # by the category vocabulary, not by the data, so broadcasting it is safe.
-    t = F.broadcast(translation.select(
-        F.col("product_category_name").alias("_t_name"), "product_category_name_english"))
+    # No broadcast hint: the planner broadcasts the translation when its measured size allows.
+    t = translation.select(F.col("product_category_name").alias("_t_name"), "product_category_name_english")
     return raw_products.join(t, F.col("product_category_name") == F.col("_t_name"), "left").drop("_t_name")
 
 

@@ -151,8 +151,7 @@ def spending_bands(clv: DataFrame) -> DataFrame:
     spark = clv.sparkSession
     bands = spark.createDataFrame([(o, label) for o, label, _, _ in SPENDING_BANDS],
                                   "band_order int, spending_range string")
-    # Five fixed rows: a bounded broadcast.
-    return F.broadcast(bands).join(counts, "band_order", "left").select(
+    return bands.join(counts, "band_order", "left").select(
         "band_order", "spending_range", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count"))
 
 

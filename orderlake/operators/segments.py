@@ -10,13 +10,11 @@ medians use the distributed row numbering (``exact_median``).
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -25,6 +23,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.numeric import round_double
 from orderlake.operators.ranking import exact_medians
 from orderlake.session import checkpoint_dir
+from orderlake.sources.files import write_table
 
 FEATURES = ["recency", "frequency", "monetary"]
 
@@ -87,22 +86,18 @@ class SegmentationFit:
 
 
 def fit_kmeans(rfm: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4, rows_per_partition: int = 1_000_000,
-               parallel_fits: int = 4) -> SegmentationFit:
+               max_iter: int = 300, tol: float = 1e-4, parallel_fits: int = 4) -> SegmentationFit:
     """M3: K-Means on standardised RFM; ``n_init`` seeded fits, lowest cost kept.
 
     The standardised features are checkpointed (a reliable copy: the fits and
     every report read it instead of recomputing the RFM lineage). The fit input
-    is sized to about ``rows_per_partition`` rows per partition and persisted
-    once for all fits (recomputable from the checkpoint if an executor is lost).
+    keeps the partitions of that copy and is persisted once for all fits
+    (recomputable from the checkpoint if an executor is lost).
     """
     checkpoint_dir(rfm.sparkSession)
     z = standardize(rfm).checkpoint(eager=True)
-    rows = z.count()
-    parts = max(1, min(int(rfm.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4,
-                       math.ceil(rows / rows_per_partition)))
     assembler = VectorAssembler(inputCols=[c + "_z" for c in FEATURES], outputCol="features")
-    vec = assembler.transform(z).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = assembler.transform(z).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit_one(s: int) -> tuple[float, int, KMeansModel]:
         m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
@@ -122,16 +117,40 @@ def fit_kmeans(rfm: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
     return SegmentationFit(model=model, cost=float(cost), seed=s, assigned=model.transform(assembler.transform(z)))
 
 
-def silhouette(assigned: DataFrame) -> float:
-    """M4: silhouette with Spark's evaluator (squared Euclidean distance)."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
-                             distanceMeasure="squaredEuclidean")
-    return float(ev.evaluate(assigned))
+def silhouette(assigned: DataFrame) -> DataFrame:
+    """M4: one row: the mean silhouette with squared Euclidean distance over the standardised features.
 
-
-def inertia(fit: SegmentationFit) -> float:
-    """M5: within-cluster sum of squared distances on population-standardised features."""
-    return fit.cost
+    A point's mean squared distance to a cluster needs only the cluster's size,
+    mean and mean square, so one grouped aggregate (k rows, broadcast) and one
+    pass over the points give it exactly; clusters of one point score 0.
+    """
+    z = [f"{c}_z" for c in FEATURES]
+    norm = sum((F.col(c) * F.col(c) for c in z), F.lit(0.0))
+    stats = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(norm).alias("sq"), *[F.avg(c).alias(f"m_{c}") for c in z])
+    # k rows: a bounded array in a scalar subquery.
+    clusters = stats.agg(F.collect_list(F.struct("cluster", "n", "sq", *[f"m_{c}" for c in z]))).scalar()
+    far = F.transform("_clusters", lambda s: F.struct(
+        s["cluster"].alias("cluster"), s["n"].alias("n"),
+        F.greatest(F.lit(0.0), norm + s["sq"] - 2 * sum((F.col(c) * s[f"m_{c}"] for c in z), F.lit(0.0))).alias("d")))
+    x = assigned.withColumn("_clusters", clusters).withColumn("_far", far)
+    own = F.get(F.filter("_far", lambda s: s["cluster"] == F.col("cluster")), F.lit(0))
+    x = x.select(own.alias("own"), F.array_min(F.transform(F.filter("_far", lambda s: s["cluster"] != F.col("cluster")), lambda s: s["d"])).alias("b"))
+    a = F.col("own.d") * F.col("own.n") / (F.col("own.n") - 1)
+    score = F.when(F.col("own.n") == 1, 0.0).otherwise((F.col("b") - a) / F.nullif(F.greatest("b", a), F.lit(0.0)))
+    return x.agg(F.avg(F.coalesce(score, F.lit(0.0))).alias("silhouette_squared_euclidean"))
+
+
+def squared_distances(fit: SegmentationFit) -> DataFrame:
+    """Each row of the assignment with ``own`` (squared distance to its cluster's centre) and ``nearest`` (to the nearest one)."""
+    z = [f"{c}_z" for c in FEATURES]
+    d = [sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(z, centre, strict=True)), F.lit(0.0))
+         for centre in fit.model.clusterCenters()]
+    return fit.assigned.withColumn("own", F.get(F.array(*d), F.col("cluster"))).withColumn("nearest", F.array_min(F.array(*d)))
+
+
+def inertia(fit: SegmentationFit) -> DataFrame:
+    """M5: one row: the within-cluster sum of squared distances over the assigned rows."""
+    return squared_distances(fit).agg(F.sum("own").alias("inertia"))
 
 
 # ---------------------------------------------------------------- M6 – M10
@@ -176,25 +195,30 @@ def segment_sizes(segments: DataFrame) -> DataFrame:
     return segments.groupBy("segment").agg(F.count(F.lit(1)).alias("n_customers"))
 
 
-def run_metrics(fit: SegmentationFit, segments: DataFrame, silhouette_value: float) -> DataFrame:
-    """M8: one row per run metric (name, value)."""
-    spark = segments.sparkSession
-    n_clusters = fit.model.getK()
-    head = spark.createDataFrame(
-        [("n_clusters", float(n_clusters)), ("silhouette_score", round(silhouette_value, 4)),
-         ("inertia", round(fit.cost, 2))], "metric string, value double")
+def run_metrics(fit: SegmentationFit, segments: DataFrame) -> DataFrame:
+    """M8: one row per run metric (name, value), all computed from the assigned rows and the segments."""
+    n_clusters = fit.assigned.agg(F.lit("n_clusters").alias("metric"), F.count_distinct("cluster").cast("double").alias("value"))
+    score = silhouette(fit.assigned).select(F.lit("silhouette_squared_euclidean").alias("metric"),
+                                            F.round("silhouette_squared_euclidean", 4).alias("value"))
+    cost = inertia(fit).select(F.lit("inertia").alias("metric"), F.round("inertia", 2).alias("value"))
     n_customers = segments.agg(F.lit("n_customers").alias("metric"), F.count(F.lit(1)).cast("double").alias("value"))
     per_seg = segment_sizes(segments).select(
         F.concat(F.lit("n_"), F.regexp_replace("segment", " ", "_")).alias("metric"),
         F.col("n_customers").cast("double").alias("value"))
-    return head.unionByName(n_customers).unionByName(per_seg)
+    return n_clusters.unionByName(score).unionByName(cost).unionByName(n_customers).unionByName(per_seg)
 
 
-def save_segments(segments: DataFrame, path: str, fit: SegmentationFit | None = None) -> None:
-    """M9: overwrite the segments table (Parquet) and, if given, the fitted model."""
-    segments.write.mode("overwrite").parquet(f"{path.rstrip('/')}/customer_segments")
-    if fit is not None:
-        fit.model.write().overwrite().save(f"{path.rstrip('/')}/kmeans_model")
+def save_run(fit: SegmentationFit, segments: DataFrame, root: str) -> str:
+    """M8/M9: write a run: the segments as a new table version, its metrics under the same version, the fitted model.
+
+    Versions are immutable and a reader takes the newest complete one, so a
+    failed run leaves the former tables in place. Returns the segments' path.
+    """
+    path = write_table(segments, root, "customer_segments")
+    run = path.rsplit("=", 1)[1]
+    run_metrics(fit, segments).withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(f"{root.rstrip('/')}/run_metrics")
+    fit.model.write().overwrite().save(f"{root.rstrip('/')}/kmeans_model/v={run}")
+    return path
 
 
 def segment_profile(segments: DataFrame) -> DataFrame:
@@ -209,27 +233,13 @@ def segment_profile(segments: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- M11 – M13
 
 def sample_customers(df: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
-    """A reproducible sample of min(n, rows): the n smallest md5(seed:id).
-
-    The last step is a take-ordered of n rows. Before it, rows are prefiltered
-    on the first 32 bits of the same hash with a threshold sized for about 4n
-    survivors: the n smallest keys always have the n smallest prefixes, so when
-    at least n rows pass (checked; otherwise nothing is filtered) the result is
-    exactly the same while the final merge sees ~4n rows instead of n per
-    partition. The keyed input is checkpointed once (the counts and the take
-    read it instead of re-running its lineage), and so is the n-row sample.
+    """A reproducible sample of min(n, rows): the n smallest md5(seed:id), rows without an id last.
+
+    One take-ordered: every task keeps its n smallest rows and one merge takes
+    the n smallest of those.
     """
-    checkpoint_dir(df.sparkSession)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("customer_unique_id")))
-    keyed = df.withColumn("_key", key).checkpoint(eager=True)
-    total = keyed.count()
-    if total > 8 * n:
-        prefix = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
-        cut = int(min(1.0, 4.0 * n / total) * 4294967296)
-        narrowed = keyed.filter(prefix < F.lit(cut))
-        if narrowed.count() >= n:
-            keyed = narrowed
-    return keyed.orderBy("_key", "customer_unique_id").limit(n).drop("_key").checkpoint(eager=True)
+    return df.orderBy(key.asc_nulls_last(), F.col("customer_unique_id").asc_nulls_last()).limit(n)
 
 
 def cap_outliers(sample: DataFrame, q: float = 0.99, cols: list[str] = FEATURES) -> DataFrame:

@@ -500,7 +500,7 @@ def _l3(spark, d):
 D4_SINCE = _dt.datetime(2000, 1, 1)      # warehouse default 2026-01-01
 D6_HIST, D6_SIM = 1998, 2000             # warehouse defaults 2018 / 2026
 D7_LIMIT = 20.0                          # warehouse default 500
-D8_MIN_ORDERS, D8_TOP, D9_TOP = 100, 5, 3   # warehouse defaults 100 / 20 / 10
+D8_MIN_ORDERS, D8_TOP, D9_TOP = 100, 20, 10
 D17_TOP = 20
 
 _MR = dict(kept_months=A2_BASE, mr=A2_SQL)
@@ -670,7 +670,7 @@ def _d17(spark, d):
 from orderlake.operators import segments as M  # noqa: E402
 from orderlake.functions.numeric import round_double  # noqa: E402
 
-M11_SAMPLE = 500          # warehouse default 5000 (testdata has ~1.4k people at sf0.01)
+M11_SAMPLE = 5000
 _FITS: dict[tuple[str, str], M.SegmentationFit] = {}
 
 
@@ -743,14 +743,12 @@ def _m3(spark, d):
 
 @register("m4_silhouette")
 def _m4(spark, d):
-    fit = _fit(spark, d)
-    return spark.range(1).select(F.lit(M.silhouette(fit.assigned)).alias("silhouette_squared_euclidean"))
+    return M.silhouette(_fit(spark, d).assigned)
 
 
 @register("m5_inertia")
 def _m5(spark, d):
-    fit = _fit(spark, d)
-    return spark.range(1).select(F.lit(M.inertia(fit)).alias("inertia"), F.lit(fit.seed).alias("best_seed"))
+    return M.inertia(_fit(spark, d))
 
 
 @register("m6_cluster_labels")
@@ -766,7 +764,7 @@ def _m7(spark, d):
 @register("m8_run_metrics")
 def _m8(spark, d):
     fit = _fit(spark, d)
-    return M.run_metrics(fit, _segments(spark, d), M.silhouette(fit.assigned))
+    return M.run_metrics(fit, _segments(spark, d))
 
 
 @register("m9_customer_segments")

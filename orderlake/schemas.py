@@ -81,8 +81,3 @@ ORDER_DOCUMENT = _struct(
     ("purchased_at", T.TimestampType()), ("estimated_delivery_at", T.TimestampType()),
     ("items", T.ArrayType(ORDER_ITEM)), ("payment_type", S), ("payment_value", T.DoubleType()),
 )
-
-CUSTOMER_SEGMENTS = _struct(
-    ("customer_unique_id", S), ("recency", T.IntegerType()), ("frequency", T.LongType()),
-    ("monetary", T.DoubleType()), ("segment", S),
-)

@@ -8,7 +8,7 @@ skew-join handling, and no web UI.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,17 +31,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "orderlake", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine defaults.
 
-    ``spark.checkpoint.dir`` is left alone when the caller provides one; only
-    when it is unset (local tests, the bench) a fresh scratch folder is used.
+    The master and the number of shuffle partitions are left to the caller's
+    or the cluster's configuration unless they are given. So is
+    ``spark.checkpoint.dir``; only a local session without one gets a scratch
+    folder.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus) * 2)
-    conf.setdefault("spark.driver.memory", "16g")
-    if extra:
-        conf.update(extra)
-    for k, v in conf.items():
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in (conf | (extra or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,10 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it from the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    is always used when present. Without it, a cluster session uses a folder
-    under its (shared) ``spark.sql.warehouse.dir``, and only a local-mode
-    session gets a private scratch folder (a machine-local folder would not
-    survive the loss of an executor on a cluster).
+    is always used when present. Only a local-mode session gets a private
+    scratch folder without it; on a cluster its absence is an error, because a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,10 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if sc.master.startswith("local"):
-            conf_dir = tempfile.mkdtemp(prefix="orderlake-ckpt-", dir="/tmp")
-        else:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            conf_dir = f"{warehouse.rstrip('/')}/_orderlake_checkpoints"
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="orderlake-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

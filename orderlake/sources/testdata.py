@@ -14,38 +14,9 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-_LOADED: dict[tuple[str, str], DataFrame] = {}
-
-
-FAN_OUT_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one testdata table (the file listing and footer read happen once per session).
-
-    A scan cannot split a Parquet row group, so a large table stored as a few
-    row groups would run its scan stage (and every narrow step and partial
-    aggregate fused into it) in a few tasks. When such a table arrives in fewer
-    partitions than the cluster has cores, it is spread round-robin over the
-    cores; column pruning and filters still push below the repartition. A
-    table stored in many files or row groups is read as is.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _LOADED:
-        df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and _input_bytes(spark, path) >= FAN_OUT_MIN_BYTES:
-            df = df.repartition(cores)
-        _LOADED[key] = df
-    return _LOADED[key]
+    """Read one testdata table as it is stored; its files and row groups decide the scan's tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class LazyTables(dict):

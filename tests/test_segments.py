@@ -1,9 +1,12 @@
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from orderlake.operators import segments as M
+from orderlake.session import checkpoint_dir
+from orderlake.sources.files import read_table
 from orderlake.schemas import RAW_CUSTOMERS, RAW_ORDER_PAYMENTS, RAW_ORDERS
 from tests.conftest import rows
 
@@ -41,13 +44,16 @@ def test_labels_average_ranks_on_ties(spark):
     assert [lab[c]["segment"] for c in range(4)] == ["A risque", "Clients fidèles", "Inactifs", "Champions"]
 
 
-def test_sample_prefilter_is_exact(spark):
+def test_sample_is_the_smallest_hashes(spark):
     df = spark.range(20000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("customer_unique_id"),
                                    F.col("id").alias("v"))
     fast = [r["customer_unique_id"] for r in M.sample_customers(df, 50, 7).collect()]
     key = F.md5(F.concat(F.lit("7:"), F.col("customer_unique_id")))
     naive = [r["customer_unique_id"] for r in df.orderBy(key, "customer_unique_id").limit(50).collect()]
     assert sorted(fast) == sorted(naive) and len(fast) == 50
+    some = df.limit(300).unionByName(spark.createDataFrame([(None, 1)], "customer_unique_id string, v long"))
+    assert all(r["customer_unique_id"] for n in (20, 50, 299) for r in M.sample_customers(some, n).collect())
+    assert M.sample_customers(some, 301).filter("customer_unique_id is null").count() == 1
 
 
 def test_kmeans_segmentation_smoke(spark):
@@ -58,6 +64,17 @@ def test_kmeans_segmentation_smoke(spark):
     segs = M.assign_segments(fit.assigned, M.label_clusters(fit.assigned))
     sizes = {r["segment"]: r["n_customers"] for r in rows(M.segment_sizes(segs))}
     assert set(sizes) <= set(M.SEGMENT_LABELS.values()) and sum(sizes.values()) == rfm.count()
-    assert fit.cost > 0 and -1.0 <= M.silhouette(fit.assigned) <= 1.0
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    judged = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean").evaluate(fit.assigned)
+    assert abs(M.silhouette(fit.assigned).first()[0] - judged) < 1e-9
+    assert abs(M.inertia(fit).first()[0] - fit.cost) < 1e-6 * fit.cost
+    assert M.squared_distances(fit).filter("own > nearest + 1e-9").count() == 0
+    root = f"{checkpoint_dir(spark)}/test-{uuid.uuid4().hex}"
+    for _ in range(2):
+        M.save_run(fit, segs, root)
+    assert read_table(spark, root, "customer_segments").count() == segs.count()
+    metrics = spark.read.parquet(f"{root}/run_metrics")
+    assert metrics.select("run").distinct().count() == 2
+    assert {r["metric"] for r in metrics.collect()} >= {"n_clusters", "silhouette_squared_euclidean", "inertia", "n_customers"}
     pca = M.pca_projection(M.cap_outliers(M.sample_customers(segs, 100)))
     assert pca.count() == 100 and {"pc1", "pc2", "pc1_variance_pct"} <= set(pca.columns)
