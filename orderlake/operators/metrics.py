@@ -76,25 +76,34 @@ def daily_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue(orders: DataFrame, payments: DataFrame, min_orders: int = 100) -> DataFrame:
-    """A2: months with at least ``min_orders`` delivered orders, with growth vs the previous kept month.
-
-    The LAG window has no partition key, but it runs over the month series,
-    which is bounded by the calendar span (not by data volume).
-    """
+def month_totals(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Delivered orders per purchase month: orders, revenue (exact), average order value."""
     j = _orders_payments(delivered(orders), payments, "purchased_at")
-    base = j.groupBy(month_start("purchased_at").alias("month")).agg(
+    return j.groupBy(month_start("purchased_at").alias("month")).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("total_payment").alias("_rev"),
         avg_round("total_payment", 2).alias("avg_order_value"),
-    ).filter(F.col("total_orders") >= min_orders)
+    )
+
+
+def month_growth(totals: DataFrame, min_orders: int = 100) -> DataFrame:
+    """Months with at least ``min_orders`` orders and their growth vs the previous kept month.
+
+    The LAG window has no partition key, but it runs over the month series,
+    which is bounded by the calendar span (not by data volume).
+    """
     prev = F.lag("_rev").over(Window.orderBy(F.col("month").asc_nulls_last()))
-    return base.select(
+    return totals.filter(F.col("total_orders") >= min_orders).select(
         "month", "total_orders", F.col("_rev").cast("double").alias("revenue"), "avg_order_value",
         ratio_round((F.col("_rev") - prev) * 100, prev, 2).alias("revenue_growth_pct"),
     )
 
 
+def monthly_revenue(orders: DataFrame, payments: DataFrame, min_orders: int = 100) -> DataFrame:
+    """A2: months with at least ``min_orders`` delivered orders, with growth vs the previous kept month."""
+    return month_growth(month_totals(orders, payments), min_orders)
+
+
 # ---------------------------------------------------------------- A3 / A4
 
 def top_products(order_items: DataFrame, orders: DataFrame, reviews: DataFrame,
@@ -177,7 +186,14 @@ def kpi_summary(orders: DataFrame, payments: DataFrame, reviews: DataFrame,
 
 def seller_performance(order_items: DataFrame, orders: DataFrame, sellers: DataFrame,
                        reviews: DataFrame, review_weight: str = "per_row") -> DataFrame:
-    """Delivered sales per seller with a global RANK by revenue.
+    """Delivered sales per seller with a global RANK by revenue."""
+    ranked = rank_over(seller_facts(order_items, orders, sellers, reviews, review_weight), "_revenue", out="revenue_rank")
+    return ranked.drop("_revenue")
+
+
+def seller_facts(order_items: DataFrame, orders: DataFrame, sellers: DataFrame,
+                 reviews: DataFrame, review_weight: str = "per_row") -> DataFrame:
+    """Delivered sales per seller, not ranked; ``_revenue`` is the exact total.
 
     Facts are aggregated per seller_id before the seller dimension is joined
     (one shuffle of the item facts instead of two). Repeated seller rows with
@@ -204,20 +220,16 @@ def seller_performance(order_items: DataFrame, orders: DataFrame, sellers: DataF
                           F.col("state").alias("seller_state")).agg(F.count(F.lit(1)).alias("_m"))
     x = per_seller.join(dim, "seller_id")
     m = F.col("_m")
-    out = x.select(
-        "seller_id", "seller_city", "seller_state", "total_orders",
-        (F.col("_rev") * m).alias("_revenue"),
+    revenue = F.col("_rev") * m
+    return x.select(
+        "seller_id", "seller_city", "seller_state", "total_orders", revenue.cast("double").alias("total_revenue"),
         ratio_round(F.col("_rev"), F.col("_w_n"), 2).alias("avg_product_price"),
         "unique_products",
         ratio_round(F.col("_score_sum"), F.col("_score_n"), 2).alias("avg_review_score"),
         ratio_round(F.col("_days_sum"), F.col("_days_n"), 1).alias("avg_delivery_days"),
         ratio_round(F.col("_ontime_sum") * 100, F.col("_ontime_n"), 2).alias("on_time_rate_pct"),
+        revenue.alias("_revenue"),
     )
-    ranked = rank_over(out, "_revenue", out="revenue_rank")
-    return ranked.select(
-        "seller_id", "seller_city", "seller_state", "total_orders",
-        F.col("_revenue").cast("double").alias("total_revenue"), "avg_product_price",
-        "unique_products", "avg_review_score", "avg_delivery_days", "on_time_rate_pct", "revenue_rank")
 
 
 # ---------------------------------------------------------------- A8

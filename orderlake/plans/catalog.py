@@ -640,7 +640,7 @@ def _d14(spark, d):
 
 def _sp(spark, d):
     c = clean(spark, d)
-    return A.seller_performance(c["order_items"], c["orders"], c["sellers"], c["reviews"])
+    return A.seller_facts(c["order_items"], c["orders"], c["sellers"], c["reviews"])
 
 
 @register("d15_seller_list", with_layers("""
@@ -913,31 +913,42 @@ def _ingest(spark, d) -> str:
 
 
 @register("st1_ingest_orders", with_layers("""
-        SELECT 'raw_orders' AS table_name, count(*) AS n_rows FROM v WHERE reasons = ''
-        UNION ALL SELECT 'raw_customers', count(*) FROM v WHERE reasons = ''
-        UNION ALL SELECT 'raw_order_payments', count(*) FROM v WHERE reasons = ''
-        UNION ALL SELECT 'raw_order_items', count(*) FROM raw_order_items
-                  WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')
-        UNION ALL SELECT 'rejects', count(*) FROM v WHERE reasons <> ''""", **_VALID_CTES))
+        SELECT 'raw_orders' AS table_name, order_id, customer_id AS detail, CAST(NULL AS DOUBLE) AS amount FROM hdr
+        WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')
+        UNION ALL SELECT 'raw_customers', customer_id, customer_unique_id, NULL FROM hdr
+        WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')
+        UNION ALL SELECT 'raw_order_payments', order_id, payment_type, payment_value FROM hdr
+        WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')
+        UNION ALL SELECT 'raw_order_items', order_id, product_id, CAST(price AS DOUBLE) FROM raw_order_items
+        WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')
+        UNION ALL SELECT 'rejects', order_id, NULL, NULL FROM v WHERE reasons <> ''""", **_VALID_CTES))
 def _st1(spark, d):
+    """The ingested rows after a second run with a new checkpoint that reads all documents again."""
     sink = _ingest(spark, d)
+    root = sink.rsplit("/", 1)[0]
+    ST.start_order_ingest(spark, f"{root}/source", sink, f"{root}/checkpoint-{uuid.uuid4().hex}").awaitTermination()
+    none = F.lit(None)
+    shown = {"raw_orders": ("order_id", F.col("customer_id"), none), "raw_customers": ("customer_id", F.col("customer_unique_id"), none),
+             "raw_order_payments": ("order_id", F.col("payment_type"), F.col("payment_value")),
+             "raw_order_items": ("order_id", F.col("product_id"), F.col("price")), "rejects": ("order_id", none, none)}
     out = None
-    for name in (*ST.INGEST_TABLES, "rejects"):
-        c = ST.read_ingested(spark, sink, name).agg(F.count(F.lit(1)).alias("n_rows")) \
-            .select(F.lit(name).alias("table_name"), "n_rows")
-        out = c if out is None else out.unionByName(c)
+    for name, (key, detail, amount) in shown.items():
+        rows = ST.read_ingested(spark, sink, name).select(F.lit(name).alias("table_name"), F.col(key).alias("order_id"),
+                                                          detail.cast("string").alias("detail"), amount.cast("double").alias("amount"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
 @register("st4_advance_ingested", with_layers("""
-        SELECT order_status, count(*) AS n_orders FROM advanced
-        WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '') GROUP BY order_status""",
-    **_LIFECYCLE_CTES, **_VALID_CTES))
+        SELECT order_id, order_status, CASE WHEN shipped_now THEN order_delivered_carrier_date END AS order_delivered_carrier_date
+        FROM advanced WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')""", **_LIFECYCLE_CTES, **_VALID_CTES))
 def _st4(spark, d):
+    """Two cycles, the second a second later: what shipped in the first keeps its date (documents carry none themselves)."""
     sink = _ingest(spark, d)
-    root = sink.rsplit("/", 1)[0]
-    path = ST.advance_ingested(spark, sink, f"{root}/status", AS_OF, LIFECYCLE_FLOOR)
-    return spark.read.parquet(path).groupBy("order_status").agg(F.count(F.lit(1)).alias("n_orders"))
+    status = f"{sink.rsplit('/', 1)[0]}/status-{uuid.uuid4().hex}"
+    ST.advance_ingested(spark, sink, status, AS_OF, LIFECYCLE_FLOOR)
+    path = ST.advance_ingested(spark, sink, status, AS_OF + _dt.timedelta(seconds=1), LIFECYCLE_FLOOR)
+    return spark.read.parquet(path).select("order_id", "order_status", "order_delivered_carrier_date")
 
 
 def _event_files(spark, d) -> str:
@@ -981,16 +992,34 @@ def _st3(spark, d):
 ST5_BATCH_FROM = _dt.datetime(1998, 1, 1)   # orders from here on arrive as the new batch
 
 
-@register("st5_refresh_months", with_layers(A1_SQL))
-def _st5(spark, d):
+def _refreshed(spark, d) -> dict[str, DataFrame]:
+    """The ST5 reports after two batches: the orders before a day, then the rest."""
     c = clean(spark, d)
-    out = f"{scratch(spark)}/daily_revenue"
-    cut = ntz_lit(ST5_BATCH_FROM)
+    root, cut = scratch(spark), ntz_lit(ST5_BATCH_FROM)
     before = c["orders"].filter(F.col("purchased_at") < cut)
-    ST.refresh_daily_revenue(before, c["payments"], ST.touched_months(before, "purchased_at"), out)
-    batch = c["orders"].filter(F.col("purchased_at") >= cut)
-    ST.refresh_daily_revenue(c["orders"], c["payments"], ST.touched_months(batch, "purchased_at"), out)
-    return spark.read.parquet(out).drop("month")
+    ST.refresh_reports(spark, root, c | {"orders": before}, ST.touched_months(before, "purchased_at"), MIN_MONTH_ORDERS)
+    batch = c["orders"].filter((F.col("purchased_at") >= cut) | F.col("purchased_at").isNull())
+    return ST.refresh_reports(spark, root, c, ST.touched_months(batch, "purchased_at"), MIN_MONTH_ORDERS)
+
+
+@register("st5_refresh_months", with_layers(A1_SQL))
+def _st5(spark, d):
+    return _refreshed(spark, d)["daily_revenue"]
+
+
+@register("st5_refresh_monthly_revenue", with_layers(A2_SQL, kept_months=A2_BASE))
+def _st5_a2(spark, d):
+    return _refreshed(spark, d)["monthly_revenue"]
+
+
+@register("st5_refresh_kpi_summary", with_layers(A6_SQL))
+def _st5_a6(spark, d):
+    return _refreshed(spark, d)["kpi_summary"]
+
+
+@register("st5_refresh_payment_analysis", with_layers(A9_SQL))
+def _st5_a9(spark, d):
+    return _refreshed(spark, d)["payment_analysis"]
 
 
 # The label and profile logic (exact medians, average ranks on ties, score

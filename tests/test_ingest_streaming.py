@@ -24,15 +24,32 @@ def test_fan_out_numbering_and_nulls(spark):
     assert s["ok"] == 1 and s["empty"] == 0
 
 
-def test_ingest_stream_replay_is_idempotent(spark):
+def test_ingest_survives_a_lost_checkpoint(spark):
     root = _tmp(spark)
     _docs(spark).repartition(2).write.json(f"{root}/src")
-    for _ in range(2):   # second run replays from a fresh checkpoint: same batch ids, same files
-        q = ST.start_order_ingest(spark, f"{root}/src", f"{root}/sink", f"{root}/ck-{uuid.uuid4().hex}")
+    for i in range(2):   # the second run has a new checkpoint and reads both files in one batch
+        q = ST.start_order_ingest(spark, f"{root}/src", f"{root}/sink", f"{root}/ck-{uuid.uuid4().hex}",
+                                  max_files_per_trigger=1 if i == 0 else None)
         q.awaitTermination()
-    orders = ST.read_ingested(spark, f"{root}/sink", "raw_orders")
-    assert orders.count() == 2 and orders.select("order_id").distinct().count() == 2
-    assert ST.read_ingested(spark, f"{root}/sink", "rejects").count() == 4
+    for name, n in (("raw_orders", 2), ("raw_customers", 2), ("raw_order_payments", 2), ("rejects", 4)):
+        assert ST.read_ingested(spark, f"{root}/sink", name).count() == n
+    # a batch that wrote tables but no marker is not seen
+    spark.read.parquet(f"{root}/sink/raw_orders").limit(1).drop("run", "batch_id").withColumn("order_id", F.lit("half")) \
+        .write.parquet(f"{root}/sink/raw_orders/run=x/batch_id=0")
+    assert ST.read_ingested(spark, f"{root}/sink", "raw_orders").count() == 2
+
+
+def test_a_status_moves_once(spark):
+    root, T = _tmp(spark), dt.datetime
+    docs = _docs(spark).filter("order_id = 'ok'").withColumn("order_status", F.lit("processing")) \
+        .withColumn("purchased_at", F.lit(T(2026, 2, 1, 12)).cast("timestamp")).withColumn("estimated_delivery_at", F.lit(T(2026, 2, 20)).cast("timestamp"))
+    docs.write.json(f"{root}/src")
+    ST.start_order_ingest(spark, f"{root}/src", f"{root}/sink", f"{root}/ck").awaitTermination()
+    seen = []
+    for as_of in (T(2026, 2, 1, 12, 20), T(2026, 2, 1, 13), T(2026, 2, 2, 13)):
+        r = spark.read.parquet(ST.advance_ingested(spark, f"{root}/sink", f"{root}/st", as_of)).first()
+        seen.append((r["order_status"], r["order_delivered_carrier_date"], r["shipped_now"]))
+    assert seen == [("shipped", T(2026, 2, 1, 12, 20), True), ("delivered", T(2026, 2, 1, 12, 20), False), ("delivered", T(2026, 2, 1, 12, 20), False)]
 
 
 def test_windowed_revenue_drops_late_rows(spark):
@@ -56,17 +73,25 @@ def test_windowed_revenue_drops_late_rows(spark):
 
 
 def test_refresh_touched_months(spark):
+    """An order without a purchase time, and a month whose last delivered order is canceled."""
     from orderlake.operators import metrics as A
     root = _tmp(spark)
     T = dt.datetime
-    o = spark.createDataFrame([("o1", "delivered", T(2020, 1, 5)), ("o2", "delivered", T(2020, 2, 5))],
-                              "order_id string, order_status string, purchased_at timestamp_ntz")
-    p = spark.createDataFrame([("o1", 1.0), ("o2", 2.0)], "order_id string, total_payment double") \
+
+    def orders(rows):
+        return spark.createDataFrame([(*r, 1, 3) for r in rows], "order_id string, order_status string, purchased_at timestamp_ntz, "
+                                     "delivered_on_time int, delivery_days int")
+
+    first = orders([("o1", "delivered", T(2020, 1, 5)), ("o2", "delivered", T(2020, 2, 5))])
+    then = orders([("o1", "canceled", T(2020, 1, 5)), ("o2", "delivered", T(2020, 2, 5)), ("o3", "delivered", None), ("o4", "delivered", T(2020, 3, 1))])
+    p = spark.createDataFrame([(f"o{i}", float(i)) for i in range(1, 5)], "order_id string, total_payment double") \
         .withColumn("total_payment", F.col("total_payment").cast("decimal(18,2)")) \
         .withColumn("payment_installments_count", F.lit(1)).withColumn("payment_types", F.lit("x"))
-    ST.refresh_daily_revenue(o.filter("order_id = 'o1'"), p, ST.touched_months(o.filter("order_id = 'o1'"),
-                             "purchased_at"), f"{root}/dr")
-    ST.refresh_daily_revenue(o, p, ST.touched_months(o.filter("order_id = 'o2'"), "purchased_at"), f"{root}/dr")
-    got = sorted((r["order_date"], r["revenue"]) for r in spark.read.parquet(f"{root}/dr").collect())
-    want = sorted((r["order_date"], r["revenue"]) for r in A.daily_revenue(o, p).collect())
-    assert got == want
+    reviews = spark.createDataFrame([("o2", 5, 1)], "order_id string, review_score int, has_comment int")
+    c = {"payments": p, "reviews": reviews}
+    ST.refresh_reports(spark, root, c | {"orders": first}, ST.touched_months(first, "purchased_at"), 1)
+    got = ST.refresh_reports(spark, root, c | {"orders": then}, ST.touched_months(then.filter("order_id <> 'o2'"), "purchased_at"), 1)
+    want = {"daily_revenue": A.daily_revenue(then, p), "monthly_revenue": A.monthly_revenue(then, p, 1),
+            "kpi_summary": A.kpi_summary(then, p, reviews), "payment_analysis": A.payment_analysis(then, p)}
+    for name, df in want.items():
+        assert sorted(map(str, got[name].select(df.columns).collect())) == sorted(map(str, df.collect())), name
