@@ -18,6 +18,7 @@ from orderlake.operators import clean as C
 from orderlake.operators import metrics as A
 from orderlake.functions.dates import ntz_lit
 from orderlake.plans.oracle import D, MONTH, R, with_layers
+from orderlake.schemas import RAW_SCHEMAS
 from orderlake.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1129,19 +1130,42 @@ _RAW_NAMES = ["raw_orders", "raw_order_items", "raw_order_payments", "raw_order_
               "raw_products", "raw_sellers", "raw_product_category_translation"]
 
 
-@register("s2_read_all_raw_csv", with_layers("\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _RAW_NAMES)))
+def _column_checks_sql() -> str:
+    """One row per raw table and column: rows, nulls, distinct values, and a sum over lengths, numbers or seconds."""
+    def total(c: str, kind: T.DataType) -> str:
+        if isinstance(kind, T.StringType):
+            return f"sum(length({c}))"
+        return f"sum(epoch({c})::BIGINT)" if isinstance(kind, T.TimestampNTZType) else f"sum({c})"
+
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count(*) AS n_rows, count(*) - count({f.name}) AS n_null,"
+        f" count(DISTINCT {f.name}) AS n_distinct, CAST({total(f.name, f.dataType)} AS DOUBLE) AS total FROM {t}"
+        for t in _RAW_NAMES for f in RAW_SCHEMAS[t].fields)
+
+
+@register("s2_read_all_raw_csv", with_layers(_column_checks_sql()))
 def _s2(spark, d):
+    """All eight tables written as CSV and read back, compared column by column."""
     root = scratch(spark)
     r = raw(spark, d)
     tables = {name: r[name] for name in _RAW_NAMES}      # build plans on this thread
     with ThreadPoolExecutor(max_workers=4) as pool:      # independent writes as concurrent jobs
         list(pool.map(lambda n: FS.write_csv_table(tables[n], f"{root}/{n}.csv"), _RAW_NAMES))
     got = FS.read_raw(spark, root)
+
+    def total(c: str, kind: T.DataType):
+        if isinstance(kind, T.StringType):
+            return F.sum(F.length(c))
+        return F.sum(F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})")) if isinstance(kind, T.TimestampNTZType) else F.sum(c)
+
     out = None
     for name in _RAW_NAMES:
-        c = got[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        out = c if out is None else out.unionByName(c)
+        every = F.count(F.lit(1))
+        rows = got[name].agg(F.array(*[F.struct(
+            F.lit(f.name).alias("column_name"), every.alias("n_rows"), (every - F.count(f.name)).alias("n_null"),
+            F.count_distinct(f.name).alias("n_distinct"), total(f.name, f.dataType).cast("double").alias("total"))
+            for f in RAW_SCHEMAS[name].fields]).alias("checks")).select(F.lit(name).alias("table_name"), F.inline("checks"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

@@ -55,7 +55,21 @@ def analytics_layer(min_month_orders: int = 100, review_weight: str = "per_row")
 
 def run_layer(layer: dict[str, Builder], inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Build every table of a layer (an empty layer gives an empty dict, not an error)."""
-    return {name: build(inputs) for name, build in layer.items()}
+    out = {}
+    for name, build in layer.items():
+        try:
+            out[name] = build(inputs)
+        except KeyError as missing:
+            raise ValueError(f"table {name!r} needs {missing.args[0]!r}, which was not read") from missing
+    return out
+
+
+def layer_named(name: str, min_month_orders: int = 100) -> dict[str, Builder]:
+    """The layer of that name; an unknown name raises a message that lists the known ones."""
+    layers = {"clean": CLEAN_LAYER, "analytics": analytics_layer(min_month_orders)}
+    if name not in layers:
+        raise ValueError(f"no layer {name!r}; there are {', '.join(sorted(layers))}")
+    return layers[name]
 
 
 # Clean tables written bucketed: the per-order tables share the order_id

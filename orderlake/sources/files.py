@@ -1,7 +1,8 @@
 """Raw CSV source (S1/S2) and versioned table sink/source.
 
-CSV files are read with the declared raw schemas (never inferred), with
-multi-line quoted fields; timestamp columns are read as text and cast to
+CSV files are read with the declared raw schemas (never inferred). Only review
+texts may span lines, so only that file is read as a whole; the others split
+into many tasks. Timestamp columns are read as text and cast to
 TIMESTAMP_NTZ, which is the raw-text → timestamp conversion of the clean
 layer (ANSI: malformed text raises). A missing file is logged and skipped.
 
@@ -41,9 +42,13 @@ def _text_schema(schema: T.StructType) -> T.StructType:
                                        else f.dataType, True) for f in schema.fields])
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: Tables whose quoted fields may hold line breaks.
+MULTI_LINE = frozenset({"raw_order_reviews"})
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     df = (spark.read.schema(_text_schema(schema))
-          .option("header", True).option("multiLine", True).option("escape", '"')
+          .option("header", True).option("multiLine", multi_line).option("escape", '"')
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("mode", "FAILFAST").csv(path))
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -58,7 +63,7 @@ def read_raw(spark: SparkSession, directory: str, files: dict[str, str] | None =
         if not path_exists(spark, path):
             log.warning("raw file missing, skipped: %s", path)
             continue
-        out[name] = read_csv_table(spark, path, RAW_SCHEMAS[name])
+        out[name] = read_csv_table(spark, path, RAW_SCHEMAS[name], name in MULTI_LINE)
     return out
 
 
