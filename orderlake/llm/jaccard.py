@@ -14,10 +14,11 @@ number, are broadcast). It steers the work and never the result.
 * The size where heavy begins comes from a cost model of the counts.
 
 Equal sets are one node from the start. Within a list, nodes are first compared
-with a hub of the list only (lists of frequent shingles are split by salt, each
-part with its own hub). What hubs connect needs no more comparing: after the
-first components, only pairs of a list that lie in different components are
-compared. Exact filters come first: on sizes and positions in the order, then
+with a hub of the list only: the node with the fewest infrequent shingles, as
+the original of a group of near copies has. What hubs connect needs no more
+comparing: after the first components, only pairs of a list that lie in
+different components are compared. The lists of frequent shingles are dealt
+out in parts, by salt. Exact filters come first: on sizes and positions in the order, then
 on parity bitmaps, whose distance never exceeds that of the sets. All that is
 left is compared shingle by shingle. So the components are exact without
 comparing all pairs of any group.
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._components import components
@@ -77,8 +78,8 @@ class Shingler:
         n = min(self._n, len(words))
         out = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):
-            out = _mixed(out * _MULT + h[i:len(h) - n + 1 + i])
-        return np.unique(out)
+            out = out * _MULT + h[i:len(h) - n + 1 + i]  # the words' hashes are mixed well already
+        return np.unique(_mixed(out))
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -170,8 +171,14 @@ def _part(node: int, count: np.ndarray) -> np.ndarray:
 
 
 def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent, light: int) -> DataFrame:
-    """Rows of the lists: list (a shingle's or a 2-subset's hash), part, node, n, left (shingles from the last listed one on), light."""
-    names = ["list", "part", "node", "n", "left", "light"]
+    """Rows of the lists: list (a shingle's or a 2-subset's hash), part, node, n, left (shingles from the last listed one on), odd.
+
+    ``odd`` is how many of a thousand of the node's shingles are not frequent:
+    the text that near copies were made from has the fewest, so it makes the
+    best hub.
+    """
+    names = ["list", "part", "node", "n", "left", "odd"]
+    kinds = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int32)
 
     def run(batches):
         tokens, times = frequent.value
@@ -180,12 +187,6 @@ def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent,
         shingler, seen = Shingler(words), set()
         for batch in batches:
             made = [[] for _ in names]
-
-            def add(lists, parts, node, n, left, is_light, made=made):
-                for column, x in zip(made, (lists.view(np.int64), parts, np.full(len(lists), node), np.full(len(lists), n, np.int64), left,
-                                            np.full(len(lists), is_light)), strict=True):
-                    column.append(x)
-
             for text in batch.column(0):
                 h = shingler.of(text.as_py())
                 n = len(h)
@@ -199,23 +200,27 @@ def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent,
                 seen.add(node)
                 count = np.zeros(n, np.int64)
                 maybe = np.flatnonzero(near[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
-                if len(maybe) and len(tokens):
+                if len(maybe):
                     at = np.minimum(np.searchsorted(tokens, h[maybe]), len(tokens) - 1)
                     count[maybe] = np.where(tokens[at] == h[maybe], times[at], 0)
+                odd = 1000 * int((count == 0).sum()) // n
                 p = n - _at_least(n, threshold) + 1
-                order = np.lexsort((h, count))[:p + 1]
+                order = np.argsort(count, kind="stable")[:p + 1]  # shingles of one count stay in the order of their hashes
                 first, count = h[order], count[order]
-                parts = _part(node, count)
+                rows = []
                 if n > light or 100 * n >= threshold * (light + 1):
-                    add(first[:p], parts[:p], node, n, n - np.arange(p), n <= light)
+                    rows.append((first[:p], _part(node, count[:p]), n - np.arange(p)))
                 if n <= light:
                     i, j = np.triu_indices(len(first), 1)
-                    add(_mixed(first[i] * _MULT + first[j]), _part(node, np.minimum(count[i], count[j])), node, n, n - j + 1, True)
+                    rows.append((_mixed(first[i] * _MULT + first[j]), _part(node, np.minimum(count[i], count[j])), n - j + 1))
+                for lists, parts, left in rows:
+                    size = len(lists)
+                    for column, x in zip(made, (lists.view(np.int64), parts, np.full(size, node), np.full(size, n), left, np.full(size, odd)), strict=True):
+                        column.append(x)
             if made[0]:
-                kinds = (np.int64, np.int32, np.int64, np.int32, np.int32, bool)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(k)) for c, k in zip(made, kinds, strict=True)], names=names)
 
-    return docs.select(F.col(text_col)).mapInArrow(run, "list bigint, part int, node bigint, n int, left int, light boolean")
+    return docs.select(F.col(text_col)).mapInArrow(run, "list bigint, part int, node bigint, n int, left int, odd int")
 
 
 def _needed(n_a: Column, n_b: Column, threshold: int) -> Column:
@@ -223,45 +228,11 @@ def _needed(n_a: Column, n_b: Column, threshold: int) -> Column:
     return F.ceil((n_a + n_b) * threshold / F.lit(100.0 + threshold) - 1e-9)
 
 
-def _hubs(lists: DataFrame, threshold: int) -> DataFrame:
-    """The rows of lists with more than one node, with each row's hub.
-
-    Rows arrive sorted by list, part and size, so one pass holds one hub. The
-    hub of a part is its first node; a node too large to link with it begins
-    the next stretch as its hub.
-    """
-    names = ["list", "part", "node", "n", "left", "light", "hub"]
-
-    def run(batches):
-        place, hub, hub_n, waiting, alone = None, None, 0, None, True
-        for batch in batches:
-            rows, cols = [], [batch.column(i).to_pylist() for i in range(6)]
-            last = None
-            for row in zip(*cols, strict=True):
-                if row[:3] == last:
-                    continue  # a copy from another task
-                last = row[:3]
-                if row[:2] != place:
-                    if waiting and (not alone or waiting[1] > 0):
-                        rows.append(waiting)
-                    place, hub, hub_n, alone = row[:2], row[2], row[3], True
-                    waiting = (*row, hub)
-                    continue
-                if waiting and waiting[2] == row[2]:
-                    continue
-                alone = False
-                if 100 * hub_n < threshold * row[3]:
-                    hub, hub_n = row[2], row[3]
-                if waiting:
-                    rows.append(waiting)
-                    waiting = None
-                rows.append((*row, hub))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
-        if waiting and (not alone or waiting[1] > 0):
-            yield pa.RecordBatch.from_arrays([pa.array([c]) for c in waiting], names=names)
-
-    return lists.mapInArrow(run, "list bigint, part bigint, node bigint, n bigint, left bigint, light boolean, hub bigint")
+def _shared(lists: DataFrame) -> DataFrame:
+    """The rows of lists that hold more than one node (of a list in parts, all rows)."""
+    part = Window.partitionBy("list", "part")
+    met = lists.withColumn("low", F.min("node").over(part)).withColumn("high", F.max("node").over(part))
+    return met.filter("low <> high or part > 0").drop("low", "high").dropDuplicates(["list", "part", "node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
@@ -326,31 +297,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     light = light_limit(total, times, threshold)
     frequent = spark.sparkContext.broadcast((tokens[by_token], times[by_token]))
 
-    rows = _lists(docs, "text", words, threshold, frequent, light)
-    rows = rows.repartition("list", "part").sortWithinPartitions("list", "part", "n", "node")
-    live = stage(_hubs(rows, threshold).select("list", "part", "node", "n", "left", "light", "hub"), "lists")
+    live = stage(_shared(_lists(docs, "text", words, threshold, frequent, light)), "lists")
 
     needed = live.select(F.col("node").alias("key")).distinct().join(classes.select("key", "one"), "key")
     here = docs.withColumn("mark", F.xxhash64("text"))
     texts = stage(here.join(needed, here["id"].eqNullSafe(needed["one.id"]) & (here["mark"] == needed["one.mark"])).groupBy("key").agg(F.first("text").alias("text")), "texts")
 
-    hub = live.select("list", "part", F.col("hub").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("light").alias("light_a")) \
-        .filter("node = hub")
-    beside = live.filter("node <> hub").withColumnRenamed("hub", "a").join(hub, ["list", "part", "a"]).filter(
-        (F.least("left_a", "left") >= _needed(F.col("n_a"), F.col("n"), threshold))).select("a", F.col("node").alias("b"))
-    tops = hub.groupBy("list").agg(F.min(F.struct("n_a", "a")).alias("top"), F.count("*").alias("hubs")).filter("hubs > 1")
-    across = hub.join(tops.select("list", F.col("top.a").alias("top"), F.col("top.n_a").alias("top_n")), "list").filter(
-        (F.col("a") != F.col("top")) & (F.col("top_n") * 100 >= F.col("n_a") * threshold)).select(F.col("top").alias("a"), F.col("a").alias("b"))
-    first = stage(beside.unionByName(across).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "hub_pairs")
+    hub = live.groupBy("list").agg(F.min(F.struct("odd", "node", "n", "left")).alias("hub"))
+    beside = live.join(hub, "list").filter(
+        (F.col("node") != F.col("hub.node")) & (F.least("left", "hub.left") >= _needed(F.col("n"), F.col("hub.n"), threshold)))
+    first = stage(beside.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "hub_pairs")
     links = _verified(first, classes, texts, words, threshold)
     linked = components(links)
 
     labelled = live.join(linked.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select(
-        "list", "node", "n", "left", "light", F.coalesce("component", "node").alias("component"))
+        "list", "node", "n", "left", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("list")
     open_lists = stage(labelled.join(mixed, "list"), "open_lists")
-    x = open_lists.select("list", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "left", "light", "component")])
-    y = open_lists.select("list", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "left", "light", "component")])
+    x = open_lists.select("list", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "left", "component")])
+    y = open_lists.select("list", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "left", "component")])
     others = x.join(y, "list").filter(
         (F.col("component_a") < F.col("component_b")) & (F.least("left_a", "left_b") >= _needed(F.col("n_a"), F.col("n_b"), threshold))) \
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
