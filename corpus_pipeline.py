@@ -45,12 +45,15 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one whose id is the group's smallest (operator 7).
 
-    Of rows that share that id, those of the smallest text hash stay (equal
-    rows are one). Rows with a null id stay only where their group has no id.
+    Rows that share that id stay where their texts differ. Rows without an id
+    stay, once for each text, if any of them is in a group where no row has one.
     """
     groups = stage(jaccard.near_duplicates(docs), "groups")
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    if not groups.filter("doc_id is null and component_id is null").isEmpty():
+        kept = kept.unionByName(docs.filter("doc_id is null"))
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

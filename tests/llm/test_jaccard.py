@@ -62,7 +62,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("frequent,light", [(500_000, 60), (50, 4)])
+@pytest.mark.parametrize("frequent,light", [(1_000_000, 60), (50, 4)])
 def test_op7_equals_all_pairs(spark, frequent, light, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "LIGHT_MOST", light)
