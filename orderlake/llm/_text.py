@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from array import array
 
+_WIDE = re.compile(r" \s")
+
 
 def space_chunks(text: str) -> list[str]:
     """Cut ``text`` before every U+0020 that a non-space character follows.
@@ -28,23 +31,46 @@ def space_chunks(text: str) -> list[str]:
 class PieceCache(dict):
     """piece -> the piece's numbers as little-endian 32-bit bytes, by ``numbers(piece)``.
 
-    Emptied when ``limit`` pieces are held; pieces over ``longest`` characters
-    are not held. Only speed depends on either.
+    When ``limit`` pieces are held, they become the older half, from which
+    pieces that are met again move back, and the half before is dropped; pieces
+    over ``longest`` characters are not held. Only speed depends on either.
     """
 
     def __init__(self, numbers, limit: int = 500_000, longest: int = 64):
         super().__init__()
         self._numbers, self._limit, self._longest = numbers, limit, longest
+        self._older: dict = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        out = self._numbers(piece)
-        if not isinstance(out, bytes):
-            out = array("I", out).tobytes()
+    def __missing__(self, piece) -> bytes:
+        out = self._older.get(piece)
+        if out is None:
+            out = self._numbers(piece)
+            if not isinstance(out, bytes):
+                out = array("I", out).tobytes()
         if len(piece) <= self._longest:
             if len(self) >= self._limit:
+                self._older = dict(self)
                 self.clear()
             self[piece] = out
         return out
 
     def of(self, pieces) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
+
+
+class TextCoder:
+    """text -> the numbers of its chunks (see ``space_chunks``) as little-endian 32-bit bytes, by ``numbers(chunk)``.
+
+    Most texts hold no white space after a space; their chunks are known by
+    what follows the space.
+    """
+
+    def __init__(self, numbers, limit: int = 300_000):
+        self._plain = PieceCache(numbers, limit // 4)
+        self._spaced = PieceCache(lambda word: numbers(" " + word), limit)
+
+    def of(self, text: str) -> bytes:
+        if _WIDE.search(text):
+            return self._plain.of(space_chunks(text))
+        first, *words = text.split(" ")
+        return (self._plain[first] if first else b"") + self._spaced.of(words)

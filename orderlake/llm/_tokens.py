@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from codecs import charmap_decode
 
-from orderlake.llm._text import PieceCache, space_chunks
+from orderlake.llm._text import PieceCache, TextCoder
 
 #: Fixed value: the split that a byte-level pre-tokenizer applies when its file names no other.
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -14,18 +15,18 @@ BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 #: Pieces with characters from here on (beyond Latin letters) go through the library's whole chain.
 _FAR = "ɐ"
 
-_CODERS: dict[str, PieceCache] = {}
+_CODERS: dict[str, TextCoder] = {}
 
 
-def _byte_spelling() -> dict[int, str]:
-    """Byte -> the character that stands for it in byte-level vocabularies: printable ones themselves, the others from U+0100 on in order."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+def _byte_spelling() -> str:
+    """The 256 characters that stand for bytes in byte-level vocabularies: printable ones themselves, the others from U+0100 on in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = sorted({*range(256)} - shown)
+    return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
-def coder(path: str) -> PieceCache:
-    """chunk -> ids as little-endian 32-bit bytes; one bounded cache for each Python worker, kept between its tasks.
+def coder(path: str) -> TextCoder:
+    """text -> ids as little-endian 32-bit bytes; bounded caches for each Python worker, kept between its tasks.
 
     The ids are those of ``encode(text, add_special_tokens=False)`` with special
     tokens taken as text. Latin pieces are split by the file's own pattern and
@@ -47,17 +48,17 @@ def coder(path: str) -> PieceCache:
             return whole.encode(chunk, add_special_tokens=False).ids
 
         if split is None:
-            _CODERS[path] = PieceCache(by_chain)
+            _CODERS[path] = TextCoder(by_chain)
         else:
             find = regex.compile(split).findall
-            pieces = PieceCache(lambda p: [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(spelling))], 800_000)
+            pieces = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 300_000)
 
             def numbers(chunk: str):
                 if not chunk.isascii() and (max(chunk) >= _FAR or lower and not unicodedata.is_normalized("NFC", chunk)):
                     return by_chain(chunk)
                 return pieces.of(find(chunk.lower() if lower else chunk))
 
-            _CODERS[path] = PieceCache(numbers, 400_000)
+            _CODERS[path] = TextCoder(numbers)
     return _CODERS[path]
 
 
@@ -77,5 +78,5 @@ def _short_way(told: dict) -> tuple[str | None, bool]:
 
 def ids_of(path: str, text: str | None, end_id: int | None = None) -> bytes:
     """Ids of a whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
-    out = coder(path).of(space_chunks(text or ""))
+    out = coder(path).of(text or "")
     return out if end_id is None else out + end_id.to_bytes(4, "little")

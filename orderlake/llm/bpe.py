@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm._io import free_name, prepare
-from orderlake.llm._text import PieceCache, space_chunks
+from orderlake.llm._text import PieceCache, TextCoder, space_chunks
 
 NONE = 2**31 - 1
 #: Characters after which a block of documents ends; a task holds one block.
@@ -167,18 +167,18 @@ def fold_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p is not None]
 
 
-_CACHES: dict[tuple[str, str], PieceCache] = {}
+_CODERS: dict[tuple[str, str], TextCoder] = {}
 
 
-def _word_coder(rank_path: str, pattern: str) -> PieceCache:
-    """chunk -> ids of its words; one bounded cache for each Python worker, kept between its tasks."""
-    if (rank_path, pattern) not in _CACHES:
+def _word_coder(rank_path: str, pattern: str) -> TextCoder:
+    """text -> ids of its words; bounded caches for each Python worker, kept between its tasks."""
+    if (rank_path, pattern) not in _CODERS:
         import regex
 
         ranks, find = read_ranks(rank_path), regex.compile(pattern).findall
-        words = PieceCache(lambda w: fold_word(w.encode("utf-8", "surrogatepass"), ranks), 800_000)
-        _CACHES[rank_path, pattern] = PieceCache(lambda chunk: words.of(find(chunk)), 400_000)
-    return _CACHES[rank_path, pattern]
+        words = PieceCache(lambda w: fold_word(w.encode("utf-8", "surrogatepass"), ranks), 300_000)
+        _CODERS[rank_path, pattern] = TextCoder(lambda chunk: words.of(find(chunk)))
+    return _CODERS[rank_path, pattern]
 
 
 def _task_encoder(rank_path: str, pattern: str, key_name: str, key_type: pa.DataType):
@@ -189,7 +189,7 @@ def _task_encoder(rank_path: str, pattern: str, key_name: str, key_type: pa.Data
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                coded = [coder.of(space_chunks(text.as_py() or "")) for text in part.column(1)]
+                coded = [coder.of(text.as_py() or "") for text in part.column(1)]
                 offsets = np.zeros(len(coded) + 1, np.int32)
                 np.cumsum([len(b) // 4 for b in coded], out=offsets[1:])
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), np.int32)))
