@@ -43,12 +43,14 @@ WORDS = 5
 THRESHOLD = 80
 #: Shingles after which a task reports those that it has met twice.
 COUNTED = 2_000_000
-#: Frequent shingles that are broadcast at most (16 bytes each).
-FREQUENT = 500_000
+#: Frequent shingles that are broadcast at most (16 bytes each): all that were met 2^i times or more, for the smallest i that fits.
+FREQUENT = 1_000_000
 #: Nodes of a part of a frequent shingle's list, about.
 PART_NODES = 300
 #: Bits of a parity bitmap.
 BITS = 1024
+#: Bits of the bitmap that picks the texts to compare (1 MB).
+MARK_BITS = 1 << 23
 #: Light sets have at most so many shingles, whatever the costs say (their 2-subsets grow with the square).
 LIGHT_MOST = 60
 
@@ -235,7 +237,25 @@ def _shared(lists: DataFrame) -> DataFrame:
     return met.filter("low <> high or part > 0").drop("low", "high").dropDuplicates(["list", "part", "node"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
+def _picked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose mark may be among ``marks``: all that are, and few others.
+
+    A bitmap of MARK_BITS bits, whatever the number of marks, is broadcast, so
+    texts that nobody asks for are not shuffled. With far more marks than bits
+    it lets everything pass and only costs its size.
+    """
+    def place(c: str):
+        return F.pmod(c, F.lit(MARK_BITS))
+
+    maps = marks.select(place("mark").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
+    rows = docs.withColumn("at", place("mark")).withColumn("bucket", F.bitmap_bucket_number("at"))
+    bit = F.bitmap_bit_position("at")
+    byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(maps), "bucket").filter(F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1).select(*docs.columns)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold: bitmaps first, then shingle by shingle."""
     a = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     b = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
@@ -265,6 +285,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, t
                 keep.append(100 * both >= threshold * (len(held_set) + len(other) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    wanted = left.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(sets.select("key", "one.id", "one.mark"), "key")
+    wanted = stage(wanted.select("key", F.col("id").alias("wanted_id"), F.col("mark").alias("wanted_mark")), "wanted")
+    here = _picked(docs.withColumn("mark", F.xxhash64("text")), wanted.select(F.col("wanted_mark").alias("mark")))
+    texts = stage(here.join(wanted, (F.col("mark") == F.col("wanted_mark")) & F.col("id").eqNullSafe(F.col("wanted_id")))
+                  .groupBy("key").agg(F.first("text").alias("text")), "texts")
     text_a = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     text_b = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     both = left.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
@@ -288,8 +313,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(told.filter("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits"),
                                                                F.min(F.struct("id", "mark")).alias("one")), "classes")
 
-    counted = (told.select(F.explode(F.arrays_zip("often", "times")).alias("x")).groupBy(F.col("x.often").alias("token"))
-               .agg(F.sum("x.times").alias("times")).orderBy(F.desc("times"), "token").limit(FREQUENT).toArrow())
+    often = stage(told.select(F.explode(F.arrays_zip("often", "times")).alias("x")).groupBy(F.col("x.often").alias("token"))
+                  .agg(F.sum("x.times").alias("times")), "often")
+    cut, room = 64, FREQUENT
+    for power, n in sorted(often.groupBy(F.floor(F.log2("times")).alias("power")).count().collect(), reverse=True):  # 64 rows at most
+        if n > room:
+            break
+        cut, room = power, room - n
+    counted = often.filter(F.floor(F.log2("times")) >= cut).toArrow()
     tokens = counted.column("token").to_numpy().view(np.uint64)
     times = counted.column("times").to_numpy().astype(np.int64)
     by_token = np.argsort(tokens, kind="stable")
@@ -299,15 +330,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     live = stage(_shared(_lists(docs, "text", words, threshold, frequent, light)), "lists")
 
-    needed = live.select(F.col("node").alias("key")).distinct().join(classes.select("key", "one"), "key")
-    here = docs.withColumn("mark", F.xxhash64("text"))
-    texts = stage(here.join(needed, here["id"].eqNullSafe(needed["one.id"]) & (here["mark"] == needed["one.mark"])).groupBy("key").agg(F.first("text").alias("text")), "texts")
-
     hub = live.groupBy("list").agg(F.min(F.struct("odd", "node", "n", "left")).alias("hub"))
     beside = live.join(hub, "list").filter(
         (F.col("node") != F.col("hub.node")) & (F.least("left", "hub.left") >= _needed(F.col("n"), F.col("hub.n"), threshold)))
     first = stage(beside.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), "hub_pairs")
-    links = _verified(first, classes, texts, words, threshold)
+    links = _verified(first, classes, docs, words, threshold)
     linked = components(links)
 
     labelled = live.join(linked.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select(
@@ -319,7 +346,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others = x.join(y, "list").filter(
         (F.col("component_a") < F.col("component_b")) & (F.least("left_a", "left_b") >= _needed(F.col("n_a"), F.col("n_b"), threshold))) \
         .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    more = _verified(others.join(first, ["a", "b"], "left_anti"), classes, texts, words, threshold)
+    more = _verified(others.join(first, ["a", "b"], "left_anti"), classes, docs, words, threshold)
     if not more.isEmpty():
         linked = components(links.unionByName(more))
 
