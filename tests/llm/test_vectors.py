@@ -86,3 +86,27 @@ def test_op5_links_and_components(spark, vectors):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
     assert len(got) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert pivots.linked_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("count, size", [(256, 3000), (4096, 6000)])
+def test_op5_group_of_near_copies_loses_no_link(spark, monkeypatch, count, size):
+    monkeypatch.setattr(pivots, "FEWEST_PIVOTS", count)
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(size, 64))
+    x[: size // 3] = x[0] + rnd.normal(size=(size // 3, 64)) * rnd.uniform(0.05, 0.3, (size // 3, 1))
+    x = x.astype(np.float32).astype(np.float64)
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert want.sum() > (size // 3) ** 2 / 2
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int").repartition(4)
+    got = {r.vec_id: r.n_links for r in pivots.linked_vectors(df).collect()}
+    assert [got[i] for i in range(size)] == want.tolist()
+
+
+def test_op5_short_vectors_among_longer_ones(spark):
+    rnd = np.random.default_rng(10)
+    short = rnd.normal(size=5) + rnd.normal(scale=0.05, size=(400, 5))
+    rows = [(i, v, 0) for i, v in enumerate([*short.tolist(), *rnd.normal(size=(400, 24)).tolist()])]
+    got = {r.vec_id: r.n_links for r in pivots.linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    unit = short / np.sqrt((short * short).sum(1))[:, None]
+    assert [got[i] for i in range(400)] == ((unit @ unit.T >= 0.93).sum(1) - 1).tolist()
