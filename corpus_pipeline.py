@@ -27,19 +27,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that have a letter and parse into phrases of a learned language (operator 8).
+    """The documents that have a letter and are written in a learned language's letters (operator 8).
 
-    Rejected: ``und``, and texts that need more than language.FOREIGN phrases a
-    character, which is like no learned language. A text's language need not be
+    Rejected: ``und``, and texts of any length with more than language.FOREIGN
+    of their letters in no learned language. A text's language need not be
     the one that its row declares. Where no row has a language to learn from,
     all documents stay.
     """
     sample = language.train(docs, crc32_of(F.col("doc_id")) % 4 != 2)
     if not sample.languages:
         return docs
-    names = [free_name(docs, n) for n in ("lang_pred", "score", "phrase_rate")]
-    told = language.predict(docs, sample, lang_out=names[0], score_out=names[1], rate_out=names[2])
-    return told.filter((F.col(names[0]) != "und") & (F.col(names[2]) <= language.FOREIGN)).select(docs.columns)
+    names = [free_name(docs, n) for n in ("lang_pred", "score", "phrase_rate", "strange")]
+    told = language.predict(docs, sample, lang_out=names[0], score_out=names[1], rate_out=names[2], strange_out=names[3])
+    return told.filter((F.col(names[0]) != "und") & (F.col(names[3]) <= language.FOREIGN)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,8 +27,9 @@ SAMPLE_DOCS, SAMPLE_CHARS = 80, 400
 BLOCK = 512
 #: Distinct letters that automata know; rarer ones count as one unknown letter.
 LETTERS = 120
-#: Phrases a character from which a text is like none of the languages.
-FOREIGN = 0.6
+#: Share of its letters that no sample has, above which a text is in none of the languages. (Phrases a character do not tell: they depend on
+#: the text's length and the size of the alphabet.)
+FOREIGN = 0.5
 
 _MISS = 1 << 30
 
@@ -58,7 +59,9 @@ class Parser:
         codes[codes == 1] = self.width - 1  # a letter that no sample has
         for i, c in enumerate(sample.letters):
             codes[c] = i + 1
-        self.codes = codes
+        self.codes, self.known = codes, np.zeros(0x110000, bool)
+        for text in sample.texts:
+            self.known[_letters(text)] = True
         tables, self.roots = [], []
         at = 0
         for text in sample.texts:
@@ -80,6 +83,12 @@ class Parser:
         c = self.codes[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
         return c[(c != 0) | (np.concatenate([[1], c[:-1]]) != 0)]
 
+    def strange(self, text: str) -> float:
+        """Share of the text's letters that no sample has; 0 where it has no letter."""
+        c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+        c = c[self.codes[c] != 0]
+        return float((~self.known[c]).mean()) if len(c) else 0.0
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text: phrases in each language, characters parsed, whether it has a letter."""
         coded = [self.coded(t) for t in texts]
@@ -164,17 +173,18 @@ _PARSERS: dict[int, Parser] = {}
 
 
 def predict(docs: DataFrame, sample: Sample, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",
-            rate_out: str = "phrase_rate") -> DataFrame:
+            rate_out: str = "phrase_rate", strange_out: str | None = None) -> DataFrame:
     """``docs`` with the predicted language, its score and the phrases a character it needs (underscores added to names that are taken).
 
     The score is the runner-up's share of the two normalised phrase counts: 0.5
     for a tie (the alphabetically first language wins), towards 1 the clearer
     (1 where one language was learned). Texts that are null or have no letter,
     and all texts where no language was learned, get ``und``, score 0 and a
-    null rate.
+    null rate. ``strange_out`` names a further column, if given: the share of
+    the text's letters that no sample has.
     """
     prepare(docs.sparkSession)
-    names = [free_name(docs, c) for c in (lang_out, score_out, rate_out)]
+    names = [free_name(docs, c) for c in (lang_out, score_out, rate_out, strange_out) if c is not None]
     shared = docs.sparkSession.sparkContext.broadcast(sample)
     mark = hash((tuple(sample.languages), tuple(sample.texts)))
 
@@ -196,8 +206,11 @@ def predict(docs: DataFrame, sample: Sample, text_col: str = "text", lang_out: s
                 best, second = cost[order[0], i], cost[order[1], i] if len(told) > 1 else math.inf
                 langs.append(told[order[0]]), rates.append(count[order[0], i] / size[i])
                 scores.append(1.0 if second == math.inf else second / (best + second))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                                             names=[*batch.schema.names, *names])
+            out = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
+            if strange_out is not None:
+                out.append(pa.array([parser.strange(t) for t in texts], pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` double")
+    kinds = ["string", "double", "double", "double"]
+    return docs.mapInArrow(run, ", ".join([fields, *(f"`{n}` {k}" for n, k in zip(names, kinds, strict=False))]))

@@ -40,6 +40,14 @@ def test_language_stage_keeps_texts_of_known_languages(spark, stages):
     assert ids(kept) == ids(stages[2]) == ids(stages[1])
 
 
+def test_language_stage_keeps_clean_texts_of_a_word(spark, stages):
+    short = ["I", "pdf", "Wow!", "Fin", "URL", "A.", "Jazz", "ok"]
+    foreign = ["日", "Привет", "日本語漢字 ok", "1", "?!"]
+    odd = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(short + foreign)], stages[1].schema)
+    kept = ids(corpus_pipeline.keep_known_languages(spark, stages[1].unionByName(odd), SF))
+    assert {i - 10**6 for i in kept if i >= 10**6} == set(range(len(short)))
+
+
 def test_one_document_of_each_group_stays(stages):
     rows = [(r.doc_id, r.text) for r in stages[2].collect()]
     assert ids(stages[3]) == {component for _, _, component in plain(rows)}
