@@ -304,8 +304,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component is their own id; equal sets link. Rows with null ids take part
     and get the smallest id that is not null, or null. Repeated ids count as
     rows of their own. Other columns are not read; an empty table gives no
-    rows.
+    rows. Thresholds up to 75 are refused: different sets of three and four
+    shingles reach them, and the lists leave out sets below four.
     """
+    if not 75 < threshold <= 100:
+        raise ValueError(f"threshold must be above 75 and at most 100, not {threshold}")
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

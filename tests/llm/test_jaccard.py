@@ -72,6 +72,12 @@ def test_op7_equals_all_pairs(spark, frequent, light, monkeypatch):
     assert Counter(tuple(r) for r in jaccard.near_duplicates(df).collect()) == plain(rows)
 
 
+@pytest.mark.parametrize("threshold", [70, 75, 101])
+def test_op7_refuses_thresholds_that_its_lists_do_not_serve(no_docs, threshold):
+    with pytest.raises(ValueError):
+        jaccard.near_duplicates(no_docs, threshold=threshold)
+
+
 def test_op7_empty(spark, no_docs):
     assert jaccard.near_duplicates(no_docs).count() == 0
 
