@@ -45,14 +45,18 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one whose id is the group's smallest (operator 7).
 
-    Rows that share that id stay where their texts differ. Rows without an id
-    stay, once for each text, if any of them is in a group where no row has one.
+    Rows that share that id stay where their texts differ. Of a group where no
+    row has an id, the text with the smallest hash stays. Texts without a
+    shingle are in no group, so they stay once each.
     """
-    groups = stage(jaccard.near_duplicates(docs), "groups")
+    groups = stage(jaccard.near_duplicates(docs, keys=True), "groups")
     keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi").select(docs.columns)
-    if not groups.filter("doc_id is null and component_id is null").isEmpty():
-        kept = kept.unionByName(docs.filter("doc_id is null"))
+    nameless = groups.filter("doc_id is null and component_id is null")
+    if not nameless.isEmpty():
+        marks = nameless.groupBy("component_key", F.when(F.col("component_key").isNull(), F.col("mark")).alias("own")).agg(F.min("mark").alias("mark_"))
+        bare = docs.filter("doc_id is null")
+        kept = kept.unionByName(bare.join(marks.select("mark_"), F.xxhash64("text") == F.col("mark_"), "left_semi").select(docs.columns))
     return kept.dropDuplicates(["doc_id", "text"])
 
 

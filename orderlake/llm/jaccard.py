@@ -297,7 +297,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, th
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    threshold: int = THRESHOLD) -> DataFrame:
+                    threshold: int = THRESHOLD, keys: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_shingles, component_id (smallest id reachable by links, itself included).
 
     Null and empty texts have an empty set and link with nothing, so their
@@ -305,7 +305,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and get the smallest id that is not null, or null. Repeated ids count as
     rows of their own. Other columns are not read; an empty table gives no
     rows. Thresholds up to 75 are refused: different sets of three and four
-    shingles reach them, and the lists leave out sets below four.
+    shingles reach them, and the lists leave out sets below four. ``keys``
+    adds two columns by which rows without an id can be told apart: mark (the
+    text's xxhash64) and component_key (the same for all rows of a component,
+    null for an empty set).
     """
     if not 75 < threshold <= 100:
         raise ValueError(f"threshold must be above 75 and at most 100, not {threshold}")
@@ -355,6 +358,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.join(linked, classes["key"] == linked["node"], "left").select("key", "low", F.coalesce("component", "key").alias("component"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_class = named.join(lowest, "component").select("key", "component_id")
-    return told.select("id", F.col("n").alias("n_shingles"), "key").join(of_class, "key", "left").select(
-        F.col("id").alias(id_col), "n_shingles", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_class = named.join(lowest, "component").select("key", "component_id", F.col("component").alias("component_key"))
+    extra = ["mark", "component_key"] if keys else []
+    return told.select("id", F.col("n").alias("n_shingles"), "key", *extra[:1]).join(of_class, "key", "left").select(
+        F.col("id").alias(id_col), "n_shingles", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *extra)

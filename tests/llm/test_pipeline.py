@@ -54,6 +54,19 @@ def test_one_document_of_each_group_stays(stages):
     assert stages[3].count() == len(ids(stages[3]))
 
 
+def test_one_row_without_an_id_stays_of_each_group_that_has_none(spark, stages):
+    long = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    near = [" ".join(long), " ".join([*long[:-1], "x"]), " ".join([*long[:-1], "y"])]
+    rows = [(None, t) for t in [*near, near[0], "alone here", "alone  here", "", " ", None, " ".join([*other[:-1], "z"])]] + [(7, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert [r for r in kept if r[0] is not None] == [(7, " ".join(other))]
+    bare = [t for i, t in kept if i is None]
+    assert len([t for t in bare if t in near]) == 1 and len([t for t in bare if t and t.startswith("alone")]) == 1
+    assert sorted(t or "-" for t in bare if t is None or not t.strip()) == [" ", "-", "-"] and len(bare) == 5
+
+
 def test_redaction_leaves_no_base_span(stages):
     from orderlake.llm.pii import base_spans
 
