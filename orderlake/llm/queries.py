@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import ann, bpe, jaccard, language, packing, pii, pivots, sharding, token_files, toxicity
+from orderlake.llm import ann, bpe, jaccard, language, merkle, packing, pii, pivots, resampling, sharding, token_files, toxicity
 from orderlake.llm._io import crc32_of, new_folder
 from orderlake.llm.oracle import ORACLES
 
@@ -89,3 +89,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
+@_register
+def op11_resample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_register
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return merkle.manifest(table(spark, sf_dir, "documents"), fields, merkle.tampered()).drop("path")
