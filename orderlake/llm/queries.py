@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import ann, bpe, jaccard, language, merkle, packing, pii, pivots, resampling, sharding, token_files, toxicity
+from orderlake.llm import ann, bpe, jaccard, language, matching, merkle, packing, pii, pivots, resampling, sharding, token_files, toxicity
 from orderlake.llm._io import crc32_of, new_folder
 from orderlake.llm.oracle import ORACLES
 
@@ -97,6 +97,13 @@ def op11_resample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@_register
+def op12_text_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = matching.score(docs, crc32_of(F.col("doc_id")) % 10 != 0)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_register
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]

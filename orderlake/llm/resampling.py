@@ -39,9 +39,9 @@ WORDS = 1
 SCALE = 1000
 
 
-def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Where each text's words begin and the last one's end, every word's number, and the distinct words as UTF-8."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), SEPARATORS)
+def numbered_words(texts: pa.Array, separators: str = SEPARATORS) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Where each text's words begin and the last one's end, every word's number, and the distinct words as UTF-8 (A-Z lower-cased)."""
+    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), separators)
     coded = pc.list_flatten(lists).dictionary_encode()
     numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
