@@ -42,9 +42,13 @@ def review_stats(reviews: DataFrame) -> DataFrame:
 def _with_reviews(facts: DataFrame, reviews: DataFrame, review_weight: str) -> DataFrame:
     if review_weight not in ("per_row", "per_order"):
         raise ValueError("review_weight must be 'per_row' or 'per_order'")
-    j = facts.join(review_stats(reviews), "order_id", "left")
+    return with_weight(facts.join(review_stats(reviews), "order_id", "left"), review_weight)
+
+
+def with_weight(facts: DataFrame, review_weight: str = "per_row") -> DataFrame:
+    """Facts that carry their review totals, with their weight ``_w`` in the review-joined reports."""
     w = F.coalesce(F.col("n_reviews"), F.lit(1)) if review_weight == "per_row" else F.lit(1)
-    return j.withColumn("_w", w.cast("bigint"))
+    return facts.withColumn("_w", w.cast("bigint"))
 
 
 def _review_avg() -> Column:
@@ -68,8 +72,12 @@ def _orders_payments(orders: DataFrame, payments: DataFrame, *cols: str) -> Data
 
 def daily_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """A1: delivered orders per purchase date: orders, revenue, average order value."""
-    j = _orders_payments(delivered(orders), payments, "purchased_at")
-    return j.groupBy(F.to_date("purchased_at").alias("order_date")).agg(
+    return daily_of(_orders_payments(delivered(orders), payments, "purchased_at"))
+
+
+def daily_of(sold: DataFrame) -> DataFrame:
+    """A1 of delivered orders that carry their payment."""
+    return sold.groupBy(F.to_date("purchased_at").alias("order_date")).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("total_payment").cast("double").alias("revenue"),
         avg_round("total_payment", 2).alias("avg_order_value"),
@@ -78,8 +86,12 @@ def daily_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 def month_totals(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Delivered orders per purchase month: orders, revenue (exact), average order value."""
-    j = _orders_payments(delivered(orders), payments, "purchased_at")
-    return j.groupBy(month_start("purchased_at").alias("month")).agg(
+    return month_totals_of(_orders_payments(delivered(orders), payments, "purchased_at"))
+
+
+def month_totals_of(sold: DataFrame) -> DataFrame:
+    """``month_totals`` of delivered orders that carry their payment."""
+    return sold.groupBy(month_start("purchased_at").alias("month")).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("total_payment").alias("_rev"),
         avg_round("total_payment", 2).alias("avg_order_value"),
@@ -168,9 +180,13 @@ def kpi_summary(orders: DataFrame, payments: DataFrame, reviews: DataFrame,
     """Monthly basket, delivery, review and cancellation KPIs over all statuses."""
     j = _orders_payments(orders, payments, "purchased_at", "order_status",
                          "delivered_on_time", "delivery_days")
-    j = _with_reviews(j, reviews, review_weight)
+    return kpi_of(_with_reviews(j, reviews, review_weight))
+
+
+def kpi_of(paid: DataFrame) -> DataFrame:
+    """A6 of orders that carry their payment, their review totals and their weight."""
     w = F.col("_w")
-    return j.groupBy(month_start("purchased_at").alias("month")).agg(
+    return paid.groupBy(month_start("purchased_at").alias("month")).agg(
         avg_round("total_payment", 2, weight=w).alias("avg_basket"),
         F.count_distinct("order_id").alias("total_orders"),
         _w_rate_pct("delivered_on_time").alias("on_time_delivery_rate_pct"),
@@ -258,8 +274,12 @@ def geo_analysis(customers: DataFrame, orders: DataFrame, payments: DataFrame, r
 
 def payment_analysis(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Delivered orders per (month, payment type mix)."""
-    j = _orders_payments(delivered(orders), payments, "purchased_at")
-    return j.groupBy(month_start("purchased_at").alias("month"), "payment_types").agg(
+    return payment_kinds_of(_orders_payments(delivered(orders), payments, "purchased_at"))
+
+
+def payment_kinds_of(sold: DataFrame) -> DataFrame:
+    """A9 of delivered orders that carry their payment."""
+    return sold.groupBy(month_start("purchased_at").alias("month"), "payment_types").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("total_payment").cast("double").alias("total_revenue"),
         avg_round("total_payment", 2).alias("avg_payment"),

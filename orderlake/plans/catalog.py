@@ -864,6 +864,8 @@ from orderlake.plans import layers as LY  # noqa: E402
 from orderlake.session import checkpoint_dir  # noqa: E402
 from orderlake.sources import files as FS  # noqa: E402
 from orderlake.streaming import jobs as ST  # noqa: E402
+from orderlake.streaming import refresh as RF  # noqa: E402
+from orderlake.streaming import status as SS  # noqa: E402
 
 
 def scratch(spark: SparkSession) -> str:
@@ -985,6 +987,32 @@ def _st1(spark, d):
     return out
 
 
+@register("st1_rejects_and_repeats", with_layers("""
+        SELECT 'raw_orders' AS table_name, order_id, CAST(1 AS BIGINT) AS n_rows FROM v WHERE reasons = ''
+        UNION ALL SELECT 'rejects', CASE WHEN c = 1 THEN NULL ELSE order_id END,
+               sum(CASE WHEN c > 0 OR reasons <> '' THEN 1 ELSE 0 END)::BIGINT
+        FROM v CROSS JOIN (VALUES (0), (1), (2), (3)) k(c)
+        WHERE c = 0 OR (CAST(substr(order_id, 2) AS BIGINT) % 4 = c AND (c < 3 OR reasons <> ''))
+        GROUP BY 2 HAVING sum(CASE WHEN c > 0 OR reasons <> '' THEN 1 ELSE 0 END) > 0""", **_VALID_CTES))
+def _st1_rejects(spark, d):
+    """All documents, and second copies of three quarters of them: without an id, with a negative payment, unchanged."""
+    def build(root: str) -> None:
+        docs = _docs(spark, d)
+        turn = F.substring("order_id", 2, 20).cast("bigint") % 4
+        copies = docs.filter(turn > 0).withColumn("payment_value", F.when(turn == 2, F.lit(-1.0)).otherwise(F.col("payment_value"))) \
+            .withColumn("order_id", F.when(turn != 1, F.col("order_id")))
+        docs.unionByName(copies).repartition(4).write.json(f"{root}/source")
+        ST.start_order_ingest(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint").awaitTermination()
+
+    sink = f"{_once(spark, d, 'rejects', build)}/sink"
+    out = None
+    for name in ("raw_orders", "rejects"):
+        rows = ST.read_ingested(spark, sink, name).groupBy("order_id").agg(F.count(F.lit(1)).alias("n_rows"))
+        rows = rows.select(F.lit(name).alias("table_name"), "order_id", "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("st4_advance_ingested", with_layers("""
         SELECT order_id, order_status, CASE WHEN shipped_now THEN order_delivered_carrier_date END AS order_delivered_carrier_date
         FROM advanced WHERE order_id IN (SELECT order_id FROM v WHERE reasons = '')""", **_LIFECYCLE_CTES, **_VALID_CTES))
@@ -992,9 +1020,9 @@ def _st4(spark, d):
     """Two cycles, the second a second later: what shipped in the first keeps its date (documents carry none themselves)."""
     sink = _ingest(spark, d)
     status = f"{sink.rsplit('/', 1)[0]}/status-{uuid.uuid4().hex}"
-    ST.advance_ingested(spark, sink, status, AS_OF, LIFECYCLE_FLOOR)
-    path = ST.advance_ingested(spark, sink, status, AS_OF + _dt.timedelta(seconds=1), LIFECYCLE_FLOOR)
-    return spark.read.parquet(path).select("order_id", "order_status", "order_delivered_carrier_date")
+    SS.advance_ingested(spark, sink, status, AS_OF, LIFECYCLE_FLOOR)
+    SS.advance_ingested(spark, sink, status, AS_OF + _dt.timedelta(seconds=1), LIFECYCLE_FLOOR)
+    return SS.read_status(spark, status, sink).select("order_id", "order_status", "order_delivered_carrier_date")
 
 
 def _event_files(spark, d) -> str:
@@ -1036,16 +1064,45 @@ def _st3(spark, d):
 
 
 ST5_BATCH_FROM = _dt.datetime(1998, 1, 1)   # orders from here on arrive as the new batch
+_REFRESHED: dict[tuple[str, str, str], str] = {}
+
+
+def _order_facts(spark, d) -> DataFrame:
+    c = clean(spark, d)
+    return RF.order_facts(c["orders"], c["payments"], c["reviews"])
+
+
+def _once(spark, d, what: str, build: Callable[[str], None]) -> str:
+    """The folder that ``build`` fills, once per session and scale factor."""
+    key = (spark.sparkContext.applicationId, d, what)
+    if key not in _REFRESHED:
+        root = scratch(spark)
+        build(root)
+        _REFRESHED[key] = root
+    return _REFRESHED[key]
 
 
 def _refreshed(spark, d) -> dict[str, DataFrame]:
     """The ST5 reports after two batches: the orders before a day, then the rest."""
-    c = clean(spark, d)
-    root, cut = scratch(spark), ntz_lit(ST5_BATCH_FROM)
-    before = c["orders"].filter(F.col("purchased_at") < cut)
-    ST.refresh_reports(spark, root, c | {"orders": before}, ST.touched_months(before, "purchased_at"), MIN_MONTH_ORDERS)
-    batch = c["orders"].filter((F.col("purchased_at") >= cut) | F.col("purchased_at").isNull())
-    return ST.refresh_reports(spark, root, c, ST.touched_months(batch, "purchased_at"), MIN_MONTH_ORDERS)
+    def build(root: str) -> None:
+        facts, cut = _order_facts(spark, d), ntz_lit(ST5_BATCH_FROM)
+        late = F.coalesce(F.col("purchased_at") >= cut, F.lit(True))
+        for part in (~late, late):
+            RF.refresh_reports(spark, root, RF.store_batch(spark, root, facts.filter(part)))
+
+    return RF.read_reports(spark, _once(spark, d, "months", build), MIN_MONTH_ORDERS)
+
+
+def _added(spark, d) -> dict[str, DataFrame]:
+    """The ST5 reports from the states that five batches left; each batch brings again a part of the orders of the one before."""
+    def build(root: str) -> None:
+        facts = _order_facts(spark, d)
+        part = F.pmod(F.xxhash64("order_id"), F.lit(5))
+        again = F.pmod(F.xxhash64("order_id", F.lit("again")), F.lit(3)) == 0
+        for i in range(5):
+            RF.add_batch(spark, root, facts.filter((part == i) | ((part == i - 1) & again)), i)
+
+    return RF.state_reports(spark, _once(spark, d, "states", build), MIN_MONTH_ORDERS)
 
 
 @register("st5_refresh_months", with_layers(A1_SQL))
@@ -1068,6 +1125,26 @@ def _st5_a9(spark, d):
     return _refreshed(spark, d)["payment_analysis"]
 
 
+@register("st5_state_daily_revenue", with_layers(A1_SQL))
+def _st5_state(spark, d):
+    return _added(spark, d)["daily_revenue"]
+
+
+@register("st5_state_monthly_revenue", with_layers(A2_SQL, kept_months=A2_BASE))
+def _st5_state_a2(spark, d):
+    return _added(spark, d)["monthly_revenue"]
+
+
+@register("st5_state_kpi_summary", with_layers(A6_SQL))
+def _st5_state_a6(spark, d):
+    return _added(spark, d)["kpi_summary"]
+
+
+@register("st5_state_payment_analysis", with_layers(A9_SQL))
+def _st5_state_a9(spark, d):
+    return _added(spark, d)["payment_analysis"]
+
+
 # The label and profile logic (exact medians, average ranks on ties, score
 # order, label map) checked against SQL on a deterministic grouping of the RFM
 # features: the frequency tier (1, 2, 3, 4+ delivered orders) as the cluster id.

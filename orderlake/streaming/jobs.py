@@ -1,7 +1,8 @@
-"""Structured Streaming jobs (ST1–ST5).
+"""Structured Streaming jobs (ST1–ST3; ST4 is ``status``, ST5 is ``refresh``).
 
 ST1  order documents (JSON files) → validate → fan out to four raw tables
-     plus rejects, in ``foreachBatch``. Micro-batch ``b`` of the run whose
+     plus rejects, in ``foreachBatch``. Documents are validated first; of the
+     valid ones of an order one is kept, and every rejected one is kept. Micro-batch ``b`` of the run whose
      checkpoint has id ``r`` writes its tables under ``run=r/batch_id=b`` with
      overwrite, so a replay rewrites the same files, and a new checkpoint never
      touches another run's. A batch counts once its commit marker is written,
@@ -10,12 +11,6 @@ ST1  order documents (JSON files) → validate → fan out to four raw tables
 ST2  deduplicate a stream on a key within an event-time watermark.
 ST3  daily revenue in 1-day tumbling windows; late rows beyond the watermark
      are dropped, updated windows are emitted per micro-batch.
-ST4  status advance as of the batch time: the newest ``orders_status`` version
-     plus the orders that arrived since, written as the next version. An order
-     that has moved keeps what it got.
-ST5  refresh only the months a batch touched in the daily and monthly reports:
-     the next version of each report table is its former rows of other months
-     and the recomputed rows of the touched ones.
 
 Event-time columns are cast to TIMESTAMP before ``withWatermark`` (NTZ is
 rejected by the watermark). Checkpoints must live on the shared file system.
@@ -23,37 +18,36 @@ rejected by the watermark). Checkpoints must live on the shared file system.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderlake.functions.dates import month_start
-from orderlake.operators import metrics as A
 from orderlake.operators.ingest import fan_out_orders
-from orderlake.operators.lifecycle import advance_status
 from orderlake.operators.quality import validate_orders
 from orderlake.schemas import ORDER_DOCUMENT
-from orderlake.sources.files import latest_version, read_table, write_table
 
 INGEST_TABLES = ("raw_customers", "raw_orders", "raw_order_items", "raw_order_payments")
 
 
-# ---------------------------------------------------------------- ST1 / ST4
+# ---------------------------------------------------------------- ST1
 
 def ingest_batch(batch: DataFrame, batch_id: int, sink_root: str, run: str) -> None:
     """One micro-batch of ST1: validated rows to the raw tables, the rest to rejects, then the commit marker.
 
-    Of the documents of one order in a batch one is kept.
+    Of the valid documents of one order in a batch the earliest purchase is
+    kept, and of equally early ones the first as JSON text. Every rejected
+    document is kept, with or without an id, however often it came.
     """
     at = f"run={run}/batch_id={batch_id}"
-    batch = batch.dropDuplicates(["order_id"]).persist(StorageLevel.MEMORY_AND_DISK)   # read once, written five times
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read once, written five times
     try:
         valid, rejected = validate_orders(batch)
+        whole = F.struct(*valid.columns)
+        valid = valid.groupBy("order_id").agg(F.min_by(whole, F.struct("purchased_at", F.to_json(whole))).alias("_d")).select("_d.*")
         for name, df in fan_out_orders(valid).items():
             df.write.mode("overwrite").parquet(f"{sink_root}/{name}/{at}")
         rejected.write.mode("overwrite").parquet(f"{sink_root}/rejects/{at}")
@@ -88,40 +82,45 @@ def start_order_ingest(spark: SparkSession, source_dir: str, sink_root: str, che
     return w.start()
 
 
-def read_ingested(spark: SparkSession, sink_root: str, name: str) -> DataFrame:
+def read_commits(spark: SparkSession, sink_root: str) -> DataFrame:
+    """The committed batches: run, batch_id, n_documents, committed_at."""
+    return spark.read.parquet(f"{sink_root}/commits").withColumn("run", F.col("run").cast("string"))
+
+
+def read_ingested(spark: SparkSession, sink_root: str, name: str, batches: list[tuple[str, int]] | None = None) -> DataFrame:
     """The rows of a raw table (or ``rejects``) from committed batches, each order from the batch that committed it first.
 
     ``run`` and ``batch_id`` stay as columns. Customers follow the order that
-    carried them.
+    carried them. Of a rejected document, which need not have an id, all copies
+    stay that the run brought that committed it first; a further run reads the
+    same documents again. ``batches`` (run, batch_id) names the batches to
+    read, instead of all: only their folders are opened.
     """
-    commits = spark.read.parquet(f"{sink_root}/commits").select(F.col("run").cast("string").alias("run"), "batch_id", "committed_at")
+    commits = read_commits(spark, sink_root).select("run", "batch_id", "committed_at")
+    if batches is not None:
+        commits = commits.join(spark.createDataFrame(batches, "run string, batch_id int"), ["run", "batch_id"], "left_semi")
 
     def committed(table: str) -> DataFrame:
-        rows = spark.read.parquet(f"{sink_root}/{table}")
+        base = f"{sink_root}/{table}"
+        if batches:
+            rows = spark.read.option("basePath", base).parquet(*[f"{base}/run={r}/batch_id={b}" for r, b in batches])
+        else:
+            rows = spark.read.parquet(base)
+            rows = rows if batches is None else rows.limit(0)
         return rows.withColumn("run", F.col("run").cast("string")).join(commits, ["run", "batch_id"])
 
-    key = "customer_id" if name == "raw_customers" else "order_id"
     rows = committed(name)
-    source = rows if name == "rejects" else committed("raw_orders")
+    if name == "rejects":
+        rows = rows.withColumn("_key", F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c not in ("run", "batch_id", "committed_at")])), 256))
+        first = rows.groupBy(F.col("_key").alias("_of")).agg(F.min(F.struct("committed_at", "run"))["run"].alias("_run"))
+        return rows.join(first, (F.col("_key") == F.col("_of")) & (F.col("run") == F.col("_run"))).drop("_key", "_of", "_run", "committed_at")
+    key = "customer_id" if name == "raw_customers" else "order_id"
+    source = committed("raw_orders")
     first = source.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct("committed_at", "run", "batch_id")).alias("_first"))
     return rows.join(first, F.col(key).eqNullSafe(F.col("_key")) & (F.col("run") == F.col("_first.run"))
                      & (F.col("batch_id") == F.col("_first.batch_id"))).drop("_key", "_first", "committed_at")
 
 
-def advance_ingested(spark: SparkSession, sink_root: str, status_root: str, as_of: dt.datetime,
-                     floor: dt.datetime = dt.datetime(2026, 1, 1)) -> str:
-    """ST4: advance the orders as of ``as_of``; writes a new ``orders_status`` version.
-
-    The first cycle starts from the ingested orders, each later one from the
-    newest version and the orders that it lacks, so a status moves once.
-    """
-    orders = read_ingested(spark, sink_root, "raw_orders").drop("run", "batch_id")
-    if latest_version(spark, status_root, "orders_status"):
-        known = read_table(spark, status_root, "orders_status").select(orders.columns)
-        orders = known.unionByName(orders.join(known.select("order_id"), "order_id", "left_anti").select(orders.columns))
-    return write_table(advance_status(orders, as_of, floor), status_root, "orders_status")
-
-
 # ---------------------------------------------------------------- ST2 / ST3
 
 def dedup_stream(stream: DataFrame, key: str, ts_col: str, delay: str = "1 day") -> DataFrame:
@@ -153,49 +152,3 @@ def latest_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
     vals = [c for c in updates.columns if c not in keys and c != "batch_id"]
     last = updates.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
     return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
-
-
-# ---------------------------------------------------------------- ST5
-
-def touched_months(batch_orders: DataFrame, ts_col: str = "order_purchase_timestamp") -> DataFrame:
-    return batch_orders.select(month_start(F.col(ts_col)).alias("month")).distinct()
-
-
-def _month_of(report: DataFrame) -> Column:
-    return F.trunc("order_date", "MM") if "order_date" in report.columns else F.col("month")
-
-
-def refresh_months(spark: SparkSession, root: str, name: str, months: DataFrame, report: Callable[[Callable], DataFrame]) -> str:
-    """ST5: write the next version of report table ``name`` in which only the touched months are computed anew.
-
-    ``report(of)`` builds the report; it must pass its orders through ``of``,
-    which keeps those of the touched months. A month that no order is left in
-    has no rows in the next version; the NULL month is a month like any other.
-    The months frame is small (distinct months of one batch).
-    """
-    months = months.select(F.col("month").alias("_touched")).distinct()
-
-    def of(orders: DataFrame) -> DataFrame:
-        return orders.join(months, month_start(F.col("purchased_at")).eqNullSafe(F.col("_touched")), "left_semi")
-
-    new = report(of)
-    if latest_version(spark, root, name):
-        old = read_table(spark, root, name)
-        new = old.join(months, _month_of(old).eqNullSafe(F.col("_touched")), "left_anti").unionByName(new)
-    return write_table(new, root, name)
-
-
-def refresh_reports(spark: SparkSession, root: str, clean: dict[str, DataFrame], months: DataFrame, min_month_orders: int = 100) -> dict[str, DataFrame]:
-    """ST5: refresh A1, A2, A6 and A9 for the touched months and read them back.
-
-    A2 stores every month's totals; its floor and its growth against the
-    previous kept month are applied to the whole (calendar-bounded) series, so
-    a touched month also moves the growth of the next one.
-    """
-    orders, payments = clean["orders"], clean["payments"]
-    refresh_months(spark, root, "daily_revenue", months, lambda of: A.daily_revenue(of(orders), payments))
-    refresh_months(spark, root, "month_totals", months, lambda of: A.month_totals(of(orders), payments))
-    refresh_months(spark, root, "kpi_summary", months, lambda of: A.kpi_summary(of(orders), payments, clean["reviews"]))
-    refresh_months(spark, root, "payment_analysis", months, lambda of: A.payment_analysis(of(orders), payments))
-    out = {n: read_table(spark, root, n) for n in ("daily_revenue", "kpi_summary", "payment_analysis")}
-    return out | {"monthly_revenue": A.month_growth(read_table(spark, root, "month_totals"), min_month_orders)}
