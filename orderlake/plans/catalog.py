@@ -883,6 +883,37 @@ def _s1(spark, d):
     return got["raw_order_reviews"]
 
 
+@register("s1_load_imperfect_csv", with_layers("""
+        SELECT 'raw_order_payments' AS table_name, order_id AS record_id, CAST(payment_value AS DOUBLE) AS amount, NULL AS problem
+        FROM raw_order_payments WHERE CAST(substr(order_id, 2) AS BIGINT) % 13 > 1
+        UNION ALL SELECT 'raw_order_payments', NULL, NULL, 'payment_sequential one not a int; payment_value n/a not a decimal(18,2)'
+        FROM raw_order_payments WHERE CAST(substr(order_id, 2) AS BIGINT) % 13 = 0
+        UNION ALL SELECT 'raw_order_payments', NULL, NULL, 'payment_value n/a not a decimal(18,2)'
+        FROM raw_order_payments WHERE CAST(substr(order_id, 2) AS BIGINT) % 13 = 1
+        UNION ALL SELECT 'raw_order_reviews', review_id, review_score, NULL
+        FROM raw_order_reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 11 > 0
+        UNION ALL SELECT 'raw_order_reviews', NULL, NULL, 'review_creation_date soon not a timestamp_ntz'
+        FROM raw_order_reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 11 = 0"""))
+def _s1_load(spark, d):
+    """Payments and reviews written as CSV with wrong numbers and dates in some rows; good rows and rejects together."""
+    root, r = scratch(spark), raw(spark, d)
+    number = F.substring("order_id", 2, 20).cast("bigint") % 13
+    payments = r["raw_order_payments"]
+    FS.write_csv_table(payments.withColumn("payment_value", F.when(number < 2, F.lit("n/a")).otherwise(F.col("payment_value").cast("string")))
+                       .withColumn("payment_sequential", F.when(number == 0, F.lit("one")).otherwise(F.col("payment_sequential").cast("string"))),
+                       f"{root}/raw_order_payments.csv")
+    late = F.substring("review_id", 2, 20).cast("bigint") % 11 == 0
+    FS.write_csv_table(r["raw_order_reviews"].withColumn("review_creation_date", F.when(late, F.lit("soon")).otherwise(F.col("review_creation_date").cast("string"))),
+                       f"{root}/raw_order_reviews.csv")
+    tables, rejects = FS.load_raw(spark, root, f"{root}/loaded")
+    none = F.lit(None).cast("string")
+    out = rejects.select("table_name", none.alias("record_id"), F.lit(None).cast("double").alias("amount"), F.array_join(
+        F.transform("problems", lambda p: F.concat_ws(" ", p["column"], p["value"], p["reason"])), "; ").alias("problem"))
+    for name, key, amount in (("raw_order_payments", "order_id", "payment_value"), ("raw_order_reviews", "review_id", "review_score")):
+        out = out.unionByName(tables[name].select(F.lit(name).alias("table_name"), F.col(key).alias("record_id"), F.col(amount).cast("double").alias("amount"), none.alias("problem")))
+    return out
+
+
 _COUNT_TABLES = {
     "clean": ["orders", "order_items", "customers", "payments", "reviews", "products", "sellers"],
     "analytics": ["daily_revenue", "monthly_revenue", "top_products", "top_categories",

@@ -1,10 +1,11 @@
 """Raw CSV source (S1/S2) and versioned table sink/source.
 
-CSV files are read with the declared raw schemas (never inferred). Only review
-texts may span lines, so only that file is read as a whole; the others split
-into many tasks. Timestamp columns are read as text and cast to
-TIMESTAMP_NTZ, which is the raw-text → timestamp conversion of the clean
-layer (ANSI: malformed text raises). A missing file is logged and skipped.
+CSV files are read with the declared raw schemas (never inferred), every one of
+them by many tasks: the fields of reviews may span lines, so their records are
+put together by ``records``. Timestamp columns are read as text and cast to
+TIMESTAMP_NTZ, which is the raw-text → timestamp conversion of the clean layer.
+A missing file is logged and skipped. ``read_raw`` raises on a malformed cell;
+``load_raw`` keeps the good rows and returns the bad ones beside them.
 
 Tables are written as immutable versions ``<root>/<name>/v=<version>`` and a
 reader always opens the newest version that finished (has ``_SUCCESS``), so a
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.schemas import RAW_SCHEMAS
+from orderlake.sources.records import CSV_OPTIONS, csv_records, parse_checked, parse_strict
 
 log = logging.getLogger(__name__)
 
@@ -47,26 +49,54 @@ MULTI_LINE = frozenset({"raw_order_reviews"})
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    if multi_line:
+        return parse_strict(csv_records(spark, path, True), schema, (T.TimestampNTZType,))
     df = (spark.read.schema(_text_schema(schema))
-          .option("header", True).option("multiLine", multi_line).option("escape", '"')
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("mode", "FAILFAST").csv(path))
+          .option("header", True).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path))
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_raw(spark: SparkSession, directory: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The raw tables found in ``directory`` (``<table>.csv`` unless mapped in ``files``)."""
     files = files or {name: f"{name}.csv" for name in RAW_SCHEMAS}
-    out: dict[str, DataFrame] = {}
+    return {name: read_csv_table(spark, path, RAW_SCHEMAS[name], name in MULTI_LINE) for name, path in _present(spark, directory, files)}
+
+
+def _present(spark: SparkSession, directory: str, files: dict[str, str]) -> list[tuple[str, str]]:
+    out = []
     for name, fname in files.items():
         path = f"{directory.rstrip('/')}/{fname}"
-        if not path_exists(spark, path):
+        if path_exists(spark, path):
+            out.append((name, path))
+        else:
             log.warning("raw file missing, skipped: %s", path)
-            continue
-        out[name] = read_csv_table(spark, path, RAW_SCHEMAS[name], name in MULTI_LINE)
     return out
 
 
+REJECTS = "table_name string, record string, problems array<struct<column: string, value: string, reason: string>>"
+
+
+def load_raw(spark: SparkSession, directory: str, staging: str, files: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """S1/S2 for imperfect files: (raw tables, rejected records).
+
+    A record goes to the table if it has the table's fields and every cell has
+    its column's type (an empty one is NULL); else it goes to the rejects as it
+    stands in the file, with each offending column, cell and reason. So the two
+    add up to the file's records. ``staging`` is a folder on the shared file
+    system where both are written, each file being parsed once.
+    """
+    tables, rejects = {}, spark.createDataFrame([], REJECTS)
+    for name, path in _present(spark, directory, files or {n: f"{n}.csv" for n in RAW_SCHEMAS}):
+        checked = parse_checked(csv_records(spark, path, name in MULTI_LINE), RAW_SCHEMAS[name])
+        at = f"{staging.rstrip('/')}/{name}"
+        good = F.size("problems") == 0
+        checked.withColumn("good", good).withColumn("value", F.when(~good, F.col("value"))).write.partitionBy("good").parquet(at)
+        parsed = spark.read.schema(checked.withColumn("good", F.lit(True)).schema).parquet(at)
+        tables[name] = parsed.filter("good").select("row.*")
+        rejects = rejects.unionByName(parsed.filter("not good").select(F.lit(name).alias("table_name"), F.col("value").alias("record"), "problems"))
+    return tables, rejects
+
+
 def write_csv_table(df: DataFrame, path: str) -> None:
     """Write one raw table as CSV with a header (used to stage raw exports)."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')

@@ -61,3 +61,76 @@ def test_full_refresh_buckets_and_publishes(spark):
     plan = A.daily_revenue(spark.table("t_clean.orders"), spark.table("t_clean.payments"))._jdf \
         .queryExecution().executedPlan().toString()
     assert "hashpartitioning(order_id" not in plan
+
+
+def test_multi_line_records_split_over_many_tasks(spark):
+    """Quotes and line breaks everywhere, cut into splits of a few hundred bytes, against Spark's one-task reader."""
+    import random
+
+    from orderlake.schemas import RAW_SCHEMAS
+    from orderlake.sources.records import multi_line_records
+
+    root, rnd = _tmp(spark), random.Random(3)
+    pieces = ['a', 'b c', '""', '\n', ',', '\n\n', '""""', 'é', '\r\n', '  ']
+    lines = ["review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp"]
+    for i in range(3000):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12)))
+        quoted = f'"{text}"' if text and i % 4 else ""
+        lines.append(f"r{i},o{i},{i % 5 + 1},{'t' if i % 2 else quoted},{quoted},2020-01-01 10:00:00,")
+    lines.insert(1500, 'big,o,1,,"' + "line\n" * 900 + '",,')   # longer than several splits
+    for part, rows in enumerate((lines[:2000], lines[:1] + lines[2000:])):
+        path = f"{root}/part-{part}.csv"
+        fs, p = FS._fs(spark, path)
+        out = fs.create(p)
+        out.write(bytearray("\n".join(rows).encode()))
+        out.close()
+    schema = RAW_SCHEMAS["raw_order_reviews"]
+    whole = spark.read.schema(FS._text_schema(schema)).option("header", True).option("multiLine", True).options(**FS.CSV_OPTIONS).csv(root)
+    want = sorted(map(str, whole.select("review_id", "review_comment_title", "review_comment_message").collect()))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert multi_line_records(spark, root).select("value").count() == len(lines) + 1
+        got = FS.read_csv_table(spark, root, schema, multi_line=True)
+        assert got.count() == len(lines) - 1
+        told = got.select("review_id", "review_comment_title", "review_comment_message").collect()
+        assert spark.read.text(root).rdd.getNumPartitions() > 100
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(str, told)) == want
+
+
+def test_a_quote_that_is_not_closed_is_refused(spark, tmp_path):
+    import pytest
+
+    from orderlake.sources.records import multi_line_records
+
+    (tmp_path / "x.csv").write_text('a,b\n1,"x\n' + "y\n" * 200)
+    assert multi_line_records(spark, f"file://{tmp_path}/x.csv").count() == 2
+    with pytest.raises(Exception, match="over 100 characters"):
+        multi_line_records(spark, f"file://{tmp_path}/x.csv", max_record=100).collect()
+
+
+def test_bad_rows_are_quarantined(spark, tmp_path):
+    (tmp_path / "raw_order_payments.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_value\n"
+        "o1,1,boleto,10.50\no2,x,boleto,1.00\no3,1,boleto,ten\no4,,,\no5,1,boleto\no6,1,boleto,1.00,more\n\n")
+    (tmp_path / "raw_order_reviews.csv").write_text(
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\r\n"
+        'r1,o1,5,,"two\nlines",2020-01-01 10:00:00+00,\r\n'
+        'r2,o2,5,,"bad\ndate",2020-13-01 10:00:00,soon\r\n')
+    tables, rejects = FS.load_raw(spark, f"file://{tmp_path}", _tmp(spark))
+    assert set(tables) == {"raw_order_payments", "raw_order_reviews"}
+    assert sorted((r["order_id"], r["payment_sequential"]) for r in tables["raw_order_payments"].collect()) == [("o1", 1), ("o4", None)]
+    good = tables["raw_order_reviews"].collect()
+    assert [(r["review_comment_message"], r["review_creation_date"]) for r in good] == [("two\nlines", dt.datetime(2020, 1, 1, 10))]
+    bad = {r["record"]: [tuple(p) for p in r["problems"]] for r in rejects.collect()}
+    assert bad == {
+        "o2,x,boleto,1.00": [("payment_sequential", "x", "not a int")],
+        "o3,1,boleto,ten": [("payment_value", "ten", "not a decimal(18,2)")],
+        "o5,1,boleto": [(None, None, "field count")],
+        "o6,1,boleto,1.00,more": [(None, None, "field count")],
+        'r2,o2,5,,"bad\ndate",2020-13-01 10:00:00,soon': [
+            ("review_creation_date", "2020-13-01 10:00:00", "not a timestamp_ntz"), ("review_answer_timestamp", "soon", "not a timestamp_ntz")]}
