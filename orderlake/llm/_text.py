@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from array import array
 
-_WIDE = re.compile(r" \s")
-
 
 def space_chunks(text: str) -> list[str]:
     """Cut ``text`` before every U+0020 that a non-space character follows.
@@ -56,21 +53,3 @@ class PieceCache(dict):
 
     def of(self, pieces) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
-
-
-class TextCoder:
-    """text -> the numbers of its chunks (see ``space_chunks``) as little-endian 32-bit bytes, by ``numbers(chunk)``.
-
-    Most texts hold no white space after a space; their chunks are known by
-    what follows the space.
-    """
-
-    def __init__(self, numbers, limit: int = 300_000):
-        self._plain = PieceCache(numbers, limit // 4)
-        self._spaced = PieceCache(lambda word: numbers(" " + word), limit)
-
-    def of(self, text: str) -> bytes:
-        if _WIDE.search(text):
-            return self._plain.of(space_chunks(text))
-        first, *words = text.split(" ")
-        return (self._plain[first] if first else b"") + self._spaced.of(words)

@@ -5,9 +5,14 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from array import array
 from codecs import charmap_decode
 
-from orderlake.llm._text import PieceCache, TextCoder
+import numpy as np
+import pyarrow as pa
+
+from orderlake.llm._batch import BatchCoder
+from orderlake.llm._text import PieceCache, space_chunks
 
 #: Fixed value: the split that a byte-level pre-tokenizer applies when its file names no other.
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -15,7 +20,7 @@ BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 #: Pieces with characters from here on (beyond Latin letters) go through the library's whole chain.
 _FAR = "ɐ"
 
-_CODERS: dict[str, TextCoder] = {}
+_CODERS: dict[str, BatchCoder] = {}
 
 
 def _byte_spelling() -> str:
@@ -25,12 +30,14 @@ def _byte_spelling() -> str:
     return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
-def coder(path: str) -> TextCoder:
-    """text -> ids as little-endian 32-bit bytes; bounded caches for each Python worker, kept between its tasks.
+def coder(path: str) -> BatchCoder:
+    """Texts -> ids; what is remembered is kept for each Python worker, between its tasks.
 
-    The ids are those of ``encode(text, add_special_tokens=False)`` with special
-    tokens taken as text. Latin pieces are split by the file's own pattern and
-    handed to the library's BPE model; all others go through its whole chain.
+    The ids are those of ``encode(text, add_special_tokens=False)``. Latin
+    pieces are split by the file's own pattern and handed to the library's BPE
+    model; all others go through its whole chain. A text that holds the content
+    of an added token (which the library matches in texts whatever that flag
+    says) is given to the library as it is.
     """
     if path not in _CODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,27 +45,42 @@ def coder(path: str) -> TextCoder:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         split, lower = _short_way(told)
         model, spelling = whole.model, _byte_spelling()
+        added = [t["content"] for t in told.get("added_tokens") or []]
+        # Contents that are matched after normalising can hide in other spellings; then every text goes the whole way.
+        hidden = any(t.get("normalized") and told.get("normalizer") for t in told.get("added_tokens") or [])
+
+        def by_chain(text: str) -> list[int]:
+            return whole.encode(text, add_special_tokens=False).ids
 
-        def by_chain(chunk: str) -> list[int]:
-            return whole.encode(chunk, add_special_tokens=False).ids
+        def has_added(text: str) -> bool:
+            return hidden or any(a in text for a in added)
 
         if split is None:
-            _CODERS[path] = TextCoder(by_chain)
+            def numbers(chunk: str) -> bytes:
+                return array("I", by_chain(chunk)).tobytes()
         else:
             find = regex.compile(split).findall
-            pieces = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 300_000)
+            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 400_000)
 
-            def numbers(chunk: str):
+            def numbers(chunk: str) -> bytes:
                 if not chunk.isascii() and (max(chunk) >= _FAR or lower and not unicodedata.is_normalized("NFC", chunk)):
-                    return by_chain(chunk)
-                return pieces.of(find(chunk.lower() if lower else chunk))
+                    return array("I", by_chain(chunk)).tobytes()
+                return words.of(find(chunk.lower() if lower else chunk))
+
+        def make(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            coded = [numbers(c) for c in chunks]
+            return np.array([len(c) // 4 for c in coded], np.int64), np.frombuffer(b"".join(coded), np.uint32)
+
+        def one(text: str):
+            if has_added(text):
+                return by_chain(text)
+            return np.frombuffer(b"".join(map(numbers, space_chunks(text))), np.uint32)
 
-            _CODERS[path] = TextCoder(numbers)
+        _CODERS[path] = BatchCoder(make, one, has_added)
     return _CODERS[path]
 
 
@@ -76,7 +98,9 @@ def _short_way(told: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-def ids_of(path: str, text: str | None, end_id: int | None = None) -> bytes:
-    """Ids of a whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
-    out = coder(path).of(text or "")
-    return out if end_id is None else out + end_id.to_bytes(4, "little")
+def ids_of(path: str, texts: pa.Array, end_id: int | None = None) -> list[bytes]:
+    """Ids of each whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
+    sizes, ids = coder(path).code(texts)
+    end = b"" if end_id is None else end_id.to_bytes(4, "little")
+    raw, at = ids.astype("<u4").tobytes(), np.concatenate([[0], 4 * np.cumsum(sizes)]).tolist()
+    return [raw[a:b] + end for a, b in zip(at, at[1:], strict=False)]

@@ -6,12 +6,12 @@ rank map, in one of two styles that give the same ids:
 ``spark``
     Python cuts blocks of documents into words and numbers a block's distinct
     words; ``transform`` over those words folds the merges (``aggregate``). The
-    ranks stand in two literal arrays indexed by remainders (each mergeable
-    pair sits in one of its two slots), so a lookup takes constant time.
+    ranks stand in literal arrays, so a lookup takes constant time.
 ``task`` (default)
-    The same fold runs inside the Arrow task that cuts the words, once for each
-    distinct word that the task still remembers. Spark interprets lambda bodies
-    node by node, which costs over ten times as much a word (README).
+    The same fold runs inside the Arrow task that cuts the words, over arrays
+    of all distinct words that the task's worker has not met: each round merges
+    the lowest-ranked pair of every word. Spark interprets lambda bodies node
+    by node, which costs over ten times as much a word (README).
 
 Nothing is shuffled and nothing grows with the corpus but the rows themselves.
 """
@@ -23,13 +23,17 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm._io import free_name, prepare
-from orderlake.llm._text import PieceCache, TextCoder, space_chunks
+from orderlake.llm._batch import BatchCoder, regroup, spread
+from orderlake.llm._text import PieceCache, space_chunks
 
 NONE = 2**31 - 1
+#: Ranks are below this.
+LARGEST = 1 << 16
 #: Characters after which a block of documents ends; a task holds one block.
 BLOCK_CHARS = 24_000_000
 #: Ids after which an output batch ends.
@@ -48,37 +52,36 @@ def _prime_from(n: int) -> int:
     return n
 
 
-def pair_slots(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    """Two slot arrays in which pair (a, b) -> rank stands at (a * 65536 + b) modulo the array's length.
+def pair_table(ranks: dict[bytes, int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two tables (pairs, ranks): the pair (a, b) as a * 65536 + b stands at its remainder by the length of one of them, if it has a rank.
 
-    Entries are (a * 65536 + b) * 65536 + rank, or -1. A newcomer pushes out
-    what holds its slot, which moves to its slot in the other array.
+    A newcomer pushes out what holds its place, which moves to its place in
+    the other table; if that does not end, both are made longer.
     """
-    if len(ranks) > 65536:
+    if len(ranks) > LARGEST or max(ranks.values(), default=0) >= LARGEST:
         raise ValueError("at most 65,536 ranks")
     pairs = [(ranks[p[:i]] << 16 | ranks[p[i:]], r) for p, r in ranks.items() for i in range(1, len(p))
              if p[:i] in ranks and p[i:] in ranks]
     size = max(11, len(pairs))
     while True:
-        sizes = [_prime_from(size), 0]
-        sizes[1] = _prime_from(sizes[0] + 2)
-        tables = [[-1] * s for s in sizes]
-        for key, r in pairs:
-            entry, side = key << 16 | r, 0
-            for _ in range(500):
-                slot = (entry >> 16) % sizes[side]
-                entry, tables[side][slot] = tables[side][slot], entry
-                if entry < 0:
+        sizes = [_prime_from(size)]
+        sizes.append(_prime_from(sizes[0] + 2))
+        tables = [[(-1, 0)] * s for s in sizes]
+        for entry in pairs:
+            for turn in range(500):
+                table = tables[turn % 2]
+                at = entry[0] % len(table)
+                entry, table[at] = table[at], entry
+                if entry[0] < 0:
                     break
-                side = 1 - side
             else:
                 break
         else:
-            return tables[0], tables[1]
+            return [tuple(np.array(t, np.int64).T) for t in tables]
         size = size * 5 // 4
 
 
-def _numbers(values: list[int], kind: str) -> Column:
+def _numbers(values: list[int], kind: str = "int") -> Column:
     """A literal array; written as text, because Spark folds this cast into one literal."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
@@ -89,44 +92,107 @@ def _let(value: Column, use) -> Column:
 
 
 def merge_fold(word: Column, ranks: dict[bytes, int]) -> Column:
-    """array<int> of byte values -> array<int> of token ids: the lowest-ranked pair, leftmost first, merges until none has a rank."""
-    one, two = pair_slots(ranks)
-    first, second = _numbers(one, "bigint"), _numbers(two, "bigint")
-    byte_ids = _numbers([ranks[bytes([b])] for b in range(256)], "int")
-
-    def in_slots(key: Column) -> Column:
-        def other(_):
-            return _let(F.get(second, (key % len(two)).cast("int")), lambda v: F.when(
-                F.shiftright(v, 16) == key, v.bitwiseAND(F.lit(65535).cast("bigint")).cast("int")).otherwise(F.lit(NONE)))
-        return _let(F.get(first, (key % len(one)).cast("int")), lambda v: F.when(
-            F.shiftright(v, 16) == key, v.bitwiseAND(F.lit(65535).cast("bigint")).cast("int")).otherwise(other(v)))
+    """array<int> of byte values -> array<int> of token ids: the lowest-ranked pair, leftmost first, merges until none has a rank.
 
-    def rank(a: Column, b: Column) -> Column:
-        return F.when(a.isNull() | b.isNull(), F.lit(NONE)).otherwise(
-            _let(a.cast("bigint") * F.lit(65536).cast("bigint") + b, in_slots))
-
-    def state(ids: Column, pair_ranks: Column) -> Column:
-        return F.struct(ids.alias("ids"), pair_ranks.alias("ranks"))
-
-    def merge_at(acc: Column, low: Column, at: Column) -> Column:
-        ids, old = acc["ids"], acc["ranks"]
-        rest = F.size(ids)
-        before = F.when(at > 1, F.array(rank(F.get(ids, at - 2), low))).otherwise(F.array().cast("array<int>"))
-        return state(
-            F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, rest)),
-            F.concat(F.slice(old, F.lit(1), F.greatest(at - 2, F.lit(0))), before,
-                     F.array(rank(low, F.get(ids, at + 1))), F.slice(old, at + 2, rest)))
+    The fold's state is one number a piece: the rank of it and its right
+    neighbour, the place where it begins, and its id. The least number is the
+    pair to merge.
+    """
+    tables = [(_numbers(pairs.tolist(), "bigint"), _numbers(told.tolist()), len(pairs)) for pairs, told in pair_table(ranks)]
+    byte_ids = _numbers([ranks[bytes([b])] for b in range(256)])
+    one = lambda n: F.lit(n).cast("bigint")
+    unit, place = 1 << 46, 1 << 16
 
-    def step(acc: Column, _) -> Column:
-        return _let(F.array_min(acc["ranks"]), lambda low: F.when(low == NONE, acc).otherwise(
-            _let(F.array_position(acc["ranks"], low).cast("int"), lambda at: merge_at(acc, low, at))))
+    def rank(a: Column, b: Column) -> Column:
+        pair, found = a.cast("bigint") * one(place) + b, F
+        for pairs, told, n in tables:
+            at = (pair % n).cast("int")
+            found = found.when(F.get(pairs, at) == pair, F.get(told, at))
+        return found.otherwise(F.lit(LARGEST)).cast("bigint")
+
+    def token(item: Column) -> Column:
+        return item.bitwiseAND(one(place - 1)).cast("int")
+
+    def merge(items: Column, low: Column, at: Column) -> Column:
+        new = F.shiftright(low, 46).cast("int")
+        after, before = F.get(items, at + 1), F.get(items, at - 2)
+        grown = rank(new, token(after)) * one(unit) + low.bitwiseAND(one(unit - place)) + new
+        rest = F.slice(items, at + 2, F.size(items))
+        left = rank(token(before), new) * one(unit) + before.bitwiseAND(one(unit - 1))
+        return F.when(at > 1, F.concat(F.slice(items, F.lit(1), at - 2), F.array(left, grown), rest)).otherwise(F.concat(F.array(grown), rest))
+
+    def step(items: Column, _) -> Column:
+        return _let(F.array_min(items), lambda low: F.when(low >= one(LARGEST * unit), items).otherwise(
+            _let(F.array_position(items, low).cast("int"), lambda at: merge(items, low, at))))
 
     def start(ids: Column) -> Column:
-        return state(ids, F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), rank))
+        return F.transform(ids, lambda a, i: rank(a, F.get(ids, i + 1)) * one(unit) + i.cast("bigint") * one(place) + a)
 
     letters = F.transform(word, lambda b: F.get(byte_ids, b))
     rounds = F.when(F.size(word) > 1, F.sequence(F.lit(2), F.size(word))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(rounds, _let(letters, start), step, lambda acc: acc["ids"])
+    return F.aggregate(rounds, _let(letters, start), step, lambda items: F.transform(items, token))
+
+
+class Folder:
+    """The same fold over many words at once: each round merges one pair of every word that still has one."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self._tables = ranks, pair_table(ranks)
+        self._byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair, rank = a << 16 | b, np.full(len(a), NONE)
+        for pairs, told in self._tables:
+            at = pair % len(pairs)
+            rank = np.where(pairs[at] == pair, told[at], rank)
+        return rank
+
+    def fold(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids in turn). Words are not empty; long ones are folded with a heap."""
+        known = [[self.ranks[w]] if w in self.ranks else fold_word(w, self.ranks) if len(w) >= 200 else None for w in words]
+        open_words = [i for i, k in enumerate(known) if k is None]
+        sizes = np.array([len(k) if k else 0 for k in known], np.int64)
+        done = [(np.array([i for i, k in enumerate(known) if k], np.int64), np.array([x for k in known if k for x in k], np.int64))]
+        number = np.array(open_words, np.int64)
+        length = np.array([len(words[i]) for i in open_words], np.int64)
+        ids = self._byte_ids[np.frombuffer(b"".join(words[i] for i in open_words), np.uint8)]
+        rank = np.full(len(ids), NONE)
+        rank[:-1] = self._pair(ids[:-1], ids[1:])
+        rank[np.cumsum(length) - 1] = NONE   # no pair goes on into the next word
+        while len(number):
+            start = np.cumsum(length) - length
+            low = np.minimum.reduceat(rank, start)
+            live = low != NONE
+            if live.sum() <= 0.7 * len(live):   # words without a pair leave
+                stays = np.repeat(live, length)
+                done.append((number[~live], ids[~stays]))
+                sizes[number[~live]] = length[~live]
+                number, length, ids, rank, low = number[live], length[live], ids[stays], rank[stays], low[live]
+                if not len(number):
+                    break
+                start = np.cumsum(length) - length
+                live = np.ones(len(number), bool)
+            hit = np.flatnonzero((rank == np.repeat(low, length)) & (rank != NONE))
+            word = np.searchsorted(start, hit, "right") - 1
+            leftmost = np.concatenate([[True], word[1:] != word[:-1]])
+            hit, word = hit[leftmost], word[leftmost]
+            ids[hit] = rank[hit]
+            kept = np.ones(len(ids), bool)
+            kept[hit + 1] = False
+            ids, rank = ids[kept], rank[kept]
+            hit -= np.arange(len(hit))
+            length[word] -= 1
+            start = np.cumsum(length) - length
+            last = start[word] + length[word] - 1
+            follows = np.minimum(hit + 1, len(ids) - 1)
+            rank[hit] = np.where(hit < last, self._pair(ids[hit], ids[follows]), NONE)
+            inner = hit > start[word]
+            rank[hit[inner] - 1] = self._pair(ids[hit[inner] - 1], ids[hit[inner]])
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        first = np.cumsum(sizes) - sizes
+        for words_of, tokens in done:
+            out[spread(first[words_of], sizes[words_of])] = tokens
+        return sizes, out
 
 
 def fold_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -167,17 +233,24 @@ def fold_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p is not None]
 
 
-_CODERS: dict[tuple[str, str], TextCoder] = {}
+_CODERS: dict[tuple[str, str], BatchCoder] = {}
 
 
-def _word_coder(rank_path: str, pattern: str) -> TextCoder:
-    """text -> ids of its words; bounded caches for each Python worker, kept between its tasks."""
+def _word_coder(rank_path: str, pattern: str) -> BatchCoder:
+    """Texts -> ids of their words; what is remembered is kept for each Python worker, between its tasks."""
     if (rank_path, pattern) not in _CODERS:
         import regex
 
-        ranks, find = read_ranks(rank_path), regex.compile(pattern).findall
-        words = PieceCache(lambda w: fold_word(w.encode("utf-8", "surrogatepass"), ranks), 300_000)
-        _CODERS[rank_path, pattern] = TextCoder(lambda chunk: words.of(find(chunk)))
+        find, folder = regex.compile(pattern).findall, Folder(read_ranks(rank_path))
+
+        def make(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            numbers: dict[str, int] = {}
+            cut = [[numbers.setdefault(w, len(numbers)) for w in find(c)] for c in chunks]
+            sizes, ids = folder.fold([w.encode("utf-8", "surrogatepass") for w in numbers])
+            used = np.array([n for c in cut for n in c], np.int64)
+            return regroup(np.array([len(c) for c in cut], np.int64), sizes[used]), ids[spread((np.cumsum(sizes) - sizes)[used], sizes[used])]
+
+        _CODERS[rank_path, pattern] = BatchCoder(make, lambda text: make([text])[1])
     return _CODERS[rank_path, pattern]
 
 
@@ -187,13 +260,13 @@ def _task_encoder(rank_path: str, pattern: str, key_name: str, key_type: pa.Data
     def run(batches):
         coder = _word_coder(rank_path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                coded = [coder.of(text.as_py() or "") for text in part.column(1)]
-                offsets = np.zeros(len(coded) + 1, np.int32)
-                np.cumsum([len(b) // 4 for b in coded], out=offsets[1:])
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], schema=schema)
+            sizes, ids = coder.code(batch.column(1))
+            at, done = np.concatenate([[0], np.cumsum(sizes)]), 0
+            while done < batch.num_rows:
+                upto = max(done + 1, int(np.searchsorted(at, at[done] + BATCH_IDS, "right")) - 1)
+                listed = pa.ListArray.from_arrays(pa.array((at[done:upto + 1] - at[done]).astype(np.int32)), pa.array(ids[at[done]:at[upto]].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, upto - done), listed], schema=schema)
+                done = upto
 
     return run
 
@@ -302,16 +375,24 @@ def decode(tokens: DataFrame, rank_path: str, ids_col: str = "ids", out_col: str
     prepare(tokens.sparkSession)
     out_col = free_name(tokens, out_col)
     pieces = {r: p for p, r in read_ranks(rank_path).items()}
+    size = np.full(max(pieces, default=-1) + 2, -1, np.int64)   # the last place stands for all unknown ids
+    size[list(pieces)] = [len(p) for p in pieces.values()]
+    first = np.zeros(len(size), np.int64)
+    first[list(pieces)] = np.cumsum(size[list(pieces)]) - size[list(pieces)]
+    letters = np.frombuffer(b"".join(pieces.values()), np.uint8)
 
     def add(batches):
         for batch in batches:
-            at = batch.schema.names.index(ids_col)
-            out = []
-            for ids in batch.column(at):
-                try:
-                    out.append(None if not ids.is_valid else b"".join(map(pieces.__getitem__, ids.values.tolist())))
-                except KeyError:
-                    out.append(None)
+            column = batch.column(batch.schema.names.index(ids_col))
+            ids = pc.fill_null(pc.list_flatten(column), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = np.where((ids < 0) | (ids >= len(size)), len(size) - 1, ids)
+            length = size[ids]
+            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            lost = (regroup(counts, (length < 0).astype(np.int64)) > 0) | column.is_null().to_numpy(zero_copy_only=False)
+            length = np.maximum(length, 0)
+            at = np.concatenate([[0], np.cumsum(regroup(counts, length))]).tolist()
+            whole = letters[spread(first[ids], length)].tobytes()
+            out = [None if gone else whole[a:b] for gone, a, b in zip(lost.tolist(), at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, out_col])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)

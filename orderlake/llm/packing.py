@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,8 +121,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             return out
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for w in packer.add(key, ids_of(tokenizer_path, text.as_py(), end_id)):
+            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
+                for w in packer.add(key, ids):
                     take(w, False)
                 if len(rows) >= 1000:
                     yield batch_of()
@@ -136,13 +135,14 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
         first, f"key {name}, start bigint, ids binary, doc_tokens bigint, part int, window bigint, offset bigint, open boolean"),
         "windows")
 
-    def merge(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    merged_schema = pa.schema([f for f in schema if f.name != "open"])
+
+    def merge(rows: pa.Table) -> pa.Table:
         """Fill the fullest windows with the pieces of the emptiest, cutting a piece where a window's end falls in it."""
-        windows = []
-        for (part, number), own in rows.groupby(["part", "window"], sort=True):
-            own = own.sort_values("offset")
-            pieces = list(zip(own["key"].astype(object).where(own["key"].notna(), None), own["start"], own["ids"], own["doc_tokens"], strict=True))
-            windows.append((sum(len(p[2]) for p in pieces) // 4, int(part), int(number), pieces))
+        held: dict[tuple[int, int], list] = {}
+        for r in rows.sort_by([("part", "ascending"), ("window", "ascending"), ("offset", "ascending")]).to_pylist():
+            held.setdefault((r["part"], r["window"]), []).append((r["key"], r["start"], r["ids"], r["doc_tokens"]))
+        windows = [(sum(len(p[2]) for p in pieces) // 4, part, number, pieces) for (part, number), pieces in held.items()]
         windows.sort(key=lambda w: (-w[0], w[1], w[2]))
         out = []
         while windows:
@@ -161,9 +161,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             for key, start, ids, total in pieces:
                 out.append((key, start, ids, total, part, number, at))
                 at += len(ids) // 4
-        return pd.DataFrame(out, columns=["key", "start", "ids", "doc_tokens", "part", "window", "offset"])
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), merged_schema, strict=True)], schema=merged_schema)
 
-    last = cut.filter("open").withColumn("near", F.floor(F.col("part") / MERGED_PARTITIONS)).groupBy("near").applyInPandas(
+    last = cut.filter("open").withColumn("near", F.floor(F.col("part") / MERGED_PARTITIONS)).groupBy("near").applyInArrow(
         merge, f"key {name}, start bigint, ids binary, doc_tokens bigint, part int, window bigint, offset bigint")
     merged = stage(last, "merged")
     pieces = cut.filter("not open").drop("open").unionByName(merged)

@@ -46,8 +46,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, id_col:
 
     def serialized(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(
-                [ids_of(tokenizer_path, t.as_py(), end_id)[:4 * SAMPLE_IDS] for t in batch.column(0)], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([i[:4 * SAMPLE_IDS] for i in ids_of(tokenizer_path, batch.column(0), end_id)], pa.binary())], names=["ids"])
 
     sample = bounded_sample(docs.select(id_col, text_col), F.col(id_col), SAMPLE_DOCS)
     found = [bytes(r[0]) for r in sample.select(text_col).mapInArrow(serialized, "ids binary").collect()]
@@ -91,8 +90,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
                 (part, number, dict_hash, first, keys, sizes, offsets, b"".join(frames)), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of(tokenizer_path, text.as_py(), end_id)
+            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
                 frame = press.compress(ids)
                 keys.append(key), sizes.append(len(ids) // 4), frames.append(frame), offsets.append(offsets[-1] + len(frame))
                 if offsets[-1] >= BLOCK_BYTES or len(keys) >= BLOCK_DOCS:

@@ -80,7 +80,6 @@ def test_redaction_leaves_no_base_span(stages):
 
 def test_packing_holds_all_ids(stages):
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = {r.doc_id: len(tok.encode(r.text, add_special_tokens=False).ids) + 1 for r in stages[4].collect()}
     got = stages[5].groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("t")).collect()
     assert {r.doc_id: r.n for r in got} == want == {r.doc_id: r.t for r in got}

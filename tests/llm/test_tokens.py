@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 from orderlake.llm import bpe, packing, token_files
 from orderlake.llm._io import new_folder
 from orderlake.llm._text import space_chunks
+from orderlake.llm._tokens import ids_of
 from tests.llm.conftest import odd_rows
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -18,7 +20,6 @@ RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 
 def library_ids(file, end_id):
     tok = Tokenizer.from_file(P.path(file))
-    tok.encode_special_tokens = True
     return lambda text: np.array([*tok.encode(text or "", add_special_tokens=False).ids, end_id], "<u4")
 
 
@@ -42,6 +43,49 @@ def test_op1_long_word_fold_equals_short_fold():
         assert bpe.fold_word(word.encode(), ranks) == enc.encode_ordinary(word)
 
 
+def test_op1_folds_agree(spark):
+    """Words of every length, all bytes, repeated letters: the array fold, the heap fold, Spark's fold and the library."""
+    import random
+
+    rnd, ranks = random.Random(5), bpe.read_ranks(RANKS)
+    words = {bytes(rnd.choice(b"abthein er\xc3\xa9\x00\xff") for _ in range(rnd.randint(1, 40))) for _ in range(800)}
+    words = sorted(words | {b"a" * n for n in range(1, 60)} | {bytes([i]) for i in range(256)} | {b"ab" * 150, b"the" * 90})
+    sizes, ids = bpe.Folder(ranks).fold(words)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    got = [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
+    assert got == [bpe.fold_word(w, ranks) for w in words]
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert got == [enc._encode_single_piece(w) for w in words]
+    df = spark.createDataFrame([(i, list(w)) for i, w in enumerate(words)], "i int, w array<int>")
+    assert dict(df.select("i", bpe.merge_fold(df.w, ranks)).collect()) == dict(enumerate(got))
+    assert [x.tolist() for x in bpe.Folder(ranks).fold([])] == [[], []]
+
+
+def test_batches_equal_the_library_whatever_is_remembered():
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    coder = bpe._word_coder(RANKS, P.PATTERN)
+    coder._pool._limit = 50
+    texts = [t for _, t in odd_rows(seed=3, more=200)]
+    for at in range(0, len(texts), 7):
+        part = texts[at:at + 7]
+        sizes, ids = coder.code(pa.array(part, pa.string()))
+        ends = np.cumsum(sizes)
+        assert [ids[b - n:b].tolist() for n, b in zip(sizes, ends, strict=True)] == [enc.encode_ordinary(t or "") for t in part]
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_are_matched_as_the_library_does(file):
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>", "<|EndOfText|> x", None, "plain  text"]
+    want = library_ids(file, 1)
+    assert ids_of(P.path(file), pa.array(texts, pa.string()), 1) == [want(t).tobytes() for t in texts]
+
+
+def test_op6_large_ids_stay_exact_beside_a_null(spark):
+    ids = [None, 2**60 + 1, 2**60 + 3, 2**53 + 1]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").coalesce(1)
+    assert Counter(r.doc_id for r in packing.pack(docs, P.path("word_bpe_49k.json"), 1).collect()) == Counter(ids)
+
+
 def test_op1_decode_of_unknown_ids_is_null(spark, no_docs):
     df = spark.createDataFrame([([0, 1],), ([99_999_999],), (None,), ([],)], "ids array<int>")
     assert [r[1] is None for r in bpe.decode(df, RANKS).collect()] == [False, True, True, False]
