@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_WIDE = re.compile(r" \s")
+#: A space with white space after it (all characters that Unicode calls so).
+_WIDE = r" [\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 class Pool:
@@ -69,28 +69,42 @@ def regroup(outer: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return until[ends] - until[ends - outer]
 
 
+def gathered(batches, size: int = 8_000_000):
+    """Record batches joined until they hold ``size`` bytes: the more text at once, the fewer lookups of its words."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 class BatchCoder:
     """Texts -> (number of ids of each, all ids in turn as unsigned 32-bit numbers).
 
     ``make`` encodes pieces (list of str -> sizes, ids) that texts are cut into
     before each U+0020; the patterns that precede byte-level merges always
     begin a word there unless white space follows. Texts in which it does
-    somewhere, and those that ``whole_if`` picks, are encoded as one piece, and
-    are not remembered.
+    somewhere, and those that hold one of the strings ``whole_if``, are encoded
+    as one piece, and are not remembered.
     """
 
     def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]],
-                 whole_if: Callable[[str], bool] = lambda t: False, limit: int = 1_200_000):
+                 whole_if: tuple[str, ...] = (), limit: int = 900_000):
         self._make, self._whole, self._whole_if, self._pool = make, whole, whole_if, Pool(limit)
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
-        listed = texts.to_pylist()
-        odd = [i for i, t in enumerate(listed) if _WIDE.search(t) or self._whole_if(t)]
+        apart = pc.match_substring_regex(texts, _WIDE)
+        for held in self._whole_if:
+            apart = pc.or_(apart, pc.match_substring(texts, held))
+        odd = pc.indices_nonzero(apart).to_pylist()
         if odd:
-            blank = np.zeros(len(listed), bool)
-            blank[odd] = True
-            texts = pc.if_else(pa.array(blank), "", texts)
+            listed = texts.take(pa.array(odd)).to_pylist()
+            texts = pc.if_else(apart, "", texts)
         pieces = pc.split_pattern(texts, " ")
         per_text = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = pc.list_flatten(pieces).dictionary_encode()
@@ -98,8 +112,7 @@ class BatchCoder:
         spelled = coded.dictionary.to_pylist()
         first = np.zeros(len(numbers), bool)   # a text's first piece has no space before it
         first[np.cumsum(per_text) - per_text] = True
-        spaced = np.unique(numbers[~first])
-        bare = np.unique(numbers[first])
+        spaced, bare = (np.flatnonzero(np.bincount(numbers[at], minlength=len(spelled))) for at in (~first, first))
         keys = [" " + spelled[i] for i in spaced.tolist()] + [spelled[i] for i in bare.tolist()]
         places = self._pool.places(keys, self._encoded)
         of_spaced, of_bare = np.zeros(len(spelled), np.int64), np.zeros(len(spelled), np.int64)
@@ -122,7 +135,7 @@ class BatchCoder:
     def _with_whole(self, per_text, ids, odd, listed):
         ends, out, at = np.cumsum(per_text), [], 0
         per_text = per_text.copy()
-        for i in odd:
-            out += [ids[at:ends[i]], np.array(self._whole(listed[i]), np.uint32)]   # the blank text has no ids of its own
+        for i, text in zip(odd, listed, strict=True):
+            out += [ids[at:ends[i]], np.array(self._whole(text), np.uint32)]   # the blank text has no ids of its own
             at, per_text[i] = ends[i], len(out[-1])
         return per_text, np.concatenate([*out, ids[at:]]).astype(np.uint32)

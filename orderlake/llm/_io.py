@@ -64,14 +64,17 @@ def free_name(df: DataFrame, want: str) -> str:
 
 
 def bounded_sample(df: DataFrame, key: Column, n: int) -> DataFrame:
-    """At most ``n`` rows of ``df``: those with the smallest hashes of ``key``.
+    """At most ``n`` rows of ``df``: those with the smallest hashes of ``key``; of rows that share a hash, the one whose own hash is smallest.
 
-    The same rows whatever the partitioning, unless keys repeat at the border.
-    The border is found on the hashes alone, so no task holds ``n`` whole rows.
+    The same rows whatever the partitioning. The border is found on the hashes
+    alone, and the rows are gathered by hash, so no task holds them all.
     """
     mark = F.xxhash64(key)
     low = df.select(mark.alias("mark")).orderBy("mark").limit(n).agg(F.max("mark")).first()[0]
-    return df.filter(mark <= F.lit(low)).limit(n) if low is not None else df.limit(0)
+    if low is None:
+        return df.limit(0)
+    whole = F.struct(*df.columns)
+    return df.filter(mark <= F.lit(low)).groupBy(mark.alias("mark_")).agg(F.min_by(whole, F.xxhash64(whole)).alias("row_")).select("row_.*")
 
 
 def crc32_of(ids: Column) -> Column:

@@ -25,6 +25,11 @@ def space_chunks(text: str) -> list[str]:
     return out
 
 
+def is_word(chunk: str) -> bool:
+    """Whether ``chunk`` is ASCII letters, a space before them or not."""
+    return chunk.isascii() and (chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) or chunk.isalpha())
+
+
 class PieceCache(dict):
     """piece -> the piece's numbers as little-endian 32-bit bytes, by ``numbers(piece)``.
 

@@ -12,11 +12,14 @@ import numpy as np
 import pyarrow as pa
 
 from orderlake.llm._batch import BatchCoder
-from orderlake.llm._text import PieceCache, space_chunks
+from orderlake.llm._text import PieceCache, is_word, space_chunks
 
 #: Fixed value: the split that a byte-level pre-tokenizer applies when its file names no other.
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: the split of the lower-casing word-end vocabulary's file.
+WORD_END_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+
 #: Pieces with characters from here on (beyond Latin letters) go through the library's whole chain.
 _FAR = "ɐ"
 
@@ -71,16 +74,27 @@ def coder(path: str) -> BatchCoder:
                     return array("I", by_chain(chunk)).tobytes()
                 return words.of(find(chunk.lower() if lower else chunk))
 
+        simple = split in (BYTE_LEVEL_SPLIT, WORD_END_SPLIT)   # a chunk of ASCII letters is one word there
+        words_alone, space = Tokenizer(model), spelling[32]
+
         def make(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            coded = [numbers(c) for c in chunks]
-            return np.array([len(c) // 4 for c in coded], np.int64), np.frombuffer(b"".join(coded), np.uint32)
+            easy = [simple and is_word(c) for c in chunks]
+            known = [c.strip(" ").lower() if lower else c.replace(" ", space) for c, e in zip(chunks, easy, strict=True) if e]
+            told = words_alone.encode(known, is_pretokenized=True, add_special_tokens=False)   # one call, the model alone
+            coded = [numbers(c) for c, e in zip(chunks, easy, strict=True) if not e]
+            sizes, is_easy = np.zeros(len(chunks), np.int64), np.array(easy, bool)
+            sizes[is_easy] = np.bincount(np.array(told.word_ids, np.int64), minlength=len(known))
+            sizes[~is_easy] = [len(c) // 4 for c in coded]
+            ids, easy_ids = np.zeros(int(sizes.sum()), np.uint32), np.repeat(is_easy, sizes)
+            ids[easy_ids], ids[~easy_ids] = told.ids, np.frombuffer(b"".join(coded), np.uint32)
+            return sizes, ids
 
         def one(text: str):
             if has_added(text):
                 return by_chain(text)
             return np.frombuffer(b"".join(map(numbers, space_chunks(text))), np.uint32)
 
-        _CODERS[path] = BatchCoder(make, one, has_added)
+        _CODERS[path] = BatchCoder(make, one, ("",) if hidden else tuple(added))
     return _CODERS[path]
 
 

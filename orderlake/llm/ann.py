@@ -113,8 +113,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
 
     ``is_query`` picks the query rows; candidates are all rows but those with
     the query's id. Rows whose vector or id is null, and vectors that are
-    empty, zero or hold a null or non-finite component, take no part; vectors
-    must have one length. Where fewer than ``k`` codes lie within the radius,
+    empty, zero or hold a null or non-finite component, take no part. Vectors
+    of different lengths have no cosine: each length is a table of its own,
+    with its own rotation. Where fewer than ``k`` codes lie within the radius,
     a shard is probed again with a larger one, so a query gets min(k, all
     candidates) rows. A table without usable rows gives none.
     """
@@ -124,10 +125,26 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     rows = stage(df.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
                  .select(F.col(id_col).cast("bigint").alias("id"), vector.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")), "vectors")
     n, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
-    sample = matrix(bounded_sample(rows.select("id", "v"), F.col("id"), SAMPLE).orderBy("id").select("v").toArrow().column(0).combine_chunks()) \
-        if n else np.zeros((0, 0))
-    codes = Codes(sample) if n else None
-    radius = learned_radius(codes, sample, k) if n else BITS
+    if not n:
+        return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score")).limit(0)
+    lengths = [r[0] for r in rows.select(F.size("v")).distinct().collect()]   # a table has one length, or a few
+    found = None
+    for wide in sorted(lengths):
+        part = rows.filter(F.size("v") == wide) if len(lengths) > 1 else rows
+        if len(lengths) > 1:
+            n, asking = part.agg(F.count("*"), F.count_if("asks")).first()
+        told = _nearest_of_length(part, n, asking, k)
+        found = told if found is None else found.unionByName(told)
+    # A query has at most k rows from each shard here.
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")))
+    return best.filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def _nearest_of_length(rows: DataFrame, n: int, asking: int, k: int) -> DataFrame:
+    """(query_id, id, score): the best ``k`` of every shard for each query, among ``n`` rows (id, v, asks) of one length."""
+    sample = matrix(bounded_sample(rows.select("id", "v"), F.col("id"), SAMPLE).orderBy("id").select("v").toArrow().column(0).combine_chunks())
+    codes = Codes(sample)
+    radius = learned_radius(codes, sample, k)
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-asking // BLOCK))
 
     def search(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -159,8 +176,5 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
                                            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     held = rows.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
                        F.pmod(place, F.lit(shards)).cast("int").alias("shard"))
-    found = questions.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")).applyInPandas(
+    return questions.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")).applyInPandas(
         search, "query_id bigint, id bigint, score double")
-    # A query has at most k rows from each shard here.
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")))
-    return best.filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

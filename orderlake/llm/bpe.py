@@ -28,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm._io import free_name, prepare
-from orderlake.llm._batch import BatchCoder, regroup, spread
-from orderlake.llm._text import PieceCache, space_chunks
+from orderlake.llm._batch import BatchCoder, gathered, regroup, spread
+from orderlake.llm._text import PieceCache, is_word, space_chunks
+from orderlake.llm._tokens import BYTE_LEVEL_SPLIT
 
 NONE = 2**31 - 1
 #: Ranks are below this.
@@ -241,7 +242,10 @@ def _word_coder(rank_path: str, pattern: str) -> BatchCoder:
     if (rank_path, pattern) not in _CODERS:
         import regex
 
-        find, folder = regex.compile(pattern).findall, Folder(read_ranks(rank_path))
+        search, folder, simple = regex.compile(pattern).findall, Folder(read_ranks(rank_path)), pattern == BYTE_LEVEL_SPLIT
+
+        def find(chunk: str) -> list[str]:
+            return [chunk] if simple and is_word(chunk) else search(chunk)
 
         def make(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
             numbers: dict[str, int] = {}
@@ -250,7 +254,7 @@ def _word_coder(rank_path: str, pattern: str) -> BatchCoder:
             used = np.array([n for c in cut for n in c], np.int64)
             return regroup(np.array([len(c) for c in cut], np.int64), sizes[used]), ids[spread((np.cumsum(sizes) - sizes)[used], sizes[used])]
 
-        _CODERS[rank_path, pattern] = BatchCoder(make, lambda text: make([text])[1])
+        _CODERS[rank_path, pattern] = BatchCoder(make, lambda text: make([text])[1], limit=600_000)
     return _CODERS[rank_path, pattern]
 
 
@@ -259,7 +263,7 @@ def _task_encoder(rank_path: str, pattern: str, key_name: str, key_type: pa.Data
 
     def run(batches):
         coder = _word_coder(rank_path, pattern)
-        for batch in batches:
+        for batch in gathered(batches):
             sizes, ids = coder.code(batch.column(1))
             at, done = np.concatenate([[0], np.cumsum(sizes)]), 0
             while done < batch.num_rows:

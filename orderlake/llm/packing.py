@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm._io import prepare, stage
+from orderlake.llm._batch import gathered
 from orderlake.llm._tokens import ids_of
 
 #: Tokens of a full sequence.
@@ -120,7 +121,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             rows.clear()
             return out
 
-        for batch in batches:
+        for batch in gathered(batches):
             for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
                 for w in packer.add(key, ids):
                     take(w, False)

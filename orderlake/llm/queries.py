@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm import ann, bpe, jaccard, language, matching, merkle, packing, pii, pivots, resampling, sharding, token_files, toxicity
@@ -23,6 +23,11 @@ def _register(fn):
     return fn
 
 
+def held_out(divisor: int, remainder: int) -> Column:
+    """Whether the id's crc32 has the remainder; a row without an id is never learned from, so it counts as held out."""
+    return F.coalesce(crc32_of(F.col("doc_id")) % divisor == remainder, F.lit(True))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -69,9 +74,9 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = crc32_of(F.col("doc_id")) % 4 == 2
-    sample = language.train(docs, ~held_out)
-    return language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), sample).select("doc_id", "held_out", "lang_pred", "score", "phrase_rate")
+    apart = held_out(4, 2)
+    sample = language.train(docs, ~apart)
+    return language.predict(docs.select("doc_id", apart.alias("held_out"), "text"), sample).select("doc_id", "held_out", "lang_pred", "score", "phrase_rate")
 
 
 @_register
@@ -85,9 +90,9 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = crc32_of(F.col("doc_id")) % 3 == 1
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
-    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    apart = held_out(3, 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~apart)
+    scored = toxicity.score(docs.select("doc_id", apart.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
@@ -100,7 +105,7 @@ def op11_resample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op12_text_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = matching.score(docs, crc32_of(F.col("doc_id")) % 10 != 0)
+    scored = matching.score(docs, ~held_out(10, 0))
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._io import bounded_sample, prepare
+from orderlake.llm._batch import gathered
 from orderlake.llm._tokens import ids_of
 
 #: Documents that the dictionary is trained on, and ids taken of each: a bounded sample, for the dictionary alone.
@@ -89,7 +90,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(
                 (part, number, dict_hash, first, keys, sizes, offsets, b"".join(frames)), schema, strict=True)], schema=schema)
 
-        for batch in batches:
+        for batch in gathered(batches):
             for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
                 frame = press.compress(ids)
                 keys.append(key), sizes.append(len(ids) // 4), frames.append(frame), offsets.append(offsets[-1] + len(frame))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._io import bounded_sample, free_name, prepare
+from orderlake.llm._io import bounded_sample, free_name, prepare, stage
 from orderlake.llm._text import PieceCache
 
 #: Feature hashes are taken modulo this.
@@ -99,8 +99,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     At most SAMPLE documents of either label, those with the smallest hashes of
     their ids. Rows without label or id are left out; several labels of one id
     count as the highest. Ids that repeat in ``docs`` train once a row. The
-    features are made where the texts are, and one task, then the driver, holds
-    the bounded sample's.
+    features are made where the texts are and written once; one task, then the
+    driver, holds the bounded sample's.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -116,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
             out = [maker.of(t.as_py()).astype(np.int32) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["mark", "y", "at"])
 
-    made = picked.select(F.xxhash64("id").alias("mark"), "y", "text").mapInArrow(features, "mark bigint, y int, at array<int>")
+    made = stage(picked.select(F.xxhash64("id").alias("mark"), "y", "text").mapInArrow(features, "mark bigint, y int, at array<int>"), "features")
 
     def learn_all(batches):
         rows = sorted(((m.as_py(), y.as_py(), np.asarray(a.values, np.int64)) for b in batches

@@ -1,4 +1,5 @@
 """Operators 8, 9 and 10: brute-force parsing and patterns, held-out accuracy, odd rows."""
+import math
 import random
 import re
 
@@ -126,6 +127,69 @@ def test_op8_odd_rows(spark, odd_docs, no_docs):
     assert language.predict(no_docs, sample).count() == 0
 
 
+def plain_features(text):
+    import xxhash
+
+    h = [int.from_bytes(xxhash.xxh32_digest(w), "little") for w in re.findall(r"\w+", (text or "").lower())]
+    every = h + [(a * 0x9E3779B1 + b * 0x85EBCA77 + 1) % 2**64 for a, b in zip(h, h[1:], strict=False)] \
+        + [(a * 0xC2B2AE3D + b * 0x27D4EB2F + 2) % 2**64 for a, b in zip(h, h[2:], strict=False)]
+    return {(x ^ x >> 29) % toxicity.SIZE for x in every}
+
+
+def plain_ftrl(rows):
+    """Weights by coordinate ("bias" among them), one dictionary entry at a time."""
+    z, n = {}, {}
+    positive = sum(y for y, _ in rows)
+    again = min(toxicity.REPEATS, max(1, round((len(rows) - positive) / positive)))
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= toxicity.L1:
+            return 0.0
+        return -(zi - math.copysign(toxicity.L1, zi)) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.PASSES):
+        for y, features in rows:
+            for _ in range(again if y else 1):
+                w = {i: weight(i) for i in [*features, "bias"]}
+                g = 1 / (1 + math.exp(-sum(w.values()))) - y
+                for i, wi in w.items():
+                    before = n.get(i, 0.0)
+                    n[i] = before + g * g
+                    z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(before)) / toxicity.ALPHA * wi
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_op10_features_and_weights_equal_plain_ones(spark):
+    maker = toxicity.Features()
+    for _, t in odd_rows():
+        assert set(maker.of(t).tolist()) == plain_features(t)
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.toxic is not None}
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.doc_id in labels]
+    rows = [(labels[i], plain_features(t)) for i, t in docs]
+    model = toxicity.fit([(y, np.array(sorted(f), np.int64)) for y, f in rows])
+    want = plain_ftrl(rows)
+    got = dict(zip(model.at.tolist(), model.weight.tolist(), strict=True)) | ({"bias": model.bias} if model.bias else {})
+    assert got.keys() == want.keys() and len(got) > 3
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-6, abs_tol=1e-9) for i in want)
+    for _, t in odd_rows():
+        total = want.get("bias", 0.0) + sum(want.get(i, 0.0) for i in plain_features(t))
+        assert math.isclose(model.score(maker.of(t)), 1 / (1 + math.exp(-total)), rel_tol=1e-6)
+
+
+def test_op10_training_reads_the_corpus_in_many_tasks(spark):
+    """What one task trains on is a written table of the sample's features, not a scan of the texts."""
+    docs = spark.createDataFrame([(i, f"w{i} bad" if i % 3 == 0 else f"w{i}") for i in range(300)], "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    seen, real = [], toxicity.stage
+    try:
+        toxicity.stage = lambda df, name: seen.append((name, df.rdd.getNumPartitions())) or real(df, name)
+        toxicity.train(docs, labels, F.lit(True))
+    finally:
+        toxicity.stage = real
+    assert seen == [("features", 6)]
+
+
 def test_op10_held_out_accuracy(spark):
     rnd = random.Random(4)
     words, bad = [f"w{i}" for i in range(300)], ["vile", "scum", "rotten"]

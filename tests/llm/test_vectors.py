@@ -49,6 +49,14 @@ def test_op2_few_candidates_and_none(spark):
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_op2_lengths_and_null_ids(spark):
+    """Vectors of two lengths are two tables; rows without an id take no part."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0]), (4, [1.0, 0.2, 0.0]), (None, [1.0, 0.0]), (5, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.rank, r.vec_id) for r in ann.nearest(df, F.lit(True)).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1), (1, 1, 0), (2, 1, 4), (2, 2, 3), (3, 1, 4), (3, 2, 2), (4, 1, 2), (4, 2, 3)]
+
+
 def test_multi_index_retrieves_every_code_within_the_radius():
     codes = np.random.default_rng(1).integers(0, 256, (500, 8)).astype(np.uint8)
     index = ann.MultiIndex(codes)
