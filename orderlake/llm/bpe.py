@@ -23,7 +23,6 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -376,31 +375,11 @@ def decode(tokens: DataFrame, rank_path: str, ids_col: str = "ids", out_col: str
     a null among the ids) makes the whole result null. If ``tokens`` already
     has a column ``out_col``, underscores are added to the new one's name.
     """
-    prepare(tokens.sparkSession)
-    out_col = free_name(tokens, out_col)
-    pieces = {r: p for p, r in read_ranks(rank_path).items()}
-    size = np.full(max(pieces, default=-1) + 2, -1, np.int64)   # the last place stands for all unknown ids
-    size[list(pieces)] = [len(p) for p in pieces.values()]
-    first = np.zeros(len(size), np.int64)
-    first[list(pieces)] = np.cumsum(size[list(pieces)]) - size[list(pieces)]
-    letters = np.frombuffer(b"".join(pieces.values()), np.uint8)
-
-    def add(batches):
-        for batch in batches:
-            column = batch.column(batch.schema.names.index(ids_col))
-            ids = pc.fill_null(pc.list_flatten(column), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = np.where((ids < 0) | (ids >= len(size)), len(size) - 1, ids)
-            length = size[ids]
-            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            lost = (regroup(counts, (length < 0).astype(np.int64)) > 0) | column.is_null().to_numpy(zero_copy_only=False)
-            length = np.maximum(length, 0)
-            at = np.concatenate([[0], np.cumsum(regroup(counts, length))]).tolist()
-            whole = letters[spread(first[ids], length)].tobytes()
-            out = [None if gone else whole[a:b] for gone, a, b in zip(lost.tolist(), at, at[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, out_col])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(add, f"{fields}, `{out_col}` binary")
+    pieces = {r: p.hex() for p, r in read_ranks(rank_path).items()}
+    spelled = F.split(F.lit(",".join(pieces.get(i, "!") for i in range(max(pieces, default=-1) + 1))), ",")   # folded into one literal
+    # No hexadecimal text holds "!", so a piece that is not there makes the whole null.
+    whole = F.unhex(F.array_join(F.transform(ids_col, lambda i: F.get(spelled, i)), "", "!"))
+    return tokens.withColumn(free_name(tokens, out_col), whole)
 
 
 def digests(coded: DataFrame, id_col: str = "doc_id") -> DataFrame:
