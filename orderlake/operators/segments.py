@@ -10,6 +10,7 @@ medians use the distributed row numbering (``exact_median``).
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -17,13 +18,13 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.numeric import round_double
 from orderlake.operators.ranking import exact_medians
 from orderlake.session import checkpoint_dir
-from orderlake.sources.files import write_table
+from orderlake.sources.files import latest_version, read_table, write_table
 
 FEATURES = ["recency", "frequency", "monetary"]
 
@@ -140,6 +141,61 @@ def silhouette(assigned: DataFrame) -> DataFrame:
     return x.agg(F.avg(F.coalesce(score, F.lit(0.0))).alias("silhouette_squared_euclidean"))
 
 
+def euclidean_silhouette(assigned: DataFrame, cols: list[str], sample: int = 1000, seed: int = 42, id_col: str = "customer_unique_id",
+                         confidence: float = 0.95) -> DataFrame:
+    """M4: one row: the mean Euclidean silhouette of a bounded sample, n_sample, and ``bound``.
+
+    The sample is M11's (the smallest md5 of seed and id). Its points' distances
+    are exact: every point of the table, block by block, adds its distance to
+    each sampled point to that point's total for the block's cluster, so a task
+    holds the sample and one Arrow batch, and sends one total for each sampled
+    point and cluster. Scores lie in [-1, 1], so by Hoeffding's inequality the
+    mean over all points is within ``bound`` of the sample's with the given
+    confidence (0 where the sample is the whole table). Points alone in their
+    cluster score 0, as do points of a single cluster; rows with a null in
+    ``cols`` or no cluster take no part.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    whole = assigned.filter(F.col("cluster").isNotNull()).dropna(subset=cols).select(id_col, F.col("cluster").cast("int").alias("cluster"),
+                                                                                     *[F.col(c).cast("double").alias(c) for c in cols])
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    picked = whole.orderBy(key.asc_nulls_last(), F.col(id_col).asc_nulls_last()).limit(sample).collect()   # at most ``sample`` rows
+    spark = assigned.sparkSession
+    if not picked:
+        return spark.createDataFrame([(None, 0, None)], "silhouette double, n_sample bigint, bound double")
+    points = np.array([[r[c] for c in cols] for r in picked], float)
+
+    def totals(batches):
+        held: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            rows = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols])
+            cluster = batch.column("cluster").to_numpy(zero_copy_only=False)
+            for at in range(0, len(rows), 2000):
+                far = np.sqrt(((rows[at:at + 2000, None, :] - points[None]) ** 2).sum(2))
+                for c in np.unique(cluster[at:at + 2000]).tolist():
+                    own = cluster[at:at + 2000] == c
+                    n, total = held.get(c, (0, 0.0))
+                    held[c] = n + int(own.sum()), total + far[own].sum(0)
+        for c, (n, total) in held.items():
+            k = len(points)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(np.full(k, c, np.int32)), pa.array(np.full(k, n)), pa.array(total)],
+                                             names=["point", "cluster", "n", "total"])
+
+    sums = whole.select("cluster", *cols).mapInArrow(totals, "point bigint, cluster int, n bigint, total double") \
+        .groupBy("point", "cluster").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    mine = spark.createDataFrame([(i, r["cluster"]) for i, r in enumerate(picked)], "point bigint, mine int")
+    own = F.col("cluster") == F.col("mine")
+    scored = sums.join(F.broadcast(mine), "point").groupBy("point").agg(   # the sample's points
+        F.max(F.when(own, F.col("n"))).alias("n"), F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"))
+    score = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))
+    left_out = whole.count() > len(picked)
+    bound = math.sqrt(2 * math.log(2 / (1 - confidence)) / len(picked)) if left_out else 0.0
+    return scored.agg(F.avg(score).alias("silhouette"), F.count(F.lit(1)).alias("n_sample"), F.lit(bound).alias("bound"))
+
+
 def squared_distances(fit: SegmentationFit) -> DataFrame:
     """Each row of the assignment with ``own`` (squared distance to its cluster's centre) and ``nearest`` (to the nearest one)."""
     z = [f"{c}_z" for c in FEATURES]
@@ -221,6 +277,13 @@ def save_run(fit: SegmentationFit, segments: DataFrame, root: str) -> str:
     return path
 
 
+def read_run(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, KMeansModel]:
+    """The newest complete run that ``save_run`` wrote: its segments, its metrics (metric, value) and its model."""
+    run = latest_version(spark, root, "customer_segments").rsplit("=", 1)[1]
+    metrics = spark.read.parquet(f"{root.rstrip('/')}/run_metrics/run={run}").select("metric", "value")
+    return read_table(spark, root, "customer_segments"), metrics, KMeansModel.load(f"{root.rstrip('/')}/kmeans_model/v={run}")
+
+
 def segment_profile(segments: DataFrame) -> DataFrame:
     """Per segment: size and exact medians of recency, frequency, monetary."""
     sizes = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("nb_clients"))
@@ -253,6 +316,48 @@ def cap_outliers(sample: DataFrame, q: float = 0.99, cols: list[str] = FEATURES)
                            else F.col(f.name) for f in sample.schema.fields])
 
 
+#: Size parameter of the quantile sketches; a quantile's rank is off by at most RANK_ERROR of the rows (with 99 % confidence).
+SKETCH_K, RANK_ERROR = 400, 0.0075
+
+
+def quantile_states(df: DataFrame, by: list[str], cols: list[str] = FEATURES) -> DataFrame:
+    """A mergeable quantile sketch (KLL) of each column for each group ``by``: bounded bytes, whatever the number of rows."""
+    sketches = [F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH_K)).alias(c) for c in cols]
+    return df.groupBy(*by).agg(*sketches)
+
+
+def merge_states(states: DataFrame, by: list[str] | None = None, cols: list[str] = FEATURES) -> DataFrame:
+    """Sketches of several groups as one: days into months, batches into a table."""
+    return states.groupBy(*(by or [])).agg(*[F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(c) for c in cols])
+
+
+def sketch_quantile(state: str, q: float) -> Column:
+    """The value at rank ``q`` of a sketch column."""
+    return F.kll_sketch_get_quantile_double(F.col(state), F.lit(float(q)))
+
+
+def sketch_rank_check(df: DataFrame, state: DataFrame, quantiles: tuple[float, ...], cols: list[str] = FEATURES) -> DataFrame:
+    """(column_name, q, n_values, within_bound): whether each quantile's exact rank in ``df`` is within RANK_ERROR of ``q``.
+
+    A value's rank spans from the share of smaller rows to that of rows not greater.
+    """
+    values = state.select(F.struct(*[F.struct(*[sketch_quantile(c, q).alias(f"q{i}") for i, q in enumerate(quantiles)]).alias(c) for c in cols])).scalar()
+    held = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).withColumn("at", values)
+    counted = held.agg(*[f for c in cols for i, _ in enumerate(quantiles) for f in (
+        F.avg((F.col(c) < F.col(f"at.{c}.q{i}")).cast("double")).alias(f"{c}_lt{i}"), F.avg((F.col(c) <= F.col(f"at.{c}.q{i}")).cast("double")).alias(f"{c}_le{i}"))],
+        *[F.count(c).alias(f"{c}_n") for c in cols])
+    return counted.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(float(q)).alias("q"), F.col(f"{c}_n").alias("n_values"),
+        ((F.col(f"{c}_lt{i}") <= q + RANK_ERROR) & (F.col(f"{c}_le{i}") >= q - RANK_ERROR)).alias("within_bound"))
+        for c in cols for i, q in enumerate(quantiles)])))
+
+
+def cap_outliers_approx(df: DataFrame, q: float = 0.99, cols: list[str] = FEATURES) -> DataFrame:
+    """M12 over any number of rows: each feature capped at the sketch's ``q`` quantile, whose rank is within RANK_ERROR of ``q``."""
+    caps = merge_states(quantile_states(df, [], cols), None, cols).select(F.struct(*[sketch_quantile(c, q).alias(c) for c in cols])).scalar()
+    return df.select(*[F.least(F.col(f.name).cast("double"), caps[f.name]).alias(f.name) if f.name in cols else F.col(f.name) for f in df.schema.fields])
+
+
 def pca_projection(capped: DataFrame, k: int = 2) -> DataFrame:
     """2-D PCA of the re-standardised capped sample, with explained variance (%).
 

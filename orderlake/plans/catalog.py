@@ -54,6 +54,19 @@ def clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return C.clean_layer(raw(spark, sf_dir))
 
 
+_REFRESHED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, d, what: str, build: Callable[[str], None]) -> str:
+    """The folder that ``build`` fills, once per session and scale factor."""
+    key = (spark.sparkContext.applicationId, d, what)
+    if key not in _REFRESHED:
+        root = scratch(spark)
+        build(root)
+        _REFRESHED[key] = root
+    return _REFRESHED[key]
+
+
 # ------------------------------------------------------------------ clean layer
 
 @register("c1_clean_orders", with_layers("SELECT * FROM clean_orders"))
@@ -168,25 +181,21 @@ def _a4(spark, d):
     return A.top_categories(clean(spark, d)["order_items"])
 
 
+# Every person's orders in a row; the last one's running totals are the person's.
 A5_SQL = f"""
-        SELECT *,
-               CASE WHEN total_spent >= 500 THEN 'high_value'
-                    WHEN total_spent >= 200 THEN 'mid_value' ELSE 'low_value' END AS customer_segment,
-               CAST(CASE WHEN total_orders > 1 THEN 1 ELSE 0 END AS INTEGER) AS is_repeat_customer
-        FROM (
-            SELECT c.customer_unique_id, c.state, c.city,
-                   count(DISTINCT o.order_id) AS total_orders,
-                   {D('sum(p.total_payment)')} AS total_spent,
-                   min(o.purchased_at) AS first_order_date,
-                   max(o.purchased_at) AS last_order_date,
-                   {R('avg(p.total_payment)', 2)} AS avg_order_value,
-                   CAST(extract(day FROM (max(o.purchased_at) - min(o.purchased_at))) AS INTEGER)
-                       AS customer_lifespan_days
-            FROM clean_customers c
-            JOIN clean_orders o ON c.customer_id = o.customer_id
-            JOIN clean_payments p ON o.order_id = p.order_id
-            WHERE o.order_status = 'delivered'
-            GROUP BY c.customer_unique_id, c.state, c.city)"""
+        SELECT customer_unique_id, state, city, nth AS total_orders, {D('so_far')} AS total_spent, since AS first_order_date,
+               until AS last_order_date, {R('so_far / nth', 2)} AS avg_order_value,
+               trunc((epoch(until) - epoch(since)) / 86400)::INTEGER AS customer_lifespan_days,
+               (['low_value', 'mid_value', 'high_value'])[1 + (so_far >= 200)::INTEGER + (so_far >= 500)::INTEGER] AS customer_segment,
+               (nth > 1)::INTEGER AS is_repeat_customer
+        FROM (SELECT customer_unique_id, state, city, row_number() OVER upto AS nth, sum(total_payment) OVER upto AS so_far,
+                     min(purchased_at) OVER upto AS since, max(purchased_at) OVER upto AS until,
+                     row_number() OVER (PARTITION BY customer_unique_id, state, city ORDER BY order_id DESC) AS from_end
+              FROM clean_payments
+              SEMI JOIN (SELECT order_id FROM clean_orders WHERE order_status = 'delivered') USING (order_id)
+              JOIN clean_orders USING (order_id) JOIN clean_customers USING (customer_id)
+              WINDOW upto AS (PARTITION BY customer_unique_id, state, city ORDER BY order_id ROWS UNBOUNDED PRECEDING)) walked
+        WHERE from_end = 1"""
 
 
 @register("a5_customer_lifetime_value", with_layers(A5_SQL))
@@ -195,20 +204,20 @@ def _a5(spark, d):
     return A.customer_lifetime_value(c["customers"], c["orders"], c["payments"])
 
 
+# An order stands for as many joined rows as it has reviews, or one.
 A6_SQL = f"""
-        SELECT {MONTH('o.purchased_at')} AS month,
-               {R('avg(p.total_payment)', 2)} AS avg_basket,
-               count(DISTINCT o.order_id) AS total_orders,
-               {R('avg(o.delivered_on_time) * 100', 2)} AS on_time_delivery_rate_pct,
-               {R('avg(o.delivery_days)', 1)} AS avg_delivery_days,
-               {R('avg(r.review_score)', 2)} AS avg_review_score,
-               {R('avg(r.has_comment) * 100', 2)} AS review_comment_rate_pct,
-               {R("count(CASE WHEN o.order_status = 'canceled' THEN 1 END) / nullif(count(*), 0) * 100", 2)}
-                   AS cancellation_rate_pct
-        FROM clean_orders o
-        JOIN clean_payments p ON o.order_id = p.order_id
-        LEFT JOIN clean_reviews r ON o.order_id = r.order_id
-        GROUP BY 1"""
+        SELECT month, {R('sum(w * total_payment) / sum(w)', 2)} AS avg_basket, count(*) AS total_orders,
+               {R('100.0 * sum(w * delivered_on_time) / sum(w)', 2)} AS on_time_delivery_rate_pct,
+               {R('sum(w * delivery_days) / nullif(sum(w * (delivery_days IS NOT NULL)::INTEGER), 0)', 1)} AS avg_delivery_days,
+               {R('sum(stars) / nullif(sum(starred), 0)', 2)} AS avg_review_score,
+               {R('100.0 * sum(notes) / nullif(sum(k), 0)', 2)} AS review_comment_rate_pct,
+               {R("100.0 * sum(w * (order_status = 'canceled')::INTEGER) / sum(w)", 2)} AS cancellation_rate_pct
+        FROM (SELECT {MONTH('purchased_at')} AS month, order_status, delivered_on_time, delivery_days, total_payment,
+                     k, greatest(coalesce(k, 0), 1) AS w, stars, starred, notes
+              FROM clean_payments JOIN clean_orders USING (order_id)
+              LEFT JOIN (SELECT order_id, count(*) AS k, sum(review_score) AS stars, count(review_score) AS starred, sum(has_comment) AS notes
+                         FROM clean_reviews GROUP BY order_id) per_order USING (order_id)) weighted
+        GROUP BY month"""
 
 
 @register("a6_kpi_summary", with_layers(A6_SQL))
@@ -773,6 +782,32 @@ def _m9(spark, d):
     return _segments(spark, d)
 
 
+@register("m7_m9_saved_run", with_layers("""
+        SELECT 'customers' AS what, CAST(count(*) AS DOUBLE) AS value, CAST(sum(recency) AS DOUBLE) AS detail FROM rfm
+        UNION ALL SELECT 'segments', 4, (SELECT count(*) FROM rfm)
+        UNION ALL SELECT 'n_clusters', 4, NULL UNION ALL SELECT 'n_customers', (SELECT count(*) FROM rfm), NULL
+        UNION ALL SELECT 'other metrics: inertia, n_ of each segment, silhouette', 6, 1
+        UNION ALL SELECT 'model clusters', 4, NULL""", rfm_j=_RFM_J, rfm=_M1_SQL))
+def _m7_m9(spark, d):
+    """A run written and read back: the segments, their sizes (M7), the metrics (M8) and the model (M9)."""
+    root = _once(spark, d, "run", lambda root: M.save_run(_fit(spark, d), _segments(spark, d), root))
+    segments, metrics, model = M.read_run(spark, root)
+    sizes = M.segment_sizes(segments)
+    none = F.lit(None).cast("double")
+    named = F.col("metric").isin("n_clusters", "n_customers")
+    per_segment = segments.select(F.concat(F.lit("n_"), F.regexp_replace("segment", " ", "_")).alias("metric")).distinct()
+    others = metrics.filter(~named)
+    known = per_segment.unionByName(spark.createDataFrame([("inertia",), ("silhouette_squared_euclidean",)], "metric string"))
+    agree = others.join(sizes.select(F.concat(F.lit("n_"), F.regexp_replace("segment", " ", "_")).alias("metric"), "n_customers"), "metric", "left")
+    return (segments.agg(F.lit("customers").alias("what"), F.count(F.lit(1)).cast("double").alias("value"), F.sum("recency").cast("double").alias("detail"))
+            .unionByName(sizes.agg(F.lit("segments").alias("what"), F.count(F.lit(1)).cast("double").alias("value"), F.sum("n_customers").cast("double").alias("detail")))
+            .unionByName(metrics.filter(named).select(F.col("metric").alias("what"), "value", none.alias("detail")))
+            .unionByName(agree.join(known, "metric", "left_semi").agg(
+                F.lit("other metrics: inertia, n_ of each segment, silhouette").alias("what"), F.count(F.lit(1)).cast("double").alias("value"),
+                F.min((F.coalesce("n_customers", "value") == F.col("value")).cast("double")).alias("detail")))
+            .unionByName(spark.range(1).select(F.lit("model clusters").alias("what"), F.lit(float(len(model.clusterCenters()))).alias("value"), none.alias("detail"))))
+
+
 @register("m10_segment_profile")
 def _m10(spark, d):
     return M.segment_profile(_segments(spark, d))
@@ -803,6 +838,16 @@ def _m12(spark, d):
     return M.cap_outliers(M.sample_customers(_rfm(spark, d), M11_SAMPLE, 42))
 
 
+@register("m12_sketch_ranks", with_layers("""
+        SELECT c AS column_name, CAST(q AS DOUBLE) AS q, (SELECT count(*) FROM rfm) AS n_values, true AS within_bound
+        FROM (VALUES ('recency'), ('frequency'), ('monetary')) a(c), (VALUES (0.5), (0.99)) b(q)""", rfm_j=_RFM_J, rfm=_M1_SQL))
+def _m12_ranks(spark, d):
+    """The sketch's quantiles of all customers' features, held against their exact ranks."""
+    rfm = _rfm(spark, d).withColumn("part", F.pmod(F.xxhash64("customer_unique_id"), F.lit(7)))
+    states = M.quantile_states(rfm, ["part"])            # seven states, merged into one
+    return M.sketch_rank_check(rfm, M.merge_states(states), (0.5, 0.99))
+
+
 @register("m13_pca_projection")
 def _m13(spark, d):
     segs = _segments(spark, d)
@@ -1095,7 +1140,6 @@ def _st3(spark, d):
 
 
 ST5_BATCH_FROM = _dt.datetime(1998, 1, 1)   # orders from here on arrive as the new batch
-_REFRESHED: dict[tuple[str, str, str], str] = {}
 
 
 def _order_facts(spark, d) -> DataFrame:
@@ -1103,16 +1147,6 @@ def _order_facts(spark, d) -> DataFrame:
     return RF.order_facts(c["orders"], c["payments"], c["reviews"])
 
 
-def _once(spark, d, what: str, build: Callable[[str], None]) -> str:
-    """The folder that ``build`` fills, once per session and scale factor."""
-    key = (spark.sparkContext.applicationId, d, what)
-    if key not in _REFRESHED:
-        root = scratch(spark)
-        build(root)
-        _REFRESHED[key] = root
-    return _REFRESHED[key]
-
-
 def _refreshed(spark, d) -> dict[str, DataFrame]:
     """The ST5 reports after two batches: the orders before a day, then the rest."""
     def build(root: str) -> None:
@@ -1212,6 +1246,25 @@ _TIER_CTES = dict(rfm_j=_RFM_J, rfm=_M1_SQL, tiers="""
         FROM tiers t JOIN labelled l ON t.cluster = l.cluster""")
 
 
+M4_SAMPLE = 400
+
+
+@register("m4_euclidean_silhouette", with_layers(f"""
+        SELECT {R('avg(CASE WHEN own_n = 1 THEN 0 ELSE (b - a) / nullif(greatest(a, b), 0) END)', 6)} AS silhouette, count(*) AS n_sample
+        FROM (SELECT s.customer_unique_id, max(CASE WHEN s.cluster = g.cluster THEN g.n END) AS own_n,
+                     max(CASE WHEN s.cluster = g.cluster THEN g.total / nullif(g.n - 1, 0) END) AS a,
+                     min(CASE WHEN s.cluster <> g.cluster THEN g.total / g.n END) AS b
+              FROM picked s JOIN (
+                  SELECT p.customer_unique_id, t.cluster, count(*) AS n,
+                         sum(sqrt((p.recency - t.recency) ** 2 + (p.frequency - t.frequency) ** 2 + (p.monetary - t.monetary) ** 2)) AS total
+                  FROM picked p, tiers t GROUP BY 1, 2) g USING (customer_unique_id)
+              GROUP BY 1) scored""", **_TIER_CTES, picked=f"""
+        SELECT * FROM tiers ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT {M4_SAMPLE}"""))
+def _m4_euclidean(spark, d):
+    tiers = _tier_tables(spark, d)[0]
+    return M.euclidean_silhouette(tiers, list(M.FEATURES), sample=M4_SAMPLE).select(round_double("silhouette", 6).alias("silhouette"), "n_sample")
+
+
 @register("m6_labels_on_frequency_tiers", with_layers(f"""
         SELECT cluster, {R('recency_med', 6)} AS recency_med, {R('frequency_med', 6)} AS frequency_med,
                {R('monetary_med', 6)} AS monetary_med, score, position,
