@@ -118,6 +118,22 @@ def monthly_revenue(orders: DataFrame, payments: DataFrame, min_orders: int = 10
 
 # ---------------------------------------------------------------- A3 / A4
 
+def _two_distincts(facts: DataFrame, group: list[str], other: str, sums: dict[str, Column], orders_out: str, others_out: str) -> DataFrame:
+    """Per ``group``: ``sums``, distinct orders and distinct values of ``other``, without a copy of the facts for each distinct.
+
+    The facts come partitioned by order_id, so they are first reduced to one
+    row for each (order, group, other) where they are; the first of an order's
+    rows in a group stands for the order. Then one shuffle counts the orders
+    and adds up by (group, other), and one row of that is one distinct value.
+    """
+    cells = facts.groupBy("order_id", *group, other).agg(*[c.alias(n) for n, c in sums.items()])
+    first = F.row_number().over(Window.partitionBy("order_id", *group).orderBy(F.col(other).asc_nulls_last())) == 1
+    cells = cells.withColumn("_first", F.when(first & F.col("order_id").isNotNull(), 1).otherwise(0).cast("bigint"))
+    added = [F.sum(n).alias(n) for n in sums]
+    pairs = cells.groupBy(*group, other).agg(F.sum("_first").alias(orders_out), *added)
+    return pairs.groupBy(*group).agg(F.sum(orders_out).alias(orders_out), F.count(other).alias(others_out), *added)
+
+
 def top_products(order_items: DataFrame, orders: DataFrame, reviews: DataFrame,
                  review_weight: str = "per_row") -> DataFrame:
     """A3: delivered product revenue with RANK of revenue inside its category."""
@@ -125,13 +141,11 @@ def top_products(order_items: DataFrame, orders: DataFrame, reviews: DataFrame,
                                F.col("category_english").alias("category"))
     j = items.join(delivered(orders).select("order_id"), "order_id")
     j = _with_reviews(j, reviews, review_weight)
-    agg = j.groupBy("product_id", "category").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        _w_sum("price").alias("_rev"),
-        avg_round("price", 2, weight=F.col("_w")).alias("avg_price"),
-        _review_avg().alias("avg_review_score"),
-        F.count_distinct("seller_id").alias("seller_count"),
-    )
+    price_w = F.sum(F.when(F.col("price").isNotNull(), F.col("_w")))
+    sums = {"_rev": _w_sum("price"), "_priced": price_w, "_score": F.sum("score_sum"), "_scored": F.sum("score_n")}
+    agg = _two_distincts(j, ["product_id", "category"], "seller_id", sums, "total_orders", "seller_count").select(
+        "product_id", "category", "total_orders", "_rev", ratio_round(F.col("_rev"), F.col("_priced"), 2).alias("avg_price"),
+        ratio_round(F.col("_score"), F.col("_scored"), 2).alias("avg_review_score"), "seller_count")
     ranked = rank_over(agg, "_rev", partition_by=["category"], out="rank_in_category")
     return ranked.select("product_id", "category", "total_orders",
                          F.col("_rev").cast("double").alias("total_revenue"),
@@ -220,18 +234,17 @@ def seller_facts(order_items: DataFrame, orders: DataFrame, sellers: DataFrame,
     o = delivered(orders).select("order_id", "delivery_days", "delivered_on_time")
     j = _with_reviews(items.join(o, "order_id"), reviews, review_weight)
     w = F.col("_w")
-    per_seller = j.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        _w_sum("price").alias("_rev"),
-        F.sum(w).alias("_w_n"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.sum("score_sum").alias("_score_sum"),
-        F.sum("score_n").alias("_score_n"),
-        F.sum(F.col("delivery_days") * w).alias("_days_sum"),
-        F.sum(F.when(F.col("delivery_days").isNotNull(), w)).alias("_days_n"),
-        F.sum(F.col("delivered_on_time") * w).alias("_ontime_sum"),
-        F.sum(F.when(F.col("delivered_on_time").isNotNull(), w)).alias("_ontime_n"),
-    )
+    sums = {
+        "_rev": _w_sum("price"),
+        "_w_n": F.sum(w),
+        "_score_sum": F.sum("score_sum"),
+        "_score_n": F.sum("score_n"),
+        "_days_sum": F.sum(F.col("delivery_days") * w),
+        "_days_n": F.sum(F.when(F.col("delivery_days").isNotNull(), w)),
+        "_ontime_sum": F.sum(F.col("delivered_on_time") * w),
+        "_ontime_n": F.sum(F.when(F.col("delivered_on_time").isNotNull(), w)),
+    }
+    per_seller = _two_distincts(j, ["seller_id"], "product_id", sums, "total_orders", "unique_products")
     dim = sellers.groupBy("seller_id", F.col("city").alias("seller_city"),
                           F.col("state").alias("seller_state")).agg(F.count(F.lit(1)).alias("_m"))
     x = per_seller.join(dim, "seller_id")

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from orderlake.operators import clean as C
 from orderlake.operators import metrics as A
 from orderlake.operators import quality as Q
-from orderlake.sources.files import (ensure_database, publish_table, read_table, write_bucketed_table,
-                                     write_table)
+from orderlake.sources.files import (ensure_database, publish_table, read_table, remove_old_versions,
+                                     write_bucketed_table, write_table)
 
 Builder = Callable[[dict[str, DataFrame]], DataFrame]
 
@@ -80,7 +80,7 @@ CLEAN_BUCKETS = {"orders": "order_id", "order_items": "order_id", "payments": "o
 
 def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
                  min_month_orders: int = 100, publish: bool = False, buckets: int | None = None,
-                 database_prefix: str = "", parallel_tables: int = 4) -> DataFrame:
+                 database_prefix: str = "", parallel_tables: int = 4, keep_versions: int | None = None) -> DataFrame:
     """Full refresh: clean → metrics → quality, each table written as a new version.
 
     The clean layer is written once (bucketed where joins need it, see
@@ -89,7 +89,8 @@ def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse:
     every version also becomes ``<prefix><layer>.<table>`` in the catalog
     (databases created when absent). The tables of one layer are independent,
     so up to ``parallel_tables`` of them are written as concurrent Spark jobs.
-    Returns (layer, table_name, n_rows).
+    Returns (layer, table_name, n_rows). With ``keep_versions``, older versions
+    of every table that no reader has leased are removed at the end.
     """
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     written: list[tuple[str, str]] = []
@@ -127,4 +128,6 @@ def run_full_refresh(spark: SparkSession, raw: dict[str, DataFrame], warehouse:
         c = read_table(spark, f"{warehouse}/{layer}", name).agg(F.count(F.lit(1)).alias("n_rows")) \
             .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows")
         counts = c if counts is None else counts.unionByName(c)
+        if keep_versions:
+            remove_old_versions(spark, f"{warehouse}/{layer}", name, keep_versions, f"{database_prefix}{layer}")
     return counts

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,3 +177,56 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     if path is None:
         raise FileNotFoundError(f"no complete version of table {name!r} under {root}")
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- retention
+
+def lease_version(spark: SparkSession, root: str, name: str, seconds: int = 3600) -> tuple[str, str]:
+    """(path of the newest complete version, lease): the version is not removed before the lease ends or is released."""
+    while True:
+        path = latest_version(spark, root, name)
+        if path is None:
+            raise FileNotFoundError(f"no complete version of table {name!r} under {root}")
+        until = int(dt.datetime.now(dt.timezone.utc).timestamp()) + seconds
+        lease = f"{root.rstrip('/')}/{name}/leases/{path.rsplit('=', 1)[1]}-{until}-{uuid.uuid4().hex}"
+        fs, p = _fs(spark, lease)
+        fs.create(p).close()
+        if path_exists(spark, f"{path}/_SUCCESS"):   # not removed meanwhile
+            return path, lease
+        fs.delete(p, False)
+
+
+def release(spark: SparkSession, lease: str) -> None:
+    fs, p = _fs(spark, lease)
+    fs.delete(p, False)
+
+
+def remove_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2, database: str | None = None) -> list[str]:
+    """Remove the versions of table ``name`` that nobody needs: returns them, oldest first.
+
+    Kept are the ``keep`` newest complete versions, all that a lease holds, and
+    whatever is newer than the newest complete one (it may still be written).
+    With ``database``, the catalog tables of bucketed versions go too.
+    """
+    if keep < 1:
+        raise ValueError("at least the newest version stays")
+    base = f"{root.rstrip('/')}/{name}"
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    versions = sorted(s.getPath().getName().removeprefix("v=") for s in fs.listStatus(p) if s.getPath().getName().startswith("v="))
+    complete = [v for v in versions if path_exists(spark, f"{base}/v={v}/_SUCCESS")]
+    held, now = set(complete[-keep:]), int(dt.datetime.now(dt.timezone.utc).timestamp())
+    _, leases = _fs(spark, f"{base}/leases")
+    for s in fs.listStatus(leases) if fs.exists(leases) else []:
+        version, until, _ = s.getPath().getName().split("-")
+        if int(until) > now:
+            held.add(version)
+        else:
+            fs.delete(s.getPath(), False)
+    gone = [v for v in versions if v not in held and complete and v < complete[-1]]
+    for v in gone:
+        if database:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}__v{v}`")
+        fs.delete(_fs(spark, f"{base}/v={v}")[1], True)
+    return gone

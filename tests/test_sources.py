@@ -134,3 +134,41 @@ def test_bad_rows_are_quarantined(spark, tmp_path):
         "o6,1,boleto,1.00,more": [(None, None, "field count")],
         'r2,o2,5,,"bad\ndate",2020-13-01 10:00:00,soon': [
             ("review_creation_date", "2020-13-01 10:00:00", "not a timestamp_ntz"), ("review_answer_timestamp", "soon", "not a timestamp_ntz")]}
+
+
+def test_versions_are_removed_unless_leased(spark):
+    import pytest
+
+    root = _tmp(spark)
+    FS.write_bucketed_table(spark.range(4), root, "default", "r", "id", 2)
+    ident = FS.write_bucketed_table(spark.range(5), root, "default", "r", "id", 2)
+    assert len(FS.remove_old_versions(spark, root, "r", keep=1, database="default")) == 1
+    assert [t.name for t in spark.catalog.listTables("default") if t.name.startswith("r__v")] == [ident.split("`")[3].lower()]
+    assert spark.table(ident).count() == 5
+    FS.write_table(spark.range(1), root, "t")
+    path, lease = FS.lease_version(spark, root, "t")
+    for n in (2, 3, 4):
+        FS.write_table(spark.range(n), root, "t")
+    assert len(FS.remove_old_versions(spark, root, "t", keep=2)) == 1 and spark.read.parquet(path).count() == 1
+    FS.lease_version(spark, root, "t", seconds=-1)      # a lease that has ended
+    FS.release(spark, lease)
+    assert len(FS.remove_old_versions(spark, root, "t", keep=1)) == 2 and FS.read_table(spark, root, "t").count() == 4
+    spark.range(9).write.parquet(f"{root}/t/v=99999999T000000000000/unfinished")   # a version that is still being written
+    assert FS.remove_old_versions(spark, root, "t", keep=1) == [] and FS.read_table(spark, root, "t").count() == 4
+    with pytest.raises(ValueError):
+        FS.remove_old_versions(spark, root, "t", keep=0)
+
+
+def test_product_report_copies_no_fact_for_a_distinct(spark):
+    from orderlake.operators import metrics as A
+    T = dt.datetime
+    items = spark.createDataFrame([("o1", "p", "s1", 1.0, None), ("o1", "p", "s2", 2.0, None), ("o2", "p", None, 4.0, None), ("o2", "p", "s1", None, None), (None, "p", "s9", 8.0, None)],
+                                  "order_id string, product_id string, seller_id string, price double, category_english string") \
+        .withColumn("price", F.col("price").cast("decimal(18,2)"))
+    orders = spark.createDataFrame([("o1", "delivered", T(2020, 1, 1)), ("o2", "delivered", T(2020, 1, 1))], "order_id string, order_status string, purchased_at timestamp_ntz")
+    reviews = spark.createDataFrame([("o1", 5, 1), ("o1", 4, 0)], "order_id string, review_score int, has_comment int")
+    got = A.top_products(items, orders, reviews)
+    r = got.first()
+    assert (r["total_orders"], r["seller_count"], r["total_revenue"], r["avg_price"], r["avg_review_score"]) == (2, 2, 10.0, 2.0, 4.5)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
