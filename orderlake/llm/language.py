@@ -4,9 +4,11 @@ For each language, a suffix automaton of a bounded sample of labelled text
 knows every substring of it. A text is parsed greedily into the longest
 phrases that the automaton knows; the language whose automaton needs the
 fewest phrases, normalised by the logarithm of its sample's length and the
-length of the text, wins. Whole texts are parsed, in blocks: a phrase also ends
-where a block of BLOCK characters does, which lets one array operation advance
-all blocks by a character in all languages.
+length of the text, wins. Whole texts are parsed. To advance many places at
+once, a text is cut into blocks that are parsed side by side, and then each
+block's beginning is parsed again from where the block before ended, until both
+parses open a phrase at the same letter: from there on they agree, so the
+phrases counted are those of one parse from the text's first letter to its last.
 """
 
 from __future__ import annotations
@@ -16,24 +18,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm._batch import gathered
 from orderlake.llm._io import free_name, prepare
 
-#: Labelled text of a language: at most so many documents (those with the smallest hashes of their ids), so many characters of each.
+#: Labelled text of a language: a stretch of so many characters, beginning anywhere, of at most so many documents (those with the smallest hashes).
 SAMPLE_DOCS, SAMPLE_CHARS = 80, 400
-#: Characters after which a phrase ends in any case.
+#: Languages that are learned at most; more labels than that are an error.
+MOST_LANGUAGES = 1000
+#: Characters of a block.
 BLOCK = 512
-#: Distinct letters that automata know; rarer ones count as one unknown letter.
-LETTERS = 120
 #: Share of its letters that no sample has, above which a text is in none of the languages. (Phrases a character do not tell: they depend on
 #: the text's length and the size of the alphabet.)
 FOREIGN = 0.5
 
-_MISS = 1 << 30
-
-
 def _letters(text: str) -> np.ndarray:
     """Code points of the lower-cased text with each run of other characters than letters as one 32."""
     return np.frombuffer("".join(c if c.isalpha() else " " for c in text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -41,42 +41,74 @@ def _letters(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Sample:
-    """What a model is made of: languages (ascending), their sample texts, the letters that count."""
+    """What a model is made of: languages (ascending) and their sample texts."""
 
     languages: list[str]
     texts: list[str]
-    letters: list[int]
+
+
+class _Steps:
+    """(state, letter) -> next state or -1, in an open-addressed table that arrays of keys are looked up in at once."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        self._mask = (1 << max(4, (4 * len(keys)).bit_length())) - 1
+        self._keys, self._to = np.full(self._mask + 1, -1, np.int64), np.full(self._mask + 1, -1, np.int32)
+        at = self._place(keys)
+        while len(keys):   # all that found their place free and came first there stay; the others try the next one
+            free = self._keys[at] < 0
+            _, first = np.unique(at, return_index=True)
+            wins = np.zeros(len(keys), bool)
+            wins[first] = True
+            wins &= free
+            self._keys[at[wins]], self._to[at[wins]] = keys[wins], to[wins]
+            keys, to, at = keys[~wins], to[~wins], (at[~wins] + 1) & self._mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(29)) & np.uint64(self._mask)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        shape, keys = keys.shape, keys.ravel()
+        at = self._place(keys)
+        held = self._keys[at]
+        out = np.where(held == keys, self._to[at], -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self._mask
+            held = self._keys[at[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self._to[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out.reshape(shape)
 
 
 class Parser:
-    """The automata of a sample as one table: (language's state, letter) -> next state, marked where a phrase ended."""
+    """The automata of a sample: every letter of the samples has its own code, and one code stands for all others."""
 
     def __init__(self, sample: Sample):
-        self.sample, self.width = sample, len(sample.letters) + 2
-        codes = np.zeros(0x110000, np.uint8)  # 0: no letter
+        self.sample = sample
+        own = np.unique(np.concatenate([np.array([32], np.uint32), *[_letters(t) for t in sample.texts]]))
+        own = own[own != 32]
+        self.width = len(own) + 2
+        codes = np.zeros(0x110000, np.int32)  # 0: no letter
         every = np.frombuffer("".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])).encode("utf-32-le"), np.uint32)
         codes[every] = [c.isalpha() for c in map(chr, every.tolist())]
         codes[codes == 1] = self.width - 1  # a letter that no sample has
-        for i, c in enumerate(sample.letters):
-            codes[c] = i + 1
-        self.codes, self.known = codes, np.zeros(0x110000, bool)
-        for text in sample.texts:
-            self.known[_letters(text)] = True
-        tables, self.roots = [], []
-        at = 0
-        for text in sample.texts:
+        codes[own] = np.arange(1, len(own) + 1)
+        self.codes = codes
+        keys, to, self.roots, at = [], [], [], 0
+        self.from_root = np.zeros((len(sample.texts), self.width), np.int64)
+        for k, text in enumerate(sample.texts):
             steps = _suffix_automaton(self.coded(text).tolist())
-            lost = len(steps)  # where a letter leads that the sample lacks: the next one opens a phrase too
-            table = np.full((lost + 1, self.width), -1, np.int64)
             for s, step in enumerate(steps):
-                for c, to in step.items():
-                    table[s, c] = to
-            again = np.where(table[0] >= 0, table[0], lost) | _MISS
-            table = np.where(table >= 0, table, again[None, :]) + at  # the mark is a bit far above any state
-            tables.append(table.astype(np.int32).ravel())
+                for c, t in step.items():
+                    keys.append((at + s) * self.width + c), to.append(at + t)
+            self.from_root[k] = at + len(steps)  # a letter that the sample lacks leads to a state without a way on
+            for c, t in steps[0].items():
+                self.from_root[k, c] = at + t
             self.roots.append(at)
-            at += lost + 1
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+            at += len(steps) + 1
+        self.steps = _Steps(np.array(keys, np.int64), np.array(to, np.int32))
         self.cost = np.array([math.log2(max(2, len(self.coded(t)))) for t in sample.texts])
 
     def coded(self, text: str) -> np.ndarray:
@@ -85,35 +117,71 @@ class Parser:
 
     def strange(self, text: str) -> float:
         """Share of the text's letters that no sample has; 0 where it has no letter."""
-        c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        c = c[self.codes[c] != 0]
-        return float((~self.known[c]).mean()) if len(c) else 0.0
+        c = self.codes[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
+        c = c[c != 0]
+        return float((c == self.width - 1).mean()) if len(c) else 0.0
+
+    def _advance(self, state: np.ndarray, letter: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, whether the letter opened a phrase)."""
+        to = self.steps.get(state * self.width + letter)
+        opened = to < 0
+        return np.where(opened, self.from_root[language, letter], to), opened
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text: phrases in each language, characters parsed, whether it has a letter."""
         coded = [self.coded(t) for t in texts]
-        size = np.array([len(c) for c in coded])
+        size = np.array([len(c) for c in coded], np.int64)
         letters = np.array([bool((c != 0).any()) for c in coded], bool)
-        total = np.zeros((len(self.roots), len(texts)), np.int64)
-        pieces = [(i, c[b:b + BLOCK]) for i, c in enumerate(coded) for b in range(0, len(c), BLOCK)]
-        pieces.sort(key=lambda p: -len(p[1]))
-        if pieces and self.roots:
-            lengths = np.array([len(p) for _, p in pieces])
-            grid = np.zeros((BLOCK, len(pieces)), np.int64)
-            for j, (_, p) in enumerate(pieces):
-                grid[:len(p), j] = p
-            state = np.repeat(np.array(self.roots)[:, None], len(pieces), 1)
-            count = np.ones((len(self.roots), len(pieces)), np.int64)
-            for t in range(int(lengths[0])):
-                live = int(np.searchsorted(-lengths, -t, "left"))  # blocks longer than t come first
-                step = self.table[state[:, :live] * self.width + grid[t, :live]]
-                ended = step >= _MISS
-                if t:  # a block's first character opens its first phrase in any case
-                    count[:, :live] += ended
-                state[:, :live] = step & (_MISS - 1)
-            owner = np.array([i for i, _ in pieces])
-            for k in range(len(self.roots)):
-                total[k] = np.bincount(owner, count[k], len(texts)).astype(np.int64)
+        n, total = len(self.roots), np.zeros((len(self.roots), len(texts)), np.int64)
+        pieces = [(i, b, c[b:b + BLOCK]) for i, c in enumerate(coded) for b in range(0, len(c), BLOCK)]
+        if not pieces or not n:
+            return total, size, letters
+        pieces.sort(key=lambda p: -len(p[2]))
+        lengths = np.array([len(p) for _, _, p in pieces])
+        grid = np.zeros((BLOCK, len(pieces)), np.int32)
+        for j, (_, _, p) in enumerate(pieces):
+            grid[:len(p), j] = p
+        language = np.arange(n)[:, None]
+        # Each block from a phrase that begins at its first letter.
+        opens = np.zeros((n, BLOCK, len(pieces)), bool)
+        last = np.zeros((n, len(pieces)), np.int64)
+        state = np.repeat(np.array(self.roots)[:, None], len(pieces), 1)
+        for t in range(int(lengths[0])):
+            live = int(np.searchsorted(-lengths, -t, "left"))  # blocks longer than t come first
+            state[:, :live], opened = self._advance(state[:, :live], grid[t, :live][None], language)
+            opens[:, t, :live] = opened
+            if t == 0:
+                opens[:, 0, :live] = True
+                state[:, :live] = self.from_root[language, grid[0, :live][None]]
+            ending = np.flatnonzero(lengths[:live] == t + 1)
+            last[:, ending] = state[:, ending]
+        # Then what the block before leaves open, until both parses open a phrase at one letter.
+        place = {(i, b): j for j, (i, b, _) in enumerate(pieces)}
+        after = np.array([place.get((i, b + BLOCK), -1) for i, b, _ in pieces])
+        before = np.full(len(pieces), -1)
+        before[after[after >= 0]] = np.flatnonzero(after >= 0)
+        true_last, more = last.copy(), np.zeros((n, len(pieces)), np.int64)
+        lang, lane = (x.ravel() for x in np.meshgrid(np.arange(n), np.flatnonzero(before >= 0), indexing="ij"))
+        while len(lane):   # again for the blocks after one whose parses did not meet, which is rare
+            more[lang, lane] = 0
+            state, t, moved = true_last[lang, before[lane]], 0, []
+            while len(lane):
+                state, opened = self._advance(state, grid[t, lane], lang)
+                theirs = opens[lang, t, lane]
+                more[lang, lane] += opened.astype(np.int64) - theirs
+                agree, done = opened & theirs, lengths[lane] == t + 1
+                ends = np.where(agree, last[lang, lane], state)
+                new = (agree | done) & (ends != true_last[lang, lane])
+                true_last[lang[new], lane[new]] = ends[new]
+                moved.append((lang[new], lane[new]))
+                goes_on = ~agree & ~done
+                lang, lane, state, t = lang[goes_on], lane[goes_on], state[goes_on], t + 1
+            lang, lane = (np.concatenate(x) for x in zip(*moved, strict=True))
+            lang, lane = lang[after[lane] >= 0], after[lane][after[lane] >= 0]
+        count = opens.sum(1) + more
+        owner = np.array([i for i, _, _ in pieces])
+        for k in range(n):
+            total[k] = np.bincount(owner, count[k], len(texts)).astype(np.int64)
         return total, size, letters
 
 
@@ -145,28 +213,33 @@ def _suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Sample:
     """The sample of the documents that ``learn`` picks and whose ``lang_col`` and text are not null.
 
-    SAMPLE_DOCS documents of each language, SAMPLE_CHARS characters of each,
-    joined in the order of their ids' hashes; few enough for the driver.
-    Languages are labels of a small vocabulary.
+    SAMPLE_DOCS documents of each language, a stretch of SAMPLE_CHARS
+    characters of each that begins where the text's hash tells, joined in the
+    order of their hashes; few enough for the driver. The documents of all
+    languages are chosen in one pass, a bounded list of hashes for each.
     """
     told = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), learn.alias("learn")).filter(
         "learn and lang is not null and text is not null")
-    marked = told.select("lang", F.xxhash64("id").alias("mark"))
-    low = {}
-    for (lang,) in marked.select("lang").distinct().collect():
-        low[lang] = marked.filter(F.col("lang") == lang).select("mark").orderBy("mark").limit(SAMPLE_DOCS).agg(F.max("mark")).first()[0]
-    if not low:
-        return Sample([], [], [])
-    wanted = F.lit(False)
-    for lang, mark in low.items():
-        wanted = wanted | ((F.col("lang") == lang) & (F.xxhash64("id") <= mark))
-    rows = told.filter(wanted).select("lang", F.xxhash64("id").alias("mark"), F.substring("text", 1, SAMPLE_CHARS).alias("text")) \
-        .orderBy("mark", "text").limit(2 * SAMPLE_DOCS * len(low)).collect()
-    languages = sorted(low)
-    texts = [" ".join(r.text for r in rows if r.lang == lang) for lang in languages]
-    found = np.concatenate([_letters(t) for t in texts])
-    letters, times = np.unique(found[found != 32], return_counts=True)
-    return Sample(languages, texts, sorted(letters[np.argsort(-times, kind="stable")[:LETTERS]].tolist()))
+    mark = F.xxhash64("id", "text")
+    marked = told.select("lang", mark.alias("mark"))
+    # The SAMPLE_DOCS smallest hashes of a language lie below its (SAMPLE_DOCS / its rows) quantile: a few times as many are ranked, never all.
+    sizes = {r["lang"]: r["n"] for r in marked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} languages")
+    if not sizes:
+        return Sample([], [])
+    near = F.lit(False)
+    for lang, n in sizes.items():
+        share = min(1.0, (SAMPLE_DOCS + 8 * math.sqrt(SAMPLE_DOCS) + 40) / n)
+        near = near | ((F.col("lang") == lang) & (F.col("mark") <= F.lit(int(-2**63 + share * (2**64 - 1)) if share < 1 else 2**63 - 1)))
+    length = F.length("text")
+    start = F.pmod(F.xxhash64("text", F.lit("start")), F.greatest(length - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    piece = F.substring("text", start, F.lit(SAMPLE_CHARS))
+    some = told.withColumn("mark", mark).filter(near).select("lang", "mark", piece.alias("piece")).distinct()
+    order = Window.partitionBy("lang").orderBy("mark", "piece")   # some hundred short rows of each language
+    rows = some.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_DOCS).collect()
+    languages = sorted(sizes)
+    return Sample(languages, [" ".join(r.piece for r in sorted((r for r in rows if r.lang == lang), key=lambda r: r.place)) for lang in languages])
 
 
 _PARSERS: dict[int, Parser] = {}
@@ -193,7 +266,7 @@ def predict(docs: DataFrame, sample: Sample, text_col: str = "text", lang_out: s
             _PARSERS.clear()
             _PARSERS[mark] = Parser(shared.value)
         parser, told = _PARSERS[mark], shared.value.languages
-        for batch in batches:
+        for batch in gathered(batches, 4_000_000):
             texts = [t.as_py() or "" for t in batch.column(batch.schema.names.index(text_col))]
             count, size, letters = parser.phrases(texts)
             cost = count * parser.cost[:, None] / np.maximum(size, 1)

@@ -80,23 +80,20 @@ def test_op9_untrained_and_empty(spark, odd_docs, no_docs):
 
 
 def plain_phrases(parser, text, sample):
-    """Greedy longest phrases by searching the coded sample itself."""
+    """Greedy longest phrases of the whole text by searching the coded sample itself."""
     code = lambda t: "".join(map(chr, parser.coded(t).tolist()))
-    known, parsed, total = code(sample), code(text), 0
-    for b in range(0, len(parsed), language.BLOCK):
-        block, at = parsed[b:b + language.BLOCK], 0
-        while at < len(block):
-            size = 1
-            while at + size < len(block) and block[at:at + size + 1] in known:
-                size += 1
-            total += 1
-            at += size
+    known, parsed, total, at = code(sample), code(text), 0, 0
+    while at < len(parsed):
+        size = 1
+        while at + size < len(parsed) and parsed[at:at + size + 1] in known:
+            size += 1
+        total += 1
+        at += size
     return total
 
 
 def test_op8_phrases_equal_a_plain_search():
-    sample = language.Sample(["aa", "bb"], ["the cat sat on the mat and ate the rat", "der hund und die katze im haus, öde"],
-                             sorted({ord(c) for c in "thecasonmdrundikzuimöp"}))
+    sample = language.Sample(["aa", "bb"], ["the cat sat on the mat and ate the rat", "der hund und die katze im haus, öde"])
     parser = language.Parser(sample)
     texts = [t or "" for _, t in odd_rows()] + ["The hat and the cat; xyz und die Matte", "zzz", "und " * 700, "日本 the"]
     count, size, letters = parser.phrases(texts)
@@ -106,6 +103,33 @@ def test_op8_phrases_equal_a_plain_search():
             assert [int(c) for c in count[:, i]] == [plain_phrases(parser, t, s) for s in sample.texts], t
 
 
+def test_op8_blocks_do_not_show(monkeypatch):
+    """Blocks of a few letters give the phrases of one parse, also where parses meet late: long repeated runs in sample and text."""
+    sample = language.Sample(["a", "b"], ["ab" * 40 + " abc " + "a" * 60, "the cat sat on the mat"])
+    rnd = random.Random(2)
+    texts = ["ab" * 200, "ba" * 100 + "c" + "a" * 90, "a" * 300, "the cat sat on the mat " * 9, "z" * 50] + [
+        "".join(rnd.choice("abc th") for _ in range(rnd.randint(1, 400))) for _ in range(60)]
+    parser = language.Parser(sample)
+    want = [[plain_phrases(parser, t, s) for s in sample.texts] for t in texts]
+    for block in (3, 7, 64):
+        monkeypatch.setattr(language, "BLOCK", block)
+        assert parser.phrases(texts)[0].T.tolist() == want
+
+
+def test_op8_knows_every_letter_of_its_samples():
+    many = "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))
+    parser = language.Parser(language.Sample(["en", "zh"], ["the cat sat on the mat", many]))
+    assert parser.width > 3000 and parser.strange(many) == 0 and parser.strange("Ж" + many[0]) == 0.5
+    count = parser.phrases([many[100:400], many[100:400][::-1]])[0]
+    assert count[1].tolist() == [1, 300] and count[0].tolist() == [300, 300]
+
+
+def test_op8_samples_begin_anywhere(spark):
+    texts = [(i, "x" * 3000 + f" begin{i} " + "y" * 3000, "en") for i in range(60)]
+    sample = language.train(spark.createDataFrame(texts, "doc_id long, text string, lang string"), F.lit(True))
+    assert sample.languages == ["en"] and "x" in sample.texts[0] and "y" in sample.texts[0] and len(sample.texts[0]) == 60 * 401 - 1
+
+
 def test_op8_held_out_accuracy(spark):
     docs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op8_language(spark, SF).collect()

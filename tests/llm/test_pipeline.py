@@ -48,6 +48,16 @@ def test_language_stage_keeps_clean_texts_of_a_word(spark, stages):
     assert {i - 10**6 for i in kept if i >= 10**6} == set(range(len(short)))
 
 
+def test_language_stage_drops_planted_foreign_texts(spark, stages):
+    """Clean texts of the stage's own input, respelled in letters that no language has: all of these go, all clean ones stay."""
+    clean = [r for r in stages[1].collect() if r.text and any(c.isalpha() for c in r.text)]
+    greek = [(10**6 + i, "".join(chr(0x3B1 + ord(c.lower()) % 24) if c.isalpha() else c for c in r.text), r.lang, r.source, r.n_chars)
+             for i, r in enumerate(clean[:120])]
+    kept = ids(corpus_pipeline.keep_known_languages(spark, stages[1].unionByName(spark.createDataFrame(
+        [(i, t, None, s, n) for i, t, _, s, n in greek], stages[1].schema)), SF))
+    assert not {i for i in kept if i >= 10**6} and kept == ids(stages[1])
+
+
 def test_one_document_of_each_group_stays(stages):
     rows = [(r.doc_id, r.text) for r in stages[2].collect()]
     assert ids(stages[3]) == {component for _, _, component in plain(rows)}
