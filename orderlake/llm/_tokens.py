@@ -33,8 +33,8 @@ def _byte_spelling() -> str:
     return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
-def coder(path: str) -> BatchCoder:
-    """Texts -> ids; what is remembered is kept for each Python worker, between its tasks.
+def coder(path: str, limit: int = 900_000) -> BatchCoder:
+    """Texts -> ids; what is remembered (``limit`` pieces) is kept for each Python worker, between its tasks.
 
     The ids are those of ``encode(text, add_special_tokens=False)``. Latin
     pieces are split by the file's own pattern and handed to the library's BPE
@@ -67,7 +67,7 @@ def coder(path: str) -> BatchCoder:
                 return array("I", by_chain(chunk)).tobytes()
         else:
             find = regex.compile(split).findall
-            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 400_000)
+            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 100_000)
 
             def numbers(chunk: str) -> bytes:
                 if not chunk.isascii() and (max(chunk) >= _FAR or lower and not unicodedata.is_normalized("NFC", chunk)):
@@ -94,7 +94,7 @@ def coder(path: str) -> BatchCoder:
                 return by_chain(text)
             return np.frombuffer(b"".join(map(numbers, space_chunks(text))), np.uint32)
 
-        _CODERS[path] = BatchCoder(make, one, ("",) if hidden else tuple(added))
+        _CODERS[path] = BatchCoder(make, one, ("",) if hidden else tuple(added), limit)
     return _CODERS[path]
 
 
@@ -112,9 +112,9 @@ def _short_way(told: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-def ids_of(path: str, texts: pa.Array, end_id: int | None = None) -> list[bytes]:
+def ids_of(path: str, texts: pa.Array, end_id: int | None = None, limit: int = 900_000) -> list[bytes]:
     """Ids of each whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
-    sizes, ids = coder(path).code(texts)
+    sizes, ids = coder(path, limit).code(texts)
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
     raw, at = ids.astype("<u4").tobytes(), np.concatenate([[0], 4 * np.cumsum(sizes)]).tolist()
     return [raw[a:b] + end for a, b in zip(at, at[1:], strict=False)]

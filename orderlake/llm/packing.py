@@ -30,6 +30,8 @@ WINDOW = 2048
 OPEN_WINDOWS = 64
 #: Tokens that each part of a cut has at least.
 LEAST_PIECE = 32
+#: Pieces of text whose ids a worker remembers; only speed and memory depend on it.
+REMEMBERED = 350_000
 #: Partitions whose last open windows are merged in one task: at most this times OPEN_WINDOWS windows.
 MERGED_PARTITIONS = 16
 
@@ -121,8 +123,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             rows.clear()
             return out
 
-        for batch in gathered(batches):
-            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
+        for batch in gathered(batches, 2_000_000):
+            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id, REMEMBERED), strict=True):
                 for w in packer.add(key, ids):
                     take(w, False)
                 if len(rows) >= 1000:

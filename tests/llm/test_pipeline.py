@@ -100,7 +100,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 
 def test_registered_names():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11)) and set(ORACLES) <= set(queries.QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == [*range(1, 14)] and set(ORACLES) <= set(queries.QUERIES)
 
 
 def test_op3_equals_its_sql(spark):
