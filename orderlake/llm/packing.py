@@ -31,7 +31,7 @@ OPEN_WINDOWS = 64
 #: Tokens that each part of a cut has at least.
 LEAST_PIECE = 32
 #: Pieces of text whose ids a worker remembers; only speed and memory depend on it.
-REMEMBERED = 350_000
+REMEMBERED = 800_000
 #: Partitions whose last open windows are merged in one task: at most this times OPEN_WINDOWS windows.
 MERGED_PARTITIONS = 16
 
@@ -93,7 +93,7 @@ class _Packer:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE) -> DataFrame:
+         window: int = WINDOW, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: ``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     A document is its text's ids (null or empty text: none) and ``end_id``, so
@@ -124,7 +124,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             return out
 
         for batch in gathered(batches, 2_000_000):
-            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id, REMEMBERED), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id, remembered), strict=True):
                 for w in packer.add(key, ids):
                     take(w, False)
                 if len(rows) >= 1000:
