@@ -69,8 +69,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences (operator 6)."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1).drop("ids")
+    """The pieces of all documents in their sequences (operator 6).
+
+    Spark's Python workers still hold what the earlier stages left, so this one remembers fewer pieces of text.
+    """
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, remembered=350_000).drop("ids")
 
 
 STAGES = [
