@@ -32,6 +32,8 @@ OPEN_WINDOWS = 64
 LEAST_PIECE = 32
 #: Pieces of text whose ids a worker remembers; only speed and memory depend on it.
 REMEMBERED = 800_000
+#: Bytes of text that are coded at once; the same holds.
+BATCH_BYTES = 7_000_000
 #: Partitions whose last open windows are merged in one task: at most this times OPEN_WINDOWS windows.
 MERGED_PARTITIONS = 16
 
@@ -93,7 +95,8 @@ class _Packer:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE, remembered: int = REMEMBERED) -> DataFrame:
+         window: int = WINDOW, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE, remembered: int = REMEMBERED,
+         batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """One row per piece: ``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     A document is its text's ids (null or empty text: none) and ``end_id``, so
@@ -123,7 +126,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
             rows.clear()
             return out
 
-        for batch in gathered(batches, 2_000_000):
+        for batch in gathered(batches, batch_bytes):
             for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id, remembered), strict=True):
                 for w in packer.add(key, ids):
                     take(w, False)
