@@ -73,7 +73,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Spark's Python workers still hold what the earlier stages left, so this one remembers fewer pieces of text.
     """
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, remembered=350_000).drop("ids")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, remembered=350_000, batch_bytes=2_000_000).drop("ids")
 
 
 STAGES = [
