@@ -33,7 +33,7 @@ def _byte_spelling() -> str:
     return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
-def coder(path: str, limit: int = 900_000) -> BatchCoder:
+def coder(path: str, limit: int = 1_000_000) -> BatchCoder:
     """Texts -> ids; what is remembered (``limit`` pieces) is kept for each Python worker, between its tasks.
 
     The ids are those of ``encode(text, add_special_tokens=False)``. Latin
@@ -67,7 +67,7 @@ def coder(path: str, limit: int = 900_000) -> BatchCoder:
                 return array("I", by_chain(chunk)).tobytes()
         else:
             find = regex.compile(split).findall
-            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], 100_000)
+            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], limit // 2)
 
             def numbers(chunk: str) -> bytes:
                 if not chunk.isascii() and (max(chunk) >= _FAR or lower and not unicodedata.is_normalized("NFC", chunk)):
@@ -112,7 +112,7 @@ def _short_way(told: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-def ids_of(path: str, texts: pa.Array, end_id: int | None = None, limit: int = 900_000) -> list[bytes]:
+def ids_of(path: str, texts: pa.Array, end_id: int | None = None, limit: int = 1_000_000) -> list[bytes]:
     """Ids of each whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
     sizes, ids = coder(path, limit).code(texts)
     end = b"" if end_id is None else end_id.to_bytes(4, "little")

@@ -83,7 +83,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
         from pyspark import TaskContext
 
         part, number, first = TaskContext.get().partitionId(), 0, 0
-        press = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(told) if told else None)
+        press = zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(told) if told else None)
         keys, sizes, frames, offsets = [], [], [], [0]
 
         def block():
