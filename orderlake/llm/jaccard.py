@@ -15,10 +15,14 @@ number, are broadcast). It steers the work and never the result.
 
 Equal sets are one node from the start. Within a list, nodes are first compared
 with a hub of the list only: the node with the fewest infrequent shingles, as
-the original of a group of near copies has. What hubs connect needs no more
-comparing: after the first components, only pairs of a list that lie in
-different components are compared. The lists of frequent shingles are dealt
-out in parts, by salt. Exact filters come first: on sizes and positions in the order, then
+the original of a group of near copies has. A set's three smallest and three
+largest hashes name two more lists, which serve the hubs alone: near copies
+mostly share them, texts that share a passage mostly do not. What hubs connect
+needs no more comparing: after the first components, only pairs of a list that
+lie in different components are compared. The lists of frequent shingles are
+dealt out in parts, by salt; long lists that stay open are cut into bands of
+sizes, and each band into cells of bounded size, whose pairs are filtered before
+any leaves the task. Exact filters come first: on sizes and positions in the order, then
 on parity bitmaps, whose distance never exceeds that of the sets. All that is
 left is compared shingle by shingle. So the components are exact without
 comparing all pairs of any group.
@@ -29,6 +33,7 @@ Shingles and sets are told apart by 64-bit hashes of words and sets.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +52,10 @@ COUNTED = 2_000_000
 FREQUENT = 1_000_000
 #: Nodes of a part of a frequent shingle's list, about.
 PART_NODES = 300
+#: Nodes from which on an open list is compared in cells, and nodes of each side of a cell, about.
+CELL = 2048
+#: Largest size of a band over its smallest.
+BAND = 1.25
 #: Bits of a parity bitmap.
 BITS = 1024
 #: Bits of the bitmap that picks the texts to compare (1 MB).
@@ -175,6 +184,7 @@ def _part(node: int, count: np.ndarray) -> np.ndarray:
 def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent, light: int) -> DataFrame:
     """Rows of the lists: list (a shingle's or a 2-subset's hash), part, node, n, left (shingles from the last listed one on), odd.
 
+    Parts below zero are those of the lists for hubs alone, named by the ends of a set.
     ``odd`` is how many of a thousand of the node's shingles are not frequent:
     the text that near copies were made from has the fewest, so it makes the
     best hub.
@@ -206,10 +216,12 @@ def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent,
                     at = np.minimum(np.searchsorted(tokens, h[maybe]), len(tokens) - 1)
                     count[maybe] = np.where(tokens[at] == h[maybe], times[at], 0)
                 odd = 1000 * int((count == 0).sum()) // n
+                ends, met = np.stack([h[:3], h[-3:]]), np.stack([count[:3], count[-3:]]).min(1)
+                names_of = _mixed((ends[:, 0] * _MULT + ends[:, 1]) * _MULT + ends[:, 2])
                 p = n - _at_least(n, threshold) + 1
                 order = np.argsort(count, kind="stable")[:p + 1]  # shingles of one count stay in the order of their hashes
                 first, count = h[order], count[order]
-                rows = []
+                rows = [(names_of, -1 - _part(node, met), np.full(2, n))]
                 if n > light or 100 * n >= threshold * (light + 1):
                     rows.append((first[:p], _part(node, count[:p]), n - np.arange(p)))
                 if n <= light:
@@ -234,7 +246,53 @@ def _shared(lists: DataFrame) -> DataFrame:
     """The rows of lists that hold more than one node (of a list in parts, all rows)."""
     part = Window.partitionBy("list", "part")
     met = lists.withColumn("low", F.min("node").over(part)).withColumn("high", F.max("node").over(part))
-    return met.filter("low <> high or part > 0").drop("low", "high").dropDuplicates(["list", "part", "node"])
+    return met.filter("low <> high or part not in (-1, 0)").drop("low", "high").dropDuplicates(["list", "part", "node"])
+
+
+def _met_in_cells(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of nodes of one list and two components whose sizes, positions and bitmaps let them link.
+
+    Of a pair, the smaller set stands at home in the band of its size; the
+    larger one visits the bands of all sizes that it can link with from where
+    it stands. A band's homes and visitors are dealt into cells by their hashes.
+    """
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+
+    n, left = F.col("n"), F.col("left")
+    rows = lists.join(sets.select(F.col("key").alias("node"), "bits"), "node").select("list", "node", "n", "left", "component", "bits")
+    rows = stage(rows, "long_lists")
+    homes = rows.filter(left >= _needed(n, n, threshold)).withColumn("band", band(n))
+    least = F.ceil(n * threshold / F.lit(100.0) - 1e-9)
+    most = F.least(n, F.floor(left * (100 + threshold) / F.lit(float(threshold)) + 1e-9) - n)
+    guests = rows.filter(least <= most).withColumn("band", F.explode(F.sequence(band(least), band(most))))
+    sizes = homes.withColumn("home", F.lit(1)).unionByName(guests.withColumn("home", F.lit(0))).groupBy("list", "band").agg(
+        F.ceil(F.sum("home") / CELL).cast("int").alias("across"), F.ceil(F.sum(1 - F.col("home")) / CELL).cast("int").alias("down"))
+    sizes = stage(sizes.filter("across > 0 and down > 0"), "cells")
+
+    def dealt(side: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        placed = side.join(sizes, ["list", "band"]).withColumn(own, F.pmod(F.xxhash64("node"), F.col(own_count)).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))).drop("across", "down")
+
+    cell = ["list", "band", "x", "y"]
+    homes, guests = dealt(homes, "x", "across", "y", "down"), dealt(guests, "y", "down", "x", "across")
+    guests = guests.toDF(*guests.columns)  # columns of its own, apart from those of homes
+
+    def compare(home: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
+        if not len(home) or not len(guest):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        spread = [2 * np.unpackbits(np.frombuffer(b"".join(side["bits"]), np.uint8).reshape(len(side), -1), axis=1).astype(np.float32) - 1 for side in (home, guest)]
+        apart = (BITS - (spread[0] @ spread[1].T).astype(np.int64)) // 2
+        node, n, left, component = ([side[c].to_numpy() for side in (home, guest)] for c in ("node", "n", "left", "component"))
+        both = n[0][:, None] + n[1][None, :]
+        may = (n[0][:, None] < n[1][None, :]) | (n[0][:, None] == n[1][None, :]) & (node[0][:, None] < node[1][None, :])
+        may &= component[0][:, None] != component[1][None, :]
+        may &= np.minimum(left[0][:, None], left[1][None, :]) * (100 + threshold) >= threshold * both
+        may &= (both - apart) // 2 * (100 + threshold) >= threshold * both
+        i, j = np.nonzero(may)
+        return pd.DataFrame({"a": np.minimum(node[0][i], node[1][j]), "b": np.maximum(node[0][i], node[1][j])})
+
+    return homes.groupBy(*cell).cogroup(guests.groupBy(*cell)).applyInPandas(compare, "a bigint, b bigint")
 
 
 def _picked(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -344,15 +402,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = components(links)
 
     labelled = live.join(linked.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select(
-        "list", "node", "n", "left", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("list")
-    open_lists = stage(labelled.join(mixed, "list"), "open_lists")
-    x = open_lists.select("list", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "left", "component")])
-    y = open_lists.select("list", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "left", "component")])
+        "list", "part", "node", "n", "left", F.coalesce("component", "node").alias("component")).filter("part >= 0").drop("part")
+    mixed = labelled.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    open_lists = stage(labelled.join(mixed.filter("low <> high").select("list", "size"), "list"), "open_lists")
+    short, long = open_lists.filter(F.col("size") <= CELL), open_lists.filter(F.col("size") > CELL)
+    x = short.select("list", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "left", "component")])
+    y = short.select("list", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "left", "component")])
     others = x.join(y, "list").filter(
         (F.col("component_a") < F.col("component_b")) & (F.least("left_a", "left_b") >= _needed(F.col("n_a"), F.col("n_b"), threshold))) \
-        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    more = _verified(others.join(first, ["a", "b"], "left_anti"), classes, docs, words, threshold)
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    if not long.isEmpty():
+        others = others.unionByName(_met_in_cells(long, classes, threshold))
+    more = _verified(others.distinct().join(first, ["a", "b"], "left_anti"), classes, docs, words, threshold)
     if not more.isEmpty():
         linked = components(links.unionByName(more))
 

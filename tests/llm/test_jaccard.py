@@ -62,8 +62,9 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("frequent,light", [(1_000_000, 60), (50, 4)])
-def test_op7_equals_all_pairs(spark, frequent, light, monkeypatch):
+@pytest.mark.parametrize("frequent,light,cell", [(1_000_000, 60, 2048), (50, 4, 25)])
+def test_op7_equals_all_pairs(spark, frequent, light, cell, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", cell)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "LIGHT_MOST", light)
     monkeypatch.setattr(jaccard, "PART_NODES", 40)
@@ -72,6 +73,29 @@ def test_op7_equals_all_pairs(spark, frequent, light, monkeypatch):
     assert Counter(tuple(r) for r in jaccard.near_duplicates(df).collect()) == plain(rows)
 
 
+def test_op7_passages_in_many_documents(spark, monkeypatch):
+    """Texts made up of passages that a quarter of all texts share: no pair leaves its cell but those that link."""
+    rnd = random.Random(11)
+    passages = [" ".join(f"p{i}_{rnd.randrange(10**6)}" for _ in range(50)) for i in range(12)]
+    low, rows, want = {}, [], {}
+    for i in range(4000):
+        some = tuple(sorted(rnd.sample(range(12), 3)))
+        rows.append((i, " ".join(passages[j] for j in some) + f" a{i} b{i}"))
+        want[i] = low.setdefault(some, i)
+    monkeypatch.setattr(jaccard, "CELL", 100)
+    found, sent = jaccard._met_in_cells, []
+
+    def counted(*args):
+        pairs = found(*args)
+        sent.append(pairs.distinct().count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_met_in_cells", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(sent) == 1 and sent[0] <= sum(n * (n - 1) // 2 for n in Counter(want.values()).values())  # half of all pairs share a passage
+
+
 @pytest.mark.parametrize("threshold", [70, 75, 101])
 def test_op7_refuses_thresholds_that_its_lists_do_not_serve(no_docs, threshold):
     with pytest.raises(ValueError):
