@@ -213,7 +213,7 @@ def _gradient(n: int, held, scores: np.ndarray) -> np.ndarray:
 
 
 def _varied(zone: str, spans: list[Span]) -> list[tuple[str, list[Span]]]:
-    """Copies of a zone of one entity in spellings that the base patterns miss, with the entity's new place."""
+    """Copies of a zone of one entity in spellings that the base patterns miss, with the entity's new place; of a card also one with a wrong check digit, which is none."""
     if len(spans) != 1:
         return []
     kind, a, b = spans[0]
@@ -221,7 +221,9 @@ def _varied(zone: str, spans: list[Span]) -> list[tuple[str, list[Span]]]:
     if kind == "email":
         out = [s.replace("@", "(at)"), s.replace("@", "[at]")]
     elif kind == "card" and len(d := _digits(s)) == 16:
-        out = [".".join(d[i:i + 4] for i in range(0, 16, 4))]
+        wrong = d[:-1] + str((int(d[-1]) + 1) % 10)
+        dotted, off = (".".join(x[i:i + 4] for i in range(0, 16, 4)) for x in (d, wrong))
+        return [(zone[:a] + dotted + zone[b:], [(kind, a, a + len(dotted))]), (zone[:a] + off + zone[b:], [])]
     elif kind == "phone" and len(d := _digits(s)) >= 10:
         d = d[-10:]
         out = [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"]
