@@ -7,8 +7,12 @@ inequality is a guest there, so links of members are found exactly, however
 large a group of near copies is. Each other vector is described by its nearest
 pivots in order, and stands in the inverted list of each of them; two of these
 are compared if they share enough pivots (one, as the list is compared in any
-case), which finds most of their links, not surely all. There is one list for
-each label and ball or pivot; a pair is compared in its smaller ball or in the
+case), which finds most of their links, not surely all. With ``core=-1`` every
+vector belongs to a ball, so that no link at all is missed, at the cost of more
+guests. A vector is a guest of a ball only if it may link with a member by the
+ball's radius and by the two pivots' distances from it: a member is nearest to
+its own pivot, so the ball's pivot is at most twice the links' angle farther
+than the vector's nearest one. There is one list for each label and ball or pivot; a pair is compared in its smaller ball or in the
 list of the smallest pivot that it shares, so it counts once. Equal vectors are
 one node.
 
@@ -65,7 +69,7 @@ def thinned(units: np.ndarray, core: float) -> np.ndarray:
 
 
 def linked_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                   nearest: int = NEAREST, shared: int = SHARED) -> DataFrame:
+                   nearest: int = NEAREST, shared: int = SHARED, core: float = CORE) -> DataFrame:
     """One row per row of ``df``: ``id_col``, n_links, component_id, kept.
 
     Rows are linked if their labels are equal and not null and their vectors'
@@ -75,8 +79,11 @@ def linked_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id
     null, empty, zero or holds a null or non-finite component link with
     nothing. Rows with a null id take part; their component is the smallest id
     that is not null, or null (not kept). Repeated ids count row by row.
-    Vectors of different lengths are never linked. Links of vectors near a
-    pivot are complete; of a pair that has no pivot near, a link may be missed.
+    Vectors of different lengths are never linked. Links of vectors within
+    ``core`` of a pivot are complete; of a pair that has no pivot as near, a
+    link may be missed. ``core=-1`` gives all links of all vectors: where no
+    pivot is near to most vectors, it compares about all pairs, in cells of
+    bounded size.
     """
     spark = df.sparkSession
     prepare(spark)
@@ -98,7 +105,7 @@ def linked_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id
         for batch in batches:
             near = padded(batch.column(2), wide) @ pivots.T
             far = near.max(1)
-            home = np.where(far >= CORE, near.argmax(1), total).astype(np.int32)
+            home = np.where(far >= (core if core > -1 else -math.inf), near.argmax(1), total).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(2).cast(pa.list_(pa.float64())), batch.column(3), pa.array(home), pa.array(far)],
                                              names=["node", "n", "v", "label", "home", "far"])
 
@@ -113,8 +120,9 @@ def linked_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id
     def describe(batches):
         for batch in batches:
             near, out = padded(batch.column(2), wide) @ pivots.T, []
-            for cos, home in zip(near, batch.column(4).to_numpy(), strict=True):
-                lists = np.flatnonzero(cos >= open_from)
+            lowest = np.cos(np.minimum(np.arccos(np.clip(near.max(1), -1, 1)) + 2 * reach, math.pi)) - 1e-6
+            for cos, home, low in zip(near, batch.column(4).to_numpy(), lowest, strict=True):
+                lists = np.flatnonzero(cos >= np.maximum(open_from, low))
                 own = [home] if home < total else total + np.argsort(-cos, kind="stable")[:nearest]
                 out.append(np.concatenate([own, lists[lists != home]]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "lists"])

@@ -111,6 +111,23 @@ def test_op5_group_of_near_copies_loses_no_link(spark, monkeypatch, count, size)
     assert [got[i] for i in range(size)] == want.tolist()
 
 
+def test_op5_complete_wherever_the_pivots_are(spark, monkeypatch):
+    """Groups that hold no pivot, and vectors between pivots: with core=-1 every link is found."""
+    monkeypatch.setattr(pivots, "MOST_PIVOTS", 16)
+    rnd = np.random.default_rng(11)
+    x = np.concatenate([rnd.normal(size=(300, 8)), np.repeat(rnd.normal(size=(60, 8)), 10, 0) + rnd.normal(scale=0.25, size=(600, 8))])
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    linked = (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r.vec_id: r for r in pivots.linked_vectors(df, core=-1).collect()}
+    assert linked.sum() > 2000
+    assert [got[i].n_links for i in range(len(x))] == linked.sum(1).tolist()
+    low = np.arange(len(x))
+    while (new := np.minimum(low, np.where(linked, low[None, :], len(x)).min(1))).tolist() != low.tolist():
+        low = new
+    assert [got[i].component_id for i in range(len(x))] == low.tolist()
+
+
 def test_op5_short_vectors_among_longer_ones(spark):
     rnd = np.random.default_rng(10)
     short = rnd.normal(size=5) + rnd.normal(scale=0.05, size=(400, 5))
