@@ -56,10 +56,12 @@ def orders_as_documents(raw: dict[str, DataFrame]) -> DataFrame:
 
     One document is one order payload, so its item list is the order's own
     lines (a handful per order); items are sorted by item id, then fields.
+    Lines are spread by order before they are gathered: no map task sorts its
+    whole split for lists that other tasks complete.
     """
     o, c = raw["raw_orders"], raw["raw_customers"]
     p = raw["raw_order_payments"].filter(F.col("payment_sequential") == 1)
-    items = raw["raw_order_items"].groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(
+    items = raw["raw_order_items"].repartition("order_id").groupBy("order_id").agg(F.array_sort(F.collect_list(F.struct(
         "order_item_id", "product_id", "seller_id",
         F.col("price").cast("double").alias("price"),
         F.col("freight_value").cast("double").alias("freight_value")))).alias("_items"))

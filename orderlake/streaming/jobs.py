@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderlake.operators.ingest import fan_out_orders
 from orderlake.operators.quality import validate_orders
 from orderlake.schemas import ORDER_DOCUMENT
+from orderlake.sources.files import _fs
 
 INGEST_TABLES = ("raw_customers", "raw_orders", "raw_order_items", "raw_order_payments")
 
@@ -40,14 +41,17 @@ def ingest_batch(batch: DataFrame, batch_id: int, sink_root: str, run: str) -> N
 
     Of the valid documents of one order in a batch the earliest purchase is
     kept, and of equally early ones the first as JSON text. Every rejected
-    document is kept, with or without an id, however often it came.
+    document is kept, with or without an id, however often it came. Whole
+    documents move between tasks only if an order came twice, and then once.
     """
     at = f"run={run}/batch_id={batch_id}"
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read once, written five times
+    spark, once = batch.sparkSession, f"{sink_root}/deduplicated/{at}"
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once, read for every table
     try:
         valid, rejected = validate_orders(batch)
-        whole = F.struct(*valid.columns)
-        valid = valid.groupBy("order_id").agg(F.min_by(whole, F.struct("purchased_at", F.to_json(whole))).alias("_d")).select("_d.*")
+        if not valid.groupBy("order_id").count().filter("count > 1").isEmpty():
+            one_per_order(valid).write.mode("overwrite").option("compression", "zstd").parquet(once)
+            valid = spark.read.schema(valid.schema).parquet(once)
         for name, df in fan_out_orders(valid).items():
             df.write.mode("overwrite").parquet(f"{sink_root}/{name}/{at}")
         rejected.write.mode("overwrite").parquet(f"{sink_root}/rejects/{at}")
@@ -55,6 +59,18 @@ def ingest_batch(batch: DataFrame, batch_id: int, sink_root: str, run: str) -> N
         orders.write.mode("overwrite").parquet(f"{sink_root}/commits/{at}")
     finally:
         batch.unpersist()
+    fs, path = _fs(spark, once)
+    fs.delete(path, True)
+
+
+def one_per_order(valid: DataFrame) -> DataFrame:
+    """Of each order's documents the one of the earliest purchase, of equally early ones the first as JSON text.
+
+    The documents are spread by order first, so that the shuffle carries them
+    alone and not also their JSON texts, which the aggregate makes as it reads.
+    """
+    whole = F.struct(*valid.columns)
+    return valid.repartition("order_id").groupBy("order_id").agg(F.min_by(whole, F.struct("purchased_at", F.to_json(whole))).alias("_d")).select("_d.*")
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
@@ -96,9 +112,12 @@ def read_ingested(spark: SparkSession, sink_root: str, name: str, batches: list[
     same documents again. ``batches`` (run, batch_id) names the batches to
     read, instead of all: only their folders are opened.
     """
-    commits = read_commits(spark, sink_root).select("run", "batch_id", "committed_at")
+    commits = read_commits(spark, sink_root).select("run", "batch_id", F.unix_micros("committed_at").alias("at"))
     if batches is not None:
         commits = commits.join(spark.createDataFrame(batches, "run string, batch_id int"), ["run", "batch_id"], "left_semi")
+    # One row a batch; ``_turn`` is its place in the order of the commits.
+    in_turn = sorted(commits.collect(), key=lambda c: (c["at"], c["run"], c["batch_id"]))
+    turns = spark.createDataFrame([(c["run"], c["batch_id"], i) for i, c in enumerate(in_turn)], "run string, batch_id int, _turn int")
 
     def committed(table: str) -> DataFrame:
         base = f"{sink_root}/{table}"
@@ -107,18 +126,21 @@ def read_ingested(spark: SparkSession, sink_root: str, name: str, batches: list[
         else:
             rows = spark.read.parquet(base)
             rows = rows if batches is None else rows.limit(0)
-        return rows.withColumn("run", F.col("run").cast("string")).join(commits, ["run", "batch_id"])
+        return rows.withColumn("run", F.col("run").cast("string")).join(F.broadcast(turns), ["run", "batch_id"])
 
     rows = committed(name)
+    if len(in_turn) < 2 or name == "rejects" and len({c["run"] for c in in_turn}) < 2:   # nothing came earlier
+        return rows.drop("_turn")
     if name == "rejects":
-        rows = rows.withColumn("_key", F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c not in ("run", "batch_id", "committed_at")])), 256))
-        first = rows.groupBy(F.col("_key").alias("_of")).agg(F.min(F.struct("committed_at", "run"))["run"].alias("_run"))
-        return rows.join(first, (F.col("_key") == F.col("_of")) & (F.col("run") == F.col("_run"))).drop("_key", "_of", "_run", "committed_at")
+        rows = rows.withColumn("_key", F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c not in ("run", "batch_id", "_turn")])), 256))
+        first = rows.groupBy(F.col("_key").alias("_of")).agg(F.min("_turn").alias("_first"))
+        first = first.join(F.broadcast(turns.select(F.col("_turn").alias("_first"), F.col("run").alias("_run"))), "_first")
+        return rows.join(first, (F.col("_key") == F.col("_of")) & (F.col("run") == F.col("_run"))).drop("_key", "_of", "_run", "_first", "_turn")
+    # Validation leaves no null key. Joined by the key alone, the grouped side stays where it was grouped.
     key = "customer_id" if name == "raw_customers" else "order_id"
-    source = committed("raw_orders")
-    first = source.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct("committed_at", "run", "batch_id")).alias("_first"))
-    return rows.join(first, F.col(key).eqNullSafe(F.col("_key")) & (F.col("run") == F.col("_first.run"))
-                     & (F.col("batch_id") == F.col("_first.batch_id"))).drop("_key", "_first", "committed_at")
+    first = committed("raw_orders").groupBy(F.col(key).alias("_key")).agg(F.min("_turn").alias("_first"))
+    # A hashed partition of short keys, so that no row of the table is sorted.
+    return rows.join(first.hint("shuffle_hash"), F.col(key) == F.col("_key")).filter(F.col("_turn") == F.col("_first")).drop("_key", "_first", "_turn")
 
 
 # ---------------------------------------------------------------- ST2 / ST3
