@@ -27,7 +27,7 @@ from orderlake.functions.dates import month_start
 from orderlake.functions.numeric import ratio_round
 from orderlake.operators import metrics as A
 from orderlake.operators.ranking import rank_over
-from orderlake.sources.files import path_exists
+from orderlake.sources.files import _fs, path_exists
 from orderlake.sources.months import Month, months_of, of_months, read_months, replace_months
 
 # ---------------------------------------------------------------- by month
@@ -120,10 +120,14 @@ def add_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -
 
     Of an order that comes several times, the first batch's row counts, and in
     a batch one of them. Reads the touched months' order numbers, and of the
-    states nothing. A batch that is repeated under its id replaces what it
-    wrote; it counts once its commit marker is there.
+    states nothing. The batch is computed once, to a folder that goes at the
+    end. A batch that is repeated under its id replaces what it wrote; it
+    counts once its commit marker is there.
     """
     batch = batch.filter(F.col("total_payment").isNotNull()).dropDuplicates(["order_id"]).withColumn("order_date", F.to_date("purchased_at"))
+    arrived = _partitions(root, "arrived", batch_id)
+    batch.write.mode("overwrite").parquet(arrived)
+    batch = spark.read.schema(batch.schema).parquet(arrived)
     known = _committed(spark, root, "numbers", batch_id)
     taken = None
     if known is not None:
@@ -131,12 +135,14 @@ def add_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -
         batch = batch.join(near.select("order_id"), "order_id", "left_anti")
         taken = near.groupBy(F.col("order_date").alias("day")).agg((F.max("number") + 1).alias("taken"))
     fresh = rank_over(batch, "order_id", partition_by=["order_date"], descending=False, method="row_number", out="number")
-    if taken is not None:
-        fresh = fresh.join(taken, F.col("order_date").eqNullSafe(F.col("day")), "left").drop("day") \
+    if taken is not None:   # a row a day
+        fresh = fresh.join(F.broadcast(taken), F.col("order_date").eqNullSafe(F.col("day")), "left").drop("day") \
             .withColumn("number", F.col("number") + F.coalesce("taken", F.lit(0))).drop("taken")
     fresh = fresh.withColumn("number", F.col("number") - 1).withColumn("delivered", F.coalesce(F.col("order_status") == A.DELIVERED, F.lit(False)))
     at = _partitions(root, "numbers", batch_id)
+    fs, staged = _fs(spark, arrived)
     fresh.repartition("month").write.mode("overwrite").partitionBy("month").parquet(at)
+    fs.delete(staged, True)
     fresh = spark.read.schema(fresh.schema).parquet(at)   # numbers are fixed from here on
     if fresh.isEmpty():
         return
