@@ -14,7 +14,6 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -92,27 +91,25 @@ def fit_kmeans(rfm: DataFrame, k: int = 4, n_init: int = 10, seed: int = 42,
 
     The standardised features are checkpointed (a reliable copy: the fits and
     every report read it instead of recomputing the RFM lineage). The fit input
-    keeps the partitions of that copy and is persisted once for all fits
-    (recomputable from the checkpoint if an executor is lost).
+    keeps the partitions of that copy. It is not persisted here: K-Means then
+    persists its own points while it iterates, instead of decoding table rows
+    in every iteration (recomputable from the checkpoint if an executor is lost).
     """
     checkpoint_dir(rfm.sparkSession)
     z = standardize(rfm).checkpoint(eager=True)
     assembler = VectorAssembler(inputCols=[c + "_z" for c in FEATURES], outputCol="features")
-    vec = assembler.transform(z).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = assembler.transform(z).select("features")
 
     def fit_one(s: int) -> tuple[float, int, KMeansModel]:
         m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
                    predictionCol="cluster").fit(vec)
         return m.summary.trainingCost, s, m
 
-    try:
-        # The seeded restarts are independent jobs over the same persisted
-        # input; submitting a few at once lets the scheduler overlap them.
-        # Each fit depends only on its seed, so the choice below is unchanged.
-        with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
-            fits = list(pool.map(fit_one, range(seed, seed + n_init)))
-    finally:
-        vec.unpersist()
+    # The seeded restarts are independent jobs over the same input; submitting
+    # a few at once lets the scheduler overlap them. Each fit depends only on
+    # its seed, so the choice below is unchanged.
+    with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
+        fits = list(pool.map(fit_one, range(seed, seed + n_init)))
     best = min(fits, key=lambda t: (t[0], t[1]))
     cost, s, model = best
     return SegmentationFit(model=model, cost=float(cost), seed=s, assigned=model.transform(assembler.transform(z)))
