@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,18 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+#: What operators keep in a worker between its tasks and can make again.
+KEPT: list[dict] = []
+
+
+def let_go() -> None:
+    """Called in a worker: what earlier operators keep there goes, and the memory that Arrow holds for later use returns to the system."""
+    for kept in KEPT:
+        kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"

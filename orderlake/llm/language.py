@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._batch import gathered
-from orderlake.llm._io import free_name, prepare
+from orderlake.llm._io import KEPT, free_name, prepare
 
 #: Labelled text of a language: a stretch of so many characters, beginning anywhere, of at most so many documents (those with the smallest hashes).
 SAMPLE_DOCS, SAMPLE_CHARS = 80, 400
@@ -243,6 +243,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
 
 _PARSERS: dict[int, Parser] = {}
+KEPT.append(_PARSERS)
 
 
 def predict(docs: DataFrame, sample: Sample, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._io import bounded_sample, free_name, prepare
+from orderlake.llm._io import bounded_sample, free_name, let_go, prepare
 
 # The kinds in order and the base patterns. Look-behinds and
 # possessive repeats keep the matches of the plain patterns but no re-tries.
@@ -265,6 +265,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     prepare(docs.sparkSession)
 
     def cut(batches):
+        let_go()
         for batch in batches:
             rows = []
             for mark, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -302,6 +303,7 @@ def find(docs: DataFrame, model: Model, text_col: str = "text", base_out: str =
     names = [free_name(docs, n) for n in (base_out, spans_out, *([redacted_out] if redacted_out else []))]
 
     def run(batches):
+        let_go()
         for batch in batches:
             base, spans, clean = [], [], []
             for t in batch.column(batch.schema.names.index(text_col)):

@@ -112,3 +112,11 @@ def test_op3_equals_its_sql(spark):
     names = [d[0] for d in cur.description]
     got = queries.op3_shard_documents(spark, SF)
     assert sorted(map(tuple, got.select(names).collect())) == sorted(cur.fetchall())
+
+
+def test_a_worker_lets_earlier_operators_go(spark):
+    """What the language stage keeps in a worker is gone once the personal-data stage runs there."""
+    from orderlake.llm import _io, language
+    language._PARSERS[1] = "parser"
+    _io.let_go()
+    assert not language._PARSERS
