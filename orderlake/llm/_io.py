@@ -45,11 +45,16 @@ def prepare(spark: SparkSession) -> None:
 KEPT: list[dict] = []
 
 
-def let_go() -> None:
-    """Called in a worker: what earlier operators keep there goes, and the memory that Arrow holds for later use returns to the system."""
-    for kept in KEPT:
+def let_go(own: dict | None = None) -> None:
+    """Called in a worker as a task begins: what operators keep there goes, all but the caller's ``own``.
+
+    The memory that Arrow holds for later use returns to the system.
+    """
+    others = [kept for kept in KEPT if kept and kept is not own]
+    for kept in others:
         kept.clear()
-    gc.collect()
+    if others:
+        gc.collect()
     pa.default_memory_pool().release_unused()
 
 

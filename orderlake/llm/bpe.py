@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._io import free_name, prepare
+from orderlake.llm._io import KEPT, free_name, let_go, prepare
 from orderlake.llm._batch import BatchCoder, gathered, regroup, spread
 from orderlake.llm._text import PieceCache, is_word, space_chunks
 from orderlake.llm._tokens import BYTE_LEVEL_SPLIT
@@ -234,6 +234,7 @@ def fold_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 _CODERS: dict[tuple[str, str], BatchCoder] = {}
+KEPT.append(_CODERS)
 
 
 def _word_coder(rank_path: str, pattern: str) -> BatchCoder:
@@ -261,6 +262,7 @@ def _task_encoder(rank_path: str, pattern: str, key_name: str, key_type: pa.Data
     schema = pa.schema([(key_name, key_type), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
+        let_go(_CODERS)
         coder = _word_coder(rank_path, pattern)
         for batch in gathered(batches):
             sizes, ids = coder.code(batch.column(1))

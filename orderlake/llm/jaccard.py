@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._components import components
-from orderlake.llm._io import prepare, stage
+from orderlake.llm._io import let_go, prepare, stage
 from orderlake.llm._text import PieceCache
 
 #: Words of a shingle.
@@ -119,6 +119,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                         ("often", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def run(batches):
+        let_go()
         shingler, held, count, seen = Shingler(words), [], 0, set()
 
         def report():
@@ -196,6 +197,7 @@ def _lists(docs: DataFrame, text_col: str, words: int, threshold: int, frequent,
         tokens, times = frequent.value
         near = np.zeros(1 << 22, bool)
         near[(tokens & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        let_go()
         shingler, seen = Shingler(words), set()
         for batch in batches:
             made = [[] for _ in names]
@@ -332,6 +334,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, th
     left = stage(pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(near, "a bigint, b bigint"), "pairs")
 
     def compare(batches):
+        let_go()
         shingler, held, held_set = Shingler(words), None, None
         for batch in batches:
             keep = []

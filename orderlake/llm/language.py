@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._batch import gathered
-from orderlake.llm._io import KEPT, free_name, prepare
+from orderlake.llm._io import KEPT, free_name, let_go, prepare
 
 #: Labelled text of a language: a stretch of so many characters, beginning anywhere, of at most so many documents (those with the smallest hashes).
 SAMPLE_DOCS, SAMPLE_CHARS = 80, 400
@@ -263,6 +263,7 @@ def predict(docs: DataFrame, sample: Sample, text_col: str = "text", lang_out: s
     mark = hash((tuple(sample.languages), tuple(sample.texts)))
 
     def run(batches):
+        let_go(_PARSERS)
         if mark not in _PARSERS:  # kept between a worker's tasks
             _PARSERS.clear()
             _PARSERS[mark] = Parser(shared.value)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._io import bounded_sample, free_name, prepare, stage
+from orderlake.llm._io import bounded_sample, free_name, let_go, prepare, stage
 from orderlake.llm._text import PieceCache
 
 #: Feature hashes are taken modulo this.
@@ -88,9 +88,8 @@ def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - rate * w
             n[at] += g * g
-    every = weights(np.arange(SIZE + 1))
-    at = np.flatnonzero(every[:SIZE])
-    return Model(at, every[at], float(every[SIZE]))
+    at = np.flatnonzero(np.abs(z[:SIZE]) > L1)   # all others weigh nothing
+    return Model(at, weights(at), float(weights(np.array([SIZE]))[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -111,6 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "id")
 
     def features(batches):
+        let_go()
         maker = Features()
         for batch in batches:
             out = [maker.of(t.as_py()).astype(np.int32) for t in batch.column(2)]
@@ -119,7 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     made = stage(picked.select(F.xxhash64("id").alias("mark"), "y", "text").mapInArrow(features, "mark bigint, y int, at array<int>"), "features")
 
     def learn_all(batches):
-        rows = sorted(((m.as_py(), y.as_py(), np.asarray(a.values, np.int64)) for b in batches
+        let_go()
+        rows = sorted(((m.as_py(), y.as_py(), np.array(a.values, np.int32)) for b in batches
                        for m, y, a in zip(b.column(0), b.column(1), b.column(2), strict=True)), key=lambda r: (r[0], r[1], len(r[2])))
         model = fit([(y, at) for _, y, at in rows])
         yield pa.RecordBatch.from_arrays([pa.array([model.at], pa.list_(pa.int64())), pa.array([model.weight], pa.list_(pa.float64())),
@@ -142,6 +143,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        let_go()
         maker, held = Features(), shared.value
         for batch in batches:
             texts = batch.column(batch.schema.names.index(text_col))

@@ -2,6 +2,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -262,6 +263,18 @@ def test_op10_training_reads_the_corpus_in_many_tasks(spark):
     assert seen == [("features", 6)]
 
 
+def test_op10_fit_takes_little_beside_its_two_sums():
+    """The two sums take 67 MB; the weights of all coordinates at once took twice as much again."""
+    rows = [(i % 2, np.array([i, 40 + i % 2])) for i in range(40)]
+    tracemalloc.start()
+    try:
+        toxicity.fit(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 120_000_000
+
+
 def test_op10_held_out_accuracy(spark):
     rnd = random.Random(4)
     words, bad = [f"w{i}" for i in range(300)], ["vile", "scum", "rotten"]
