@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,28 +19,46 @@ class Pool:
     def __init__(self, limit: int):
         self._limit, self._at, self._used, self._n = limit, {}, 0, 0
         self._flat = np.zeros(1 << 16, np.uint32)
-        self._start, self._size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._start, self._size, self._again = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, bool)
+
+    def find(self, keys: list) -> np.ndarray:
+        """The place of each key, -1 where it is not held."""
+        return np.fromiter(map(self._at.get, keys, repeat(-1)), np.int64, len(keys))
 
     def places(self, keys: list, make: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The place of each key; those that are not held are made by ``make`` (keys -> sizes, numbers).
 
-        Where too many are held, all are forgotten first, so places hold until
-        the next call.
+        Where too many are held, those that no later call asked for again are
+        forgotten first, so places hold until the next call.
         """
         if len(self._at) > self._limit:
-            self._at, self._used, self._n = {}, 0, 0
-        get = self._at.get
-        found = [get(k, -1) for k in keys]
-        if -1 in found:
-            new = [k for k, p in zip(keys, found, strict=True) if p < 0]
-            sizes, numbers = make(new)
-            self._add(new, sizes, numbers)
-            found = [get(k) for k in keys]
-        return np.array(found, np.int64)
+            self._forget()
+        found = self.find(keys)
+        self._again[found[found >= 0]] = True
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [keys[i] for i in missing.tolist()]
+            self._add(new, *make(new))
+            found[missing] = np.arange(self._n - len(new), self._n)
+        return found
+
+    def _forget(self) -> None:
+        """Keep at most half of the limit, the later ones of those that were met again."""
+        kept = np.flatnonzero(self._again[:self._n])
+        kept = kept[max(0, len(kept) - self._limit // 2):]
+        stays = np.zeros(self._n, bool)
+        stays[kept] = True
+        keys = list(compress(self._at, stays.tolist()))   # in the order of their places
+        sizes, numbers = self.rows(kept)
+        self._at, self._used, self._n = {}, 0, 0
+        self._again[:] = False
+        self._add(keys, sizes, numbers)
 
     def _add(self, keys: list, sizes: np.ndarray, numbers: np.ndarray) -> None:
         self._flat = _room(self._flat, self._used + len(numbers))
         self._start, self._size = _room(self._start, self._n + len(keys)), _room(self._size, self._n + len(keys))
+        self._again = _room(self._again, self._n + len(keys))
+        self._again[self._n:self._n + len(keys)] = False
         self._flat[self._used:self._used + len(numbers)] = numbers
         self._size[self._n:self._n + len(keys)] = sizes
         self._start[self._n:self._n + len(keys)] = self._used + np.cumsum(sizes) - sizes
@@ -48,18 +67,24 @@ class Pool:
 
     def rows(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(size of each row, all their numbers one after another)."""
-        sizes = self._size[places]
+        sizes = self._size[places].astype(np.int64)
         return sizes, self._flat[spread(self._start[places], sizes)]
 
 
 def _room(a: np.ndarray, need: int) -> np.ndarray:
-    return a if need <= len(a) else np.concatenate([a, np.zeros(max(need - len(a), len(a)), a.dtype)])
+    if need <= len(a):
+        return a
+    more = np.empty(max(need, 2 * len(a)), a.dtype)   # what is not written yet takes no memory
+    more[:len(a)] = a
+    return more
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... (sizes[0] of them), starts[1], ..."""
     until = np.cumsum(sizes)
-    return np.repeat(starts - until + sizes, sizes) + np.arange(until[-1] if len(until) else 0)
+    out = np.repeat(starts - until + sizes, sizes)
+    out += np.arange(len(out))
+    return out
 
 
 def regroup(outer: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -93,8 +118,8 @@ class BatchCoder:
     """
 
     def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]],
-                 whole_if: tuple[str, ...] = (), limit: int = 900_000):
-        self._make, self._whole, self._whole_if, self._pool = make, whole, whole_if, Pool(limit)
+                 whole_if: tuple[str, ...] = (), pool: Pool | None = None, limit: int = 900_000):
+        self._make, self._whole, self._whole_if, self._pool = make, whole, whole_if, pool or Pool(limit)
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -108,16 +133,21 @@ class BatchCoder:
         pieces = pc.split_pattern(texts, " ")
         per_text = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = pc.list_flatten(pieces).dictionary_encode()
-        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        spelled = coded.dictionary.to_pylist()
+        numbers = np.array(coded.indices.to_numpy(zero_copy_only=False))
+        spelled = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del pieces, coded, texts
+        pa.default_memory_pool().release_unused()   # Arrow's part is over; it would hold as much again as what follows takes
         first = np.zeros(len(numbers), bool)   # a text's first piece has no space before it
         first[np.cumsum(per_text) - per_text] = True
-        spaced, bare = (np.flatnonzero(np.bincount(numbers[at], minlength=len(spelled))) for at in (~first, first))
+        as_first = np.bincount(numbers[first], minlength=len(spelled))
+        spaced, bare = np.flatnonzero(np.bincount(numbers, minlength=len(spelled)) > as_first), np.flatnonzero(as_first)
         keys = [" " + spelled[i] for i in spaced.tolist()] + [spelled[i] for i in bare.tolist()]
         places = self._pool.places(keys, self._encoded)
         of_spaced, of_bare = np.zeros(len(spelled), np.int64), np.zeros(len(spelled), np.int64)
         of_spaced[spaced], of_bare[bare] = places[:len(spaced)], places[len(spaced):]
-        sizes, ids = self._pool.rows(np.where(first, of_bare[numbers], of_spaced[numbers]))
+        at = of_spaced[numbers]
+        at[first] = of_bare[numbers[first]]
+        sizes, ids = self._pool.rows(at)
         per_text = regroup(per_text, sizes)
         if odd:
             return self._with_whole(per_text, ids, odd, listed)

@@ -10,8 +10,10 @@ from codecs import charmap_decode
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from orderlake.llm._batch import BatchCoder
+from orderlake.llm._batch import BatchCoder, Pool, regroup, spread
+from orderlake.llm._io import KEPT, let_go
 from orderlake.llm._text import PieceCache, is_word, space_chunks
 
 #: Fixed value: the split that a byte-level pre-tokenizer applies when its file names no other.
@@ -23,7 +25,14 @@ WORD_END_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+""
 #: Pieces with characters from here on (beyond Latin letters) go through the library's whole chain.
 _FAR = "ɐ"
 
+#: Pieces of text whose ids a worker remembers; only speed and memory depend on it.
+REMEMBERED = 500_000
+
+#: Words that are handed to the library's model in one call: what it tells of each token takes far more memory than the ids.
+_CALL = 20_000
+
 _CODERS: dict[str, BatchCoder] = {}
+KEPT.append(_CODERS)
 
 
 def _byte_spelling() -> str:
@@ -33,7 +42,7 @@ def _byte_spelling() -> str:
     return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
-def coder(path: str, limit: int = 1_000_000) -> BatchCoder:
+def coder(path: str, limit: int = REMEMBERED) -> BatchCoder:
     """Texts -> ids; what is remembered (``limit`` pieces) is kept for each Python worker, between its tasks.
 
     The ids are those of ``encode(text, add_special_tokens=False)``. Latin
@@ -43,6 +52,7 @@ def coder(path: str, limit: int = 1_000_000) -> BatchCoder:
     says) is given to the library as it is.
     """
     if path not in _CODERS:
+        _CODERS.clear()   # a worker keeps one vocabulary
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -62,39 +72,73 @@ def coder(path: str, limit: int = 1_000_000) -> BatchCoder:
         def has_added(text: str) -> bool:
             return hidden or any(a in text for a in added)
 
-        if split is None:
-            def numbers(chunk: str) -> bytes:
-                return array("I", by_chain(chunk)).tobytes()
-        else:
-            find = regex.compile(split).findall
-            words = PieceCache(lambda p: [t.id for t in model.tokenize(charmap_decode(p.encode(), "strict", spelling)[0])], limit // 2)
+        find = regex.compile(split).findall if split else None
+        simple = split in (BYTE_LEVEL_SPLIT, WORD_END_SPLIT)   # a chunk of ASCII letters is one word there
+        words_alone, space, pool = Tokenizer(model), spelling[32], Pool(limit)
 
-            def numbers(chunk: str) -> bytes:
-                if not chunk.isascii() and (max(chunk) >= _FAR or lower and not unicodedata.is_normalized("NFC", chunk)):
-                    return array("I", by_chain(chunk)).tobytes()
-                return words.of(find(chunk.lower() if lower else chunk))
+        def by_parts(chunk: str) -> bool:
+            """Whether the pattern and the model give what the whole chain gives."""
+            return split is not None and (chunk.isascii() or max(chunk) < _FAR and not (lower and not unicodedata.is_normalized("NFC", chunk)))
 
-        simple = split in (BYTE_LEVEL_SPLIT, WORD_END_SPLIT)   # a chunk of ASCII letters is one word there
-        words_alone, space = Tokenizer(model), spelling[32]
+        def spelled(word: str) -> str:
+            return charmap_decode(word.encode(), "strict", spelling)[0]
+
+        def by_model(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+            for at in range(0, len(words), _CALL):
+                part = words[at:at + _CALL]
+                told = words_alone.encode(part, is_pretokenized=True, add_special_tokens=False)   # the model alone
+                sizes.append(np.bincount(np.array(told.word_ids, np.int64), minlength=len(part)))
+                ids.append(np.array(told.ids, np.uint32))
+            return np.concatenate(sizes), np.concatenate(ids)
 
         def make(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            easy = [simple and is_word(c) for c in chunks]
-            known = [c.strip(" ").lower() if lower else c.replace(" ", space) for c, e in zip(chunks, easy, strict=True) if e]
-            told = words_alone.encode(known, is_pretokenized=True, add_special_tokens=False)   # one call, the model alone
-            coded = [numbers(c) for c, e in zip(chunks, easy, strict=True) if not e]
-            sizes, is_easy = np.zeros(len(chunks), np.int64), np.array(easy, bool)
-            sizes[is_easy] = np.bincount(np.array(told.word_ids, np.int64), minlength=len(known))
-            sizes[~is_easy] = [len(c) // 4 for c in coded]
-            ids, easy_ids = np.zeros(int(sizes.sum()), np.uint32), np.repeat(is_easy, sizes)
-            ids[easy_ids], ids[~easy_ids] = told.ids, np.frombuffer(b"".join(coded), np.uint32)
-            return sizes, ids
+            ways = np.zeros(len(chunks), np.int8)   # 0: a single word, 1: cut by the pattern, 2: the whole chain
+            if simple:
+                others = np.flatnonzero(~pc.match_substring_regex(pa.array(chunks, pa.string()), r"\A ?[A-Za-z]+\z").to_numpy(zero_copy_only=False))
+            else:
+                others = np.arange(len(chunks))
+            ways[others] = [1 if by_parts(chunks[i]) else 2 for i in others.tolist()]
+            single, cut, far = ([chunks[i] for i in np.flatnonzero(ways == k).tolist()] for k in range(3))
+            single = [c.strip(" ").lower() if lower else c.replace(" ", space) for c in single]
+            number: dict[str, int] = {}   # each distinct word is coded once
+            at_words, n_words = array("q"), array("q")
+            for c in cut:
+                found = find(c.lower() if lower else c)
+                n_words.append(len(found))
+                at_words.extend([number.setdefault(w, len(number)) for w in found])
+            distinct = list(number)
+            held = pool.find([" " + w for w in distinct] if lower else distinct)   # letters alone are a chunk there
+            held[[i for i in np.flatnonzero(held >= 0).tolist() if not (simple and is_word(distinct[i]))]] = -1
+            fresh = np.flatnonzero(held < 0)
+            sizes, ids = by_model(single + [spelled(distinct[i]) for i in fresh.tolist()])
+            old_sizes, old_ids = pool.rows(held[held >= 0])
+            chained = [by_chain(c) for c in far]
+            sizes = np.concatenate([sizes, old_sizes, np.array([len(c) for c in chained], np.int64)])
+            ids = np.concatenate([ids, old_ids, np.array([i for c in chained for i in c], np.uint32)])
+            # A chunk's ids are those of its words in turn. The words stand as: single ones, words of cut chunks (fresh, then held ones), chained chunks.
+            of_word = np.zeros(len(distinct), np.int64)
+            of_word[fresh], of_word[held >= 0] = np.arange(len(fresh)), np.arange(len(fresh), len(distinct))
+            counts = np.ones(len(chunks), np.int64)
+            counts[ways == 1] = n_words
+            ways, places = np.repeat(ways, counts), np.zeros(int(counts.sum()), np.int64)
+            places[ways == 0] = np.arange(len(single))
+            places[ways == 1] = of_word[np.frombuffer(at_words, np.int64)] + len(single)
+            places[ways == 2] = np.arange(len(far)) + len(single) + len(distinct)
+            each = sizes[places]
+            return regroup(counts, each), ids[spread((np.cumsum(sizes) - sizes)[places], each)]
+
+        words = PieceCache(lambda p: [t.id for t in model.tokenize(spelled(p))], limit // 8)
+
+        def numbers(chunk: str) -> bytes:
+            return words.of(find(chunk.lower() if lower else chunk)) if by_parts(chunk) else array("I", by_chain(chunk)).tobytes()
 
         def one(text: str):
             if has_added(text):
                 return by_chain(text)
             return np.frombuffer(b"".join(map(numbers, space_chunks(text))), np.uint32)
 
-        _CODERS[path] = BatchCoder(make, one, ("",) if hidden else tuple(added), limit)
+        _CODERS[path] = BatchCoder(make, one, ("",) if hidden else tuple(added), pool)
     return _CODERS[path]
 
 
@@ -112,7 +156,12 @@ def _short_way(told: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-def ids_of(path: str, texts: pa.Array, end_id: int | None = None, limit: int = 1_000_000) -> list[bytes]:
+def start_task() -> None:
+    """Called in a worker: what operators keep there goes, all but the vocabulary and what is remembered with it."""
+    let_go(_CODERS)
+
+
+def ids_of(path: str, texts: pa.Array, end_id: int | None = None, limit: int = REMEMBERED) -> list[bytes]:
     """Ids of each whole text (null: empty) and ``end_id`` if given, as little-endian 32-bit bytes."""
     sizes, ids = coder(path, limit).code(texts)
     end = b"" if end_id is None else end_id.to_bytes(4, "little")

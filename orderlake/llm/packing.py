@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm._io import prepare, stage
 from orderlake.llm._batch import gathered
-from orderlake.llm._tokens import ids_of
+from orderlake.llm._tokens import REMEMBERED, ids_of, start_task
 
 #: Tokens of a full sequence.
 WINDOW = 2048
@@ -30,10 +30,8 @@ WINDOW = 2048
 OPEN_WINDOWS = 64
 #: Tokens that each part of a cut has at least.
 LEAST_PIECE = 32
-#: Pieces of text whose ids a worker remembers; only speed and memory depend on it.
-REMEMBERED = 800_000
-#: Bytes of text that are coded at once; the same holds.
-BATCH_BYTES = 7_000_000
+#: Bytes of text that are coded at once; only speed and memory depend on it.
+BATCH_BYTES = 5_000_000
 #: Partitions whose last open windows are merged in one task: at most this times OPEN_WINDOWS windows.
 MERGED_PARTITIONS = 16
 
@@ -115,6 +113,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_i
     def first(batches):
         from pyspark import TaskContext
 
+        start_task()
         part, packer, rows = TaskContext.get().partitionId(), _Packer(window, open_windows, least_piece), []
 
         def take(w: _Window, still_open: bool):

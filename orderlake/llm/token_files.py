@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm._io import bounded_sample, prepare
 from orderlake.llm._batch import gathered
-from orderlake.llm._tokens import ids_of
+from orderlake.llm._tokens import ids_of, start_task
 
 #: Documents that the dictionary is trained on, and ids taken of each: a bounded sample, for the dictionary alone.
 SAMPLE_DOCS, SAMPLE_IDS = 1000, 2048
@@ -37,6 +37,8 @@ SAMPLE_DOCS, SAMPLE_IDS = 1000, 2048
 DICT_BYTES = 64 * 1024
 #: Bytes of compressed frames after which a block ends, and documents in a block at most.
 BLOCK_BYTES, BLOCK_DOCS = 2_000_000, 2000
+#: Bytes of text that are coded at once; only speed and memory depend on it.
+BATCH_BYTES = 5_000_000
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> bytes:
@@ -46,6 +48,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, id_col:
     prepare(docs.sparkSession)
 
     def serialized(batches):
+        start_task()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([i[:4 * SAMPLE_IDS] for i in ids_of(tokenizer_path, batch.column(0), end_id)], pa.binary())], names=["ids"])
 
@@ -82,6 +85,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
     def blocks(batches):
         from pyspark import TaskContext
 
+        start_task()
         part, number, first = TaskContext.get().partitionId(), 0, 0
         press = zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(told) if told else None)
         keys, sizes, frames, offsets = [], [], [], [0]
@@ -90,7 +94,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(
                 (part, number, dict_hash, first, keys, sizes, offsets, b"".join(frames)), schema, strict=True)], schema=schema)
 
-        for batch in gathered(batches):
+        for batch in gathered(batches, BATCH_BYTES):
             for key, ids in zip(batch.column(0).to_pylist(), ids_of(tokenizer_path, batch.column(1), end_id), strict=True):
                 frame = press.compress(ids)
                 keys.append(key), sizes.append(len(ids) // 4), frames.append(frame), offsets.append(offsets[-1] + len(frame))

@@ -1,4 +1,5 @@
 """Operators 1, 4 and 6 against the libraries themselves, text by text."""
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from orderlake.llm import bpe, packing, token_files
+from orderlake.llm import _io, _tokens, bpe, packing, token_files
 from orderlake.llm._io import new_folder
 from orderlake.llm._text import space_chunks
 from orderlake.llm._tokens import ids_of
@@ -73,6 +74,42 @@ def test_batches_equal_the_library_whatever_is_remembered():
         assert [ids[b - n:b].tolist() for n, b in zip(sizes, ends, strict=True)] == [enc.encode_ordinary(t or "") for t in part]
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("limit", [1, 50, 10**6])
+def test_tokenizer_batches_equal_the_library_whatever_is_remembered(file, limit):
+    """Words of cut pieces are taken from what earlier batches left, in every case and beside marks, digits and far letters."""
+    want = library_ids(file, 1)
+    _tokens._CODERS.clear()
+    texts = [t for _, t in odd_rows(seed=5, more=200)]
+    texts += ["The cat's hat, the CAT. (cat) cat7 café, \u0130stanbul's e\u0301t\u00e9 ɐb", "cat hat the istanbul", "cat, hat; the-istanbul i\u0307", "", None]
+    for part in [texts[at:at + 9] for at in range(0, len(texts), 9)] + [texts[-5:], texts]:
+        assert ids_of(P.path(file), pa.array(part, pa.string()), 1, limit) == [want(t).tobytes() for t in part]
+
+
+def test_a_worker_remembers_each_piece_once():
+    """Pieces with marks or digits took twice the memory: they and their words were both held."""
+    path = P.path("byte_bpe_50k.json")
+    ids_of(path, pa.array(["warm"]), 1)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = pa.array([" ".join(f"{i * 100 + j:06}".translate(letters) + "," for j in range(100)) for i in range(500)])
+    tracemalloc.start()
+    try:
+        ids_of(path, texts, 1)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 220 * 50_000
+
+
+def test_other_operators_let_the_vocabulary_go():
+    path = P.path("byte_bpe_50k.json")
+    ids_of(path, pa.array(["a text"]), 1)
+    _tokens.start_task()
+    assert path in _tokens._CODERS   # kept between the tasks of its own operators
+    _io.let_go()
+    assert not _tokens._CODERS
+
+
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_added_tokens_are_matched_as_the_library_does(file):
     texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>", "<|EndOfText|> x", None, "plain  text"]
