@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from orderlake.llm import _io, _tokens, bpe, packing, token_files
+from orderlake.llm import _batch, _io, _tokens, bpe, packing, token_files
 from orderlake.llm._io import new_folder
 from orderlake.llm._text import space_chunks
 from orderlake.llm._tokens import ids_of
@@ -101,6 +101,20 @@ def test_a_worker_remembers_each_piece_once():
     assert held < 220 * 50_000
 
 
+def test_a_full_memory_keeps_what_was_met_again():
+    made = []
+
+    def make(keys):
+        made.extend(keys)
+        return np.array([len(k) for k in keys]), np.array([ord(c) for k in keys for c in k], np.uint32)
+
+    pool = _batch.Pool(4)
+    for keys in (["the", "a"], ["the", "x", "y", "z"], ["the", "a", "q"]):
+        sizes, ids = pool.rows(pool.places(keys, make))
+        assert sizes.tolist() == [len(k) for k in keys] and "".join(map(chr, ids)) == "".join(keys)
+    assert made == ["the", "a", "x", "y", "z", "a", "q"]   # only "the" was met again before the memory was full
+
+
 def test_other_operators_let_the_vocabulary_go():
     path = P.path("byte_bpe_50k.json")
     ids_of(path, pa.array(["a text"]), 1)
