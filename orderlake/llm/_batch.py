@@ -107,19 +107,38 @@ def gathered(batches, size: int = 8_000_000):
         yield pa.concat_batches(held)
 
 
+def cut_at_spaces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(number of pieces of each text, the number of each piece, the distinct pieces), each text being cut before every U+0020."""
+    pieces = pc.split_pattern(texts, " ")
+    per_text = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.list_flatten(pieces).dictionary_encode()
+    numbers = np.array(coded.indices.to_numpy(zero_copy_only=False))
+    spelled = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    first = np.zeros(len(numbers), bool)   # a text's first piece has no space before it
+    first[np.cumsum(per_text) - per_text] = True
+    as_first = np.bincount(numbers[first], minlength=len(spelled))
+    spaced, bare = np.flatnonzero(np.bincount(numbers, minlength=len(spelled)) > as_first), np.flatnonzero(as_first)
+    of_spaced, of_bare = np.zeros(len(spelled), np.int64), np.zeros(len(spelled), np.int64)
+    of_spaced[spaced], of_bare[bare] = np.arange(len(spaced)), np.arange(len(bare)) + len(spaced)
+    numbered = of_spaced[numbers]
+    numbered[first] = of_bare[numbers[first]]
+    return per_text, numbered, [" " + spelled[i] for i in spaced.tolist()] + [spelled[i] for i in bare.tolist()]
+
+
 class BatchCoder:
     """Texts -> (number of ids of each, all ids in turn as unsigned 32-bit numbers).
 
     ``make`` encodes pieces (list of str -> sizes, ids) that texts are cut into
-    before each U+0020; the patterns that precede byte-level merges always
-    begin a word there unless white space follows. Texts in which it does
-    somewhere, and those that hold one of the strings ``whole_if``, are encoded
-    as one piece, and are not remembered.
+    by ``cut``, by default before each U+0020; the patterns that precede
+    byte-level merges always begin a word there unless white space follows.
+    Texts in which it does somewhere, and those that hold one of the strings
+    ``whole_if``, are encoded as one piece, and are not remembered.
     """
 
     def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], list[int]],
-                 whole_if: tuple[str, ...] = (), pool: Pool | None = None, limit: int = 900_000):
-        self._make, self._whole, self._whole_if, self._pool = make, whole, whole_if, pool or Pool(limit)
+                 whole_if: tuple[str, ...] = (), pool: Pool | None = None, limit: int = 900_000,
+                 cut: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, list[str]]] = cut_at_spaces):
+        self._make, self._whole, self._whole_if, self._pool, self._cut = make, whole, whole_if, pool or Pool(limit), cut
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -130,23 +149,10 @@ class BatchCoder:
         if odd:
             listed = texts.take(pa.array(odd)).to_pylist()
             texts = pc.if_else(apart, "", texts)
-        pieces = pc.split_pattern(texts, " ")
-        per_text = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = pc.list_flatten(pieces).dictionary_encode()
-        numbers = np.array(coded.indices.to_numpy(zero_copy_only=False))
-        spelled = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        del pieces, coded, texts
+        per_text, numbers, keys = self._cut(texts)
+        del texts
         pa.default_memory_pool().release_unused()   # Arrow's part is over; it would hold as much again as what follows takes
-        first = np.zeros(len(numbers), bool)   # a text's first piece has no space before it
-        first[np.cumsum(per_text) - per_text] = True
-        as_first = np.bincount(numbers[first], minlength=len(spelled))
-        spaced, bare = np.flatnonzero(np.bincount(numbers, minlength=len(spelled)) > as_first), np.flatnonzero(as_first)
-        keys = [" " + spelled[i] for i in spaced.tolist()] + [spelled[i] for i in bare.tolist()]
-        places = self._pool.places(keys, self._encoded)
-        of_spaced, of_bare = np.zeros(len(spelled), np.int64), np.zeros(len(spelled), np.int64)
-        of_spaced[spaced], of_bare[bare] = places[:len(spaced)], places[len(spaced):]
-        at = of_spaced[numbers]
-        at[first] = of_bare[numbers[first]]
+        at = self._pool.places(keys, self._encoded)[numbers]
         sizes, ids = self._pool.rows(at)
         per_text = regroup(per_text, sizes)
         if odd:

@@ -1,4 +1,5 @@
 """Operators 1, 4 and 6 against the libraries themselves, text by text."""
+import json
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -101,6 +102,58 @@ def test_a_worker_remembers_each_piece_once():
     assert held < 220 * 50_000
 
 
+def test_marks_beside_a_word_make_no_new_piece():
+    """Each word with a mark, an accent or a line's end beside it was cut and looked up on its own: most of op4's time."""
+    for file, digits in (("byte_bpe_50k.json", [" 42"]), ("word_bpe_49k.json", [" 4", "2"])):
+        _tokens._CODERS.clear()
+        ids_of(P.path(file), pa.array(["a cat, (a cat) a cat. a cat!\nété a été, 42 42", None, "a été."]), 1)
+        held = _tokens.coder(P.path(file))._pool._at
+        assert set(held) == {"a", " a", " cat", " (", ",", ")", ".", "!", "\n", "été", " été", *digits}
+
+
+@pytest.mark.parametrize("alone", [False, True])
+def test_pieces_cut_by_kinds_join_to_the_texts(alone):
+    texts = [t for _, t in odd_rows(seed=7, more=200)] + ["", None, "it's 2², 10×3 \n\nİstanbul ɐ— 中文.end\n", "\n", " ", "x "]
+    per_text, numbers, keys = _tokens.cut_by_kinds(pa.array([*texts, "cut off"], pa.string()).fill_null("").slice(0, len(texts)), alone)
+    pieces = [keys[i] for i in numbers]
+    ends = np.cumsum(per_text)
+    assert ["".join(pieces[b - n:b]) for n, b in zip(per_text, ends, strict=True)] == [t or "" for t in texts]
+    assert all(pieces) and len(set(keys)) == len(keys)
+    empty = _tokens.cut_by_kinds(pa.array(["", ""]), alone)
+    assert [len(x) for x in empty] == [2, 0, 0] and not empty[0].any()
+
+
+def random_texts(seed, n):
+    import random
+
+    rnd = random.Random(seed)
+    usual = [*"aZtés 77.,;!\n-", *[" "] * 6, "word", "The", "É", "ß", "12", "...", "×"]
+    odd = [*"'`~@[/²ªµ½÷ÿıİſǅǃɏɐʰΩς中😀’—️٣ẞȺÅ", "'s", "'ll", "\n\n", "\r\n", "\t", " \n", "\0", "\x1c", "\x7f", "\x85", "\xa0", "\u0301", "\u2009", "\ufeff"]
+    return ["".join(rnd.choice(rnd.choice((usual, usual, odd))) for _ in range(rnd.choice((1, 3, 12, 80)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_random_texts_equal_the_library(file):
+    want, texts = library_ids(file, 1), random_texts(11, 600)
+    _tokens._CODERS.clear()
+    for at in range(0, len(texts), 40):
+        part = texts[at:at + 40]
+        assert ids_of(P.path(file), pa.array(part), 1, 300) == [want(t).tobytes() for t in part]
+
+
+@pytest.mark.parametrize("unknown", [None, "a"])
+def test_a_vocabulary_without_some_bytes_equals_the_library(tmp_path, unknown):
+    """The model leaves out a byte that has no id, or gives it the unknown token's: then ids are not told apart by their widths."""
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        told = json.load(f)
+    vocab = {t: i for t, i in told["model"]["vocab"].items() if "z" not in t}
+    told["model"] |= {"vocab": vocab, "merges": [m for m in told["model"]["merges"] if "z" not in "".join(m)], "unk_token": unknown}
+    path = tmp_path / "some.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    tok, texts = Tokenizer.from_file(str(path)), ["a zoo, the pizza. zz z", "no such byte here", "zzz"]
+    assert ids_of(str(path), pa.array(texts)) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_a_full_memory_keeps_what_was_met_again():
     made = []
 
