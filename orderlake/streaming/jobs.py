@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +32,9 @@ from orderlake.sources.files import _fs
 
 INGEST_TABLES = ("raw_customers", "raw_orders", "raw_order_items", "raw_order_payments")
 
+#: Documents, of as many orders at most, whose keys a task of ``read_ingested`` holds in memory, at some 170 bytes each.
+KEYS_A_TASK = 500_000
+
 
 # ---------------------------------------------------------------- ST1
 
@@ -43,24 +45,27 @@ def ingest_batch(batch: DataFrame, batch_id: int, sink_root: str, run: str) -> N
     kept, and of equally early ones the first as JSON text. Every rejected
     document is kept, with or without an id, however often it came. Whole
     documents move between tasks only if an order came twice, and then once.
+
+    The batch is parsed once, into files that every table is read from: a task
+    of a cached batch holds its whole share, and a compressed source file can
+    not be split into smaller ones.
     """
     at = f"run={run}/batch_id={batch_id}"
-    spark, once = batch.sparkSession, f"{sink_root}/deduplicated/{at}"
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once, read for every table
-    try:
-        valid, rejected = validate_orders(batch)
-        if not valid.groupBy("order_id").count().filter("count > 1").isEmpty():
-            one_per_order(valid).write.mode("overwrite").option("compression", "zstd").parquet(once)
-            valid = spark.read.schema(valid.schema).parquet(once)
-        for name, df in fan_out_orders(valid).items():
-            df.write.mode("overwrite").parquet(f"{sink_root}/{name}/{at}")
-        rejected.write.mode("overwrite").parquet(f"{sink_root}/rejects/{at}")
-        orders = batch.agg(F.count(F.lit(1)).alias("n_documents"), F.current_timestamp().alias("committed_at"))
-        orders.write.mode("overwrite").parquet(f"{sink_root}/commits/{at}")
-    finally:
-        batch.unpersist()
-    fs, path = _fs(spark, once)
-    fs.delete(path, True)
+    spark, parsed, once = batch.sparkSession, f"{sink_root}/parsed/{at}", f"{sink_root}/deduplicated/{at}"
+    batch.write.mode("overwrite").option("compression", "zstd").parquet(parsed)
+    batch = spark.read.schema(batch.schema).parquet(parsed)
+    valid, rejected = validate_orders(batch)
+    if not valid.groupBy("order_id").count().filter("count > 1").isEmpty():
+        one_per_order(valid).write.mode("overwrite").option("compression", "zstd").parquet(once)
+        valid = spark.read.schema(valid.schema).parquet(once)
+    for name, df in fan_out_orders(valid).items():
+        df.write.mode("overwrite").parquet(f"{sink_root}/{name}/{at}")
+    rejected.write.mode("overwrite").parquet(f"{sink_root}/rejects/{at}")
+    orders = batch.agg(F.count(F.lit(1)).alias("n_documents"), F.current_timestamp().alias("committed_at"))
+    orders.write.mode("overwrite").parquet(f"{sink_root}/commits/{at}")
+    for folder in (parsed, once):
+        fs, path = _fs(spark, folder)
+        fs.delete(path, True)
 
 
 def one_per_order(valid: DataFrame) -> DataFrame:
@@ -112,7 +117,7 @@ def read_ingested(spark: SparkSession, sink_root: str, name: str, batches: list[
     same documents again. ``batches`` (run, batch_id) names the batches to
     read, instead of all: only their folders are opened.
     """
-    commits = read_commits(spark, sink_root).select("run", "batch_id", F.unix_micros("committed_at").alias("at"))
+    commits = read_commits(spark, sink_root).select("run", "batch_id", "n_documents", F.unix_micros("committed_at").alias("at"))
     if batches is not None:
         commits = commits.join(spark.createDataFrame(batches, "run string, batch_id int"), ["run", "batch_id"], "left_semi")
     # One row a batch; ``_turn`` is its place in the order of the commits.
@@ -136,11 +141,14 @@ def read_ingested(spark: SparkSession, sink_root: str, name: str, batches: list[
         first = rows.groupBy(F.col("_key").alias("_of")).agg(F.min("_turn").alias("_first"))
         first = first.join(F.broadcast(turns.select(F.col("_turn").alias("_first"), F.col("run").alias("_run"))), "_first")
         return rows.join(first, (F.col("_key") == F.col("_of")) & (F.col("run") == F.col("_run"))).drop("_key", "_of", "_run", "_first", "_turn")
-    # Validation leaves no null key. Joined by the key alone, the grouped side stays where it was grouped.
+    # Validation leaves no null key. A hashed partition of short keys, so that no row of the table is sorted. It can not
+    # spill, so the documents and not the session decide on the number of partitions.
     key = "customer_id" if name == "raw_customers" else "order_id"
-    first = committed("raw_orders").groupBy(F.col(key).alias("_key")).agg(F.min("_turn").alias("_first"))
-    # A hashed partition of short keys, so that no row of the table is sorted.
-    return rows.join(first.hint("shuffle_hash"), F.col(key) == F.col("_key")).filter(F.col("_turn") == F.col("_first")).drop("_key", "_first", "_turn")
+    parts = max(spark.sparkContext.defaultParallelism, -(-sum(c["n_documents"] for c in in_turn) // KEYS_A_TASK))
+    first = committed("raw_orders").select(F.col(key).alias("_key"), "_turn").repartition(parts, "_key").groupBy("_key").agg(F.min("_turn").alias("_first"))
+    # No row is before its key's first; an equality would be a second join key, and both sides spread again by both.
+    kept = (F.col(key) == F.col("_key")) & (F.col("_turn") <= F.col("_first"))
+    return rows.repartition(parts, key).join(first.hint("shuffle_hash"), kept).drop("_key", "_first", "_turn")
 
 
 # ---------------------------------------------------------------- ST2 / ST3
